@@ -58,10 +58,14 @@ def content_overlap(dev: DataFrame, other: DataFrame, cols: tuple[str, ...] = ("
 
 def word_len_bin(words):
     """Index of the word-length bin, null beyond the last edge."""
-    out = F.when(words == WORD_EDGES[-1], len(WORD_EDGES) - 2)
-    for i, (low, high) in enumerate(zip(WORD_EDGES, WORD_EDGES[1:])):
-        out = out.when((words >= low) & (words < high), i)
-    return out
+    def choose(w):
+        out = F.when(w == WORD_EDGES[-1], len(WORD_EDGES) - 2)
+        for i, (low, high) in enumerate(zip(WORD_EDGES, WORD_EDGES[1:])):
+            out = out.when((w >= low) & (w < high), i)
+        return out
+
+    # bound once as a lambda variable, so that the words are counted once per row
+    return F.get(F.transform(F.array(words), choose), F.lit(0))
 
 
 def word_len_histogram(df: DataFrame, c: str) -> DataFrame:

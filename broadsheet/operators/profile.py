@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from broadsheet.functions import text as X
 from broadsheet.functions.times import PLACEHOLDERS, eda_timestamp
+from broadsheet.operators.folds import seeded_order
 from broadsheet.operators.keyed import digest, exact_quantiles, with_share
 
 # Percentiles of every numeric summary.
@@ -286,7 +287,7 @@ def shortest_longest(df: DataFrame, c: str, k: int = 3) -> DataFrame:
 def random_sample(df: DataFrame, c: str, k: int = 3, seed: int = 0, max_len: int = 220) -> DataFrame:
     """``k`` rows chosen by a seeded hash of the id: the same rows under any partitioning."""
     texts = df.select("id", F.col(c).alias("_t"))
-    return texts.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(k).select("id", X.shorten("_t", max_len).alias("example"))
+    return texts.orderBy(seeded_order(seed), "id").limit(k).select("id", X.shorten("_t", max_len).alias("example"))
 
 
 def table_profile(df: DataFrame) -> DataFrame:

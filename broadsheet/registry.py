@@ -254,8 +254,7 @@ def queries() -> dict[str, Query]:
         "shortest_longest": on_dev(lambda d: profile.shortest_longest(d, "article")),
         "random_sample": on_dev(lambda d: profile.random_sample(d, "article", 3)),
         "cross_label_examples": on_dev(lambda d: dedup.cross_label_examples(d, near_dup=True)),
-        "stratified_folds": on_dev(lambda d: folds.stratified_folds(d, 5, 42).groupBy("label", "fold").agg(
-            F.count(F.lit(1)).alias("n"))),
+        "stratified_folds": on_dev(lambda d: folds.stratified_folds(d, 5, 42).select("id", "label", "fold")),
         "weak_labels": on_preds(lambda p: evaluate.weak_labels(p, 2)),
         # evaluation
         "fold_f1": on_preds(evaluate.fold_f1),
