@@ -63,7 +63,13 @@ FROM labels l
 
 def register(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = ("documents", "labels")) -> None:
     for name in tables:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        spread(spark.read.parquet(f"{sf_dir}/{name}.parquet")).createOrReplaceTempView(name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table that arrives in fewer splits than there are cores is dealt out; any larger table is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 1 == len(df.inputFiles()) and df.rdd.getNumPartitions() < cores else df
 
 
 def news_dev(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,6 +108,12 @@ class Features:
             at += n
         self.size = at
 
+    @property
+    def dense(self) -> np.ndarray:
+        """Positions of the dense features, in the order of ``columns.DENSE``."""
+        meta, rest = len(C.X.PATTERN_FEATURES), len(C.AFTER_SOURCE)
+        return np.concatenate([self.offsets["meta"] + np.arange(meta), self.offsets["rest"] + np.arange(rest)])
+
     def names(self) -> list[str]:
         out = [f"{b.name}:{t}" for b in self.blocks for t in b.terms]
         out += [*C.X.PATTERN_FEATURES, *[f"source:{s}" for s in self.sources.categories], *C.AFTER_SOURCE]
@@ -165,8 +171,7 @@ def _assembler(f: Features):
     source_at = np.array([categories[s] for s in f.sources.values], dtype=np.int64)[f.sources.order] if f.sources.values else None
     kept = f.sources.kept[:, f.sources.order] if f.sources.values else f.sources.kept
     other, has_other = categories[C.OTHER], f.sources.has_other
-    meta = len(C.X.PATTERN_FEATURES)
-    dense_at = np.concatenate([f.offsets["meta"] + np.arange(meta), f.offsets["rest"] + np.arange(len(C.AFTER_SOURCE))])
+    dense_at = f.dense
     models, sublinear, source_base = f.models, f.params.sublinear_tf, f.offsets["source"]
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
@@ -114,10 +115,10 @@ class TermBlock:
         stats = term_stats(docs, terms(), models)
         often = F.greatest(*[F.col(c) for c in stats.columns if c.startswith("df_")], F.lit(0))
         stats = stats.where(often >= min_df).persist()
-        found = {
-            m: {r["term"]: r["df"] for r in vocabulary(stats, m, n_docs[m], min_df, max_df, max_features).collect()}
-            for m in models
-        }
+        stats.count()
+        top = lambda m: vocabulary(stats, m, n_docs[m], min_df, max_df, max_features).collect()
+        with ThreadPool(len(models)) as pool:  # independent small jobs
+            found = {m: {r["term"]: r["df"] for r in rows} for m, rows in zip(models, pool.map(top, models))}
         stats.unpersist()
         union = sorted(set().union(*found.values()))
         weights = np.zeros((len(models), len(union)))

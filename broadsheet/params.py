@@ -48,7 +48,7 @@ class ModelParams:
     class_weight: str | dict[int, float] | None = "balanced"
     class_weight_power: float = 0.7
     ridge_alpha: float = 1.0
-    tol: float = 1e-4
+    tol: float = 1e-3
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import time
 from dataclasses import asdict, dataclass
 
@@ -44,7 +45,7 @@ def _cached_design(rows: DataFrame, f: Features) -> DataFrame:
     x = design(rows, f)
     if len(f.models) > 1:
         n = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        slices = max(1, n // len(f.models))
+        slices = max(1, math.ceil(3 * n / len(f.models)))
         x = x.repartition(n, "model", F.pmod(F.xxhash64("id"), F.lit(slices)))
     return x.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -106,7 +107,7 @@ class FittedModel:
 def _fit(rows: DataFrame, p: JobParams, models: list[int]) -> tuple[Features, LinearModel, DataFrame]:
     f = fit_features(rows, p, models)
     x = _cached_design(rows, f)
-    linear = train(x, f.size, models, _label_counts(rows, models), p.model)
+    linear = train(x, f.size, models, _label_counts(rows, models), p.model, f.dense)
     return f, linear, x
 
 

@@ -1,2 +1,163 @@
-def queries():
-    return {}
+"""Registered queries of the feature, training and scoring operators."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from broadsheet.fixtures import news_dev, news_eval
+from broadsheet.operators import columns as C
+from broadsheet.operators import design as D
+from broadsheet.operators import evaluate
+from broadsheet.operators import terms as W
+from broadsheet.params import PLAIN, JobParams, ModelParams, TextParams
+from broadsheet.plans import jobs
+from broadsheet.sources import sinks
+
+Query = Callable[[SparkSession, str], DataFrame]
+# A looser stopping rule than the default keeps the registered training queries short; data and features are whole.
+LOOSE = 5e-3
+
+
+def _params(kind: str = "linearsvc", **changes) -> JobParams:
+    return JobParams(model=ModelParams(type=kind, tol=LOOSE), **changes)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[
+        F.round(f.name, 6).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
+def _term_table(grams) -> Query:
+    def run(spark, sf_dir):
+        docs = news_dev(spark, sf_dir).withColumn("fold", F.lit(-1)).withColumn("text", W.document_text(TextParams()))
+        stats = W.term_stats(docs.select("fold", "text"), grams(), [-1])
+        return stats.select("term", F.col("tf_all").alias("tf"), F.col("df_all").alias("df"))
+
+    return run
+
+
+def vocabulary(spark, sf_dir):
+    p = TextParams()
+    docs = news_dev(spark, sf_dir).withColumn("fold", F.lit(-1)).withColumn("text", W.document_text(p)).select("fold", "text")
+    n = docs.count()
+    stats = W.term_stats(docs, W.word_ngrams("text", p.ngram_min, p.ngram_max), [-1])
+    return W.vocabulary(stats, -1, n, p.min_df, p.max_df, 2000)
+
+
+def _weights(block: str, p: TextParams) -> Query:
+    return lambda spark, sf_dir: _rounded(D.term_weights(news_dev(spark, sf_dir), JobParams(text=p), block))
+
+
+def source_binner(spark, sf_dir):
+    dev = news_dev(spark, sf_dir)
+    return C.bin_sources(dev.select("id", "source"), C.fit_sources(dev, JobParams().source)).select("id", "source_bin")
+
+
+def source_onehot(spark, sf_dir):
+    """(id, category) of every 1 in the one-hot block: sources kept in the labelled table, applied to the unlabelled one."""
+    dev, eva = news_dev(spark, sf_dir), news_eval(spark, sf_dir)
+    kept = C.fit_sources(dev, JobParams().source)
+    seen = C.bin_sources(dev.select("id", "source"), kept).select("source_bin").distinct()
+    return C.bin_sources(eva.select("id", "source"), kept).join(seen, "source_bin", "left_semi").select(
+        "id", F.col("source_bin").alias("category"))
+
+
+def assemble(spark, sf_dir):
+    """Per row: number of features set, and squared length of the text blocks."""
+    p = JobParams()
+    rows = D.prepare(news_dev(spark, sf_dir), p.text)
+    f = D.fit_features(rows, p, [-1])
+    text_size = sum(len(b.terms) for b in f.blocks)
+    squared = F.aggregate(
+        F.filter(F.arrays_zip("idx", "val"), lambda x: x["idx"] < text_size), F.lit(0.0), lambda a, x: a + x["val"] * x["val"])
+    return D.design(rows, f).select("id", "label", F.size("idx").alias("n_set"), F.round(squared, 6).alias("text_norm"))
+
+
+def _trained(kind: str) -> Query:
+    def run(spark, sf_dir):
+        dev = news_dev(spark, sf_dir)
+        model = jobs.train_final(dev, news_eval(spark, sf_dir), _params(kind))
+        scored = model.score(dev).join(dev.select("id", "label"), "id")
+        return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+    return run
+
+
+def predict(spark, sf_dir):
+    model = jobs.train_final(news_dev(spark, sf_dir), news_eval(spark, sf_dir), _params("ridge"))
+    return model.score(news_eval(spark, sf_dir)).select("id", "prediction", F.size("scores").alias("n_scores"))
+
+
+def cross_validate(spark, sf_dir):
+    return _rounded(evaluate.fold_f1(jobs.cross_validate(news_dev(spark, sf_dir), news_eval(spark, sf_dir), _params())))
+
+
+def train_and_score(spark, sf_dir):
+    out = sinks.new_path(spark, "run")
+    p = replace(_params("logreg"), drop_overlap=True, drop_same_label=True)
+    scored = jobs.train_and_score(news_dev(spark, sf_dir), news_eval(spark, sf_dir), out, p)
+    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+def plain_cv(spark, sf_dir):
+    p = replace(PLAIN, model=replace(PLAIN.model, type="ridge", tol=LOOSE))
+    return _rounded(evaluate.per_class_mean(jobs.cross_validate(news_dev(spark, sf_dir), None, p)))
+
+
+def plain_train_predict(spark, sf_dir):
+    """Train without cleaning, save, load as a separate job would, and score."""
+    p = replace(PLAIN, model=replace(PLAIN.model, type="ridge", tol=LOOSE))
+    path = sinks.new_path(spark, "model")
+    jobs.train_final(news_dev(spark, sf_dir), None, p).save(spark, path)
+    return jobs.FittedModel.load(spark, path).score(news_eval(spark, sf_dir)).select("id", "prediction")
+
+
+def model_save_load(spark, sf_dir):
+    """Rows scored differently by a model and by its saved and loaded copy, per prediction."""
+    eva = news_eval(spark, sf_dir)
+    model = jobs.train_final(news_dev(spark, sf_dir), eva, _params("ridge"))
+    path = sinks.new_path(spark, "model")
+    model.save(spark, path)
+    again = jobs.FittedModel.load(spark, path).score(eva).select("id", F.col("prediction").alias("again"))
+    return model.score(eva).join(again, "id").groupBy("prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("prediction") != F.col("again"), 1)).alias("differing"))
+
+
+def feature_cache(spark, sf_dir):
+    """The prepared table written to shared storage once and read back, per fold."""
+    from broadsheet.operators.folds import stratified_folds
+
+    folded = stratified_folds(news_dev(spark, sf_dir), 5, 42)
+    rows = sinks.stored(D.prepare(folded, TextParams()), "prepared")
+    return rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+def queries() -> dict[str, Query]:
+    return {
+        "timestamp_features": lambda s, p: _rounded(C.timestamp_features(news_dev(s, p), include_missing=True)),
+        "word_ngrams": _term_table(lambda: W.word_ngrams("text", 1, 2)),
+        "char_wb_ngrams": _term_table(lambda: W.char_wb_ngrams("text", 3, 5)),
+        "vocabulary": vocabulary,
+        "tfidf": _weights("word", TextParams()),
+        "title_char_tfidf": _weights("title", TextParams(title_char=True)),
+        "source_binner": source_binner,
+        "source_onehot": source_onehot,
+        "scale_no_mean": lambda s, p: _rounded(C.scaled_columns(news_dev(s, p))),
+        "assemble": assemble,
+        "feature_cache": feature_cache,
+        "train_linearsvc": _trained("linearsvc"),
+        "train_logreg": _trained("logreg"),
+        "train_ridge": _trained("ridge"),
+        "predict": predict,
+        "cross_validate": cross_validate,
+        "train_and_score": train_and_score,
+        "plain_cv": plain_cv,
+        "plain_train_predict": plain_train_predict,
+        "model_save_load": model_save_load,
+    }

@@ -454,3 +454,72 @@ SELECT DISTINCT class, CAST(NULL AS DOUBLE), CAST(1 AS DOUBLE), CAST(0 AS DOUBLE
 SELECT class, is_pos, bin, round(le, 6) AS left, round(re, 6) AS right, coalesce(n, 0) AS n,
  round(coalesce(n, 0) / (total * (re - le)), 6) AS density FROM g LEFT JOIN h USING (class, is_pos, bin)""",
 }
+
+
+# Features
+
+def _document(title, article):
+    """Ad prefixes off, title twice, article or its token, cleaned, lower case, no accents."""
+    t = f"regexp_replace({text(title)}, '{AD}', '')"
+    a = f"regexp_replace({text(article)}, '{AD}', '')"
+    joined = f"{t} || ' ' || {t} || ' ' || CASE WHEN {gone(a)} THEN ' __MISSING_ARTICLE__ ' ELSE {a} END"
+    return f"strip_accents(lower({clean('j')}))", joined
+
+
+_DOC, _JOINED = _document("title", "article")
+DOCS = f"{DEV}, j AS (SELECT id, title, {_JOINED} AS j FROM dev), docs AS (SELECT id, title, {_DOC} AS t FROM j)"
+WORD_GRAMS = f"""{DOCS}, w AS (SELECT id, regexp_extract_all(t, '[\\p{{L}}\\p{{N}}_]{{2,}}') AS w FROM docs),
+ grams AS (SELECT id, unnest(w) AS term FROM w UNION ALL
+   SELECT id, w[i] || ' ' || w[i + 1] FROM w, unnest(range(1, len(w))) u(i))"""
+
+
+def char_grams(source, low, high):
+    return f"""cw AS (SELECT id, ' ' || unnest(list_filter(string_split_regex(t, '\\s+'), lambda x: x <> '')) || ' ' AS w FROM {source}),
+ grams AS (SELECT id, substr(w, i, n) AS term FROM cw, range({low}, {high + 1}) r(n), unnest(range(1, length(w) - n + 2)) u(i) WHERE length(w) >= n
+   UNION ALL SELECT id, w FROM cw WHERE length(w) < {low})"""
+
+
+TERMS = "per AS (SELECT id, term, count(*) AS tf FROM grams GROUP BY 1, 2), st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM per GROUP BY 1)"
+
+
+def weighted(grams, min_df, limit):
+    return f"""WITH {grams}, {TERMS}, nd AS (SELECT count(*) AS n FROM dev),
+ voc AS (SELECT term, df FROM st, nd WHERE df >= {min_df} AND df <= 0.95::DOUBLE * n ORDER BY st.tf DESC, term LIMIT {limit}),
+ raw AS (SELECT id, term, (1 + ln(tf)) * (ln((1.0 + n) / (1.0 + df)) + 1) AS w FROM per JOIN voc USING (term), nd)
+SELECT id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS weight FROM raw"""
+
+
+_SRC = f"CASE WHEN {strip(text('source'))} IN ('', {N}) THEN '__MISSING__' ELSE {strip(text('source'))} END"
+_TITLES = f"{DEV}, titles AS (SELECT id, strip_accents(lower({clean('title')})) AS t FROM dev)"
+KEPT_SOURCES = f"kept AS (SELECT {_SRC} AS s FROM dev GROUP BY 1 HAVING count(*) >= 3)"
+_PARTS = {"year": f"year({ts()})", "month": f"month({ts()})", "dow": f"isodow({ts()}) - 1", "hour": f"hour({ts()})", "doy": f"dayofyear({ts()})"}
+TIMES = (f"{DEV}, raw AS (SELECT *, ({ts()}) IS NULL AS gone, " + listed(f"{e} AS {n}" for n, e in _PARTS.items()) + " FROM dev), "
+         "med AS (SELECT " + listed(f"CAST(trunc(median({n})) AS INTEGER) AS m_{n}" for n in _PARTS) + " FROM raw), "
+         "tm AS (SELECT raw.id, CAST(gone AS DOUBLE) AS is_missing, " + listed(f"coalesce({n}, m_{n}) AS {n}" for n in _PARTS) + " FROM raw, med)")
+_TURNS = {"hour": "hour / 24.0::DOUBLE", "dow": "dow / 7.0::DOUBLE", "month": "(month - 1) / 12.0::DOUBLE", "doy": "(doy - 1) / 365.0::DOUBLE"}
+_TIME_COLS = {n: f"CAST({n} AS DOUBLE)" for n in ("year", "month", "doy", "dow")}
+for _n, _e in _TURNS.items():
+    _TIME_COLS[f"{_n}_sin"] = f"sin(2 * pi() * {_e})"
+    _TIME_COLS[f"{_n}_cos"] = f"cos(2 * pi() * {_e})"
+_DENSE = (*META, "page_rank", *_TIME_COLS, "article_missing")
+
+ORACLES.update({
+    "timestamp_features": f"WITH {TIMES} SELECT id, is_missing, " + listed(f"round({e}, 6) AS {n}" for n, e in _TIME_COLS.items()) + " FROM tm",
+    "word_ngrams": f"WITH {WORD_GRAMS}, {TERMS} SELECT term, tf, df FROM st",
+    "char_wb_ngrams": f"WITH {DOCS}, {char_grams('docs', 3, 5)}, {TERMS} SELECT term, tf, df FROM st",
+    "vocabulary": f"""WITH {WORD_GRAMS}, {TERMS} SELECT term, tf, df FROM st WHERE df >= 5 AND df <= 0.95::DOUBLE * (SELECT count(*) FROM dev)
+ORDER BY tf DESC, term LIMIT 2000""",
+    "tfidf": weighted(WORD_GRAMS, 5, 100000),
+    "title_char_tfidf": weighted(f"{_TITLES}, {char_grams('titles', 2, 4)}", 4, 20000),
+    "source_binner": f"WITH {DEV}, {KEPT_SOURCES} SELECT id, CASE WHEN {_SRC} IN (SELECT s FROM kept) THEN {_SRC} ELSE '__OTHER__' END AS source_bin FROM dev",
+    "source_onehot": f"""WITH {DEV}, {EVA}, {KEPT_SOURCES}, seen AS (SELECT DISTINCT CASE WHEN {_SRC} IN (SELECT s FROM kept) THEN {_SRC} ELSE '__OTHER__' END AS c FROM dev),
+ e AS (SELECT id, CASE WHEN {_SRC} IN (SELECT s FROM kept) THEN {_SRC} ELSE '__OTHER__' END AS category FROM eva)
+SELECT * FROM e WHERE category IN (SELECT c FROM seen)""",
+    "scale_no_mean": f"""WITH {TIMES}, fe AS (SELECT dev.id, {listed(f"CAST({PATTERNS[m]} AS DOUBLE) AS {m}" for m in META)},
+ CAST(coalesce(page_rank, 0) AS DOUBLE) AS page_rank, CAST({gone('article')} AS DOUBLE) AS article_missing, is_missing AS timestamp_missing,
+ {listed(f"{e} AS {n}" for n, e in _TIME_COLS.items())} FROM dev JOIN tm ON dev.id = tm.id),
+ sd AS (SELECT {listed(f"CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END AS s_{c}" for c in _DENSE)} FROM fe)
+SELECT id, timestamp_missing, {listed(f"round({c} / s_{c}, 6) AS {c}" for c in _DENSE)} FROM fe, sd""",
+    "feature_cache": f"""WITH {DOCS}, f AS (SELECT id, (row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id) - 1) % 5 AS fold FROM dev)
+SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n, CAST(sum(length(t)) AS BIGINT) AS chars FROM f JOIN docs USING (id) GROUP BY 1""",
+})
