@@ -53,7 +53,7 @@ def char_wb_ngrams(c: Column | str, n_min: int = 3, n_max: int = 5) -> Column:
     """Character n-grams inside words padded with one blank on each side.
 
     Words are set two blanks apart, so an n-gram inside one padded word has at most one blank at either end; a
-    lookahead finds the overlapping matches. A padded word shorter than ``n_min`` counts once as a whole.
+    lookahead finds the overlapping matches, and every match steps on by one whole character. A padded word shorter than ``n_min`` counts once as a whole.
     """
     s = F.trim(F.regexp_replace(F.col(c) if isinstance(c, str) else c, rf"[{BLANKS}]+", " "))
     padded = F.concat(F.lit(" "), F.replace(s, F.lit(" "), F.lit("  ")), F.lit(" "))
@@ -64,7 +64,7 @@ def char_wb_ngrams(c: Column | str, n_min: int = 3, n_max: int = 5) -> Column:
             shapes.append(rf" [^ ]{{{n - 2}}} ")
         if n == n_min and n > 3:
             shapes.append(rf" [^ ]{{1,{n - 3}}} ")
-        parts.append(F.regexp_extract_all(padded, F.lit(f"(?=({'|'.join(shapes)}))"), 1))
+        parts.append(F.regexp_extract_all(padded, F.lit(f"(?s)(?=({'|'.join(shapes)}))."), 1))
     return F.concat(*parts)
 
 
