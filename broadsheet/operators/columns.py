@@ -51,7 +51,7 @@ def bin_sources(df: DataFrame, kept: DataFrame, out: str = "source_bin") -> Data
         from broadsheet.operators.keyed import hot_keys
 
         counts = keyed.groupBy("_value").agg(F.count(F.lit(1)).alias("n"))
-        hot = hot_keys(counts, "_value").join(marked, F.col("_value") == F.col("_kept"), "left").select(
+        hot = hot_keys(counts, "_value").select("_value").join(marked, F.col("_value") == F.col("_kept"), "left").select(
             F.col("_value").alias("_hot"), F.col("_kept").alias("_hot_kept"))
         tagged = keyed.join(F.broadcast(hot), F.col("_value") == F.col("_hot"), "left")
         # a leading line break never starts a stripped source, so spread rows match nothing

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.canonical import canonical_text
 from broadsheet.functions.text import content_hash, shorten
-from broadsheet.operators.keyed import digest, mark_members, with_share
+from broadsheet.operators.keyed import digest, flag_rows
 
 KEY = "_key"
 
@@ -22,15 +22,18 @@ def with_key(df: DataFrame, on: tuple[str, str] = ("title", "article"), **canoni
     return df.withColumn(KEY, digest(*[canonical_text(c, **canonical) for c in on]))
 
 
-def _key_counts(keyed: DataFrame) -> DataFrame:
-    return keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+def _shared_keys(dev_keyed: DataFrame, other_keyed: DataFrame) -> DataFrame:
+    """Keys of both tables with their rows ``n`` and ``n_other``; one shuffle of keys already reduced per task."""
+    both = dev_keyed.select(KEY, F.lit(1).alias("d"), F.lit(0).alias("o")).unionByName(
+        other_keyed.select(KEY, F.lit(0).alias("d"), F.lit(1).alias("o")))
+    return both.groupBy(KEY).agg(F.sum("d").alias("n"), F.sum("o").alias("n_other"))
 
 
 def flag_overlap(dev: DataFrame, other: DataFrame, flag: str = "in_eval", **options) -> DataFrame:
     """``dev`` (with its key) plus a flag: does the row's content occur in ``other``?"""
     keyed = with_key(dev, **options)
-    members = with_key(other, **options).select(KEY).distinct()
-    return mark_members(keyed, members, _key_counts(keyed), KEY, flag)
+    keys = _shared_keys(keyed, with_key(other, **options)).where("n > 0")
+    return flag_rows(keyed, keys.select(KEY, "n", (F.col("n_other") > 0).alias(flag)), KEY, flag)
 
 
 def overlap_rows(dev: DataFrame, other: DataFrame, **options) -> DataFrame:
@@ -43,11 +46,9 @@ def without_overlap(dev: DataFrame, other: DataFrame, **options) -> DataFrame:
 
 def leakage_report(dev: DataFrame, other: DataFrame, drop: bool = False, **options) -> DataFrame:
     """One row: sizes and overlap. Only keys are matched, never rows."""
-    counts = _key_counts(with_key(dev, **options))
-    other_keys = _key_counts(with_key(other, **options)).select(KEY, F.col("n").alias("n_other"))
-    both = counts.join(other_keys, KEY, "full")
+    both = _shared_keys(with_key(dev, **options), with_key(other, **options))
     n_dev = F.coalesce(F.sum("n"), F.lit(0))
-    overlap = F.coalesce(F.sum(F.when(F.col("n_other").isNotNull(), F.col("n"))), F.lit(0))
+    overlap = F.coalesce(F.sum(F.when(F.col("n_other") > 0, F.col("n"))), F.lit(0))
     removed = overlap if drop else F.lit(0).cast("bigint")
     return both.agg(
         n_dev.alias("n_dev_before"),
@@ -66,16 +67,15 @@ def drop_overlap(dev: DataFrame, other: DataFrame, drop: bool = False, **options
     return (without_overlap(dev, other, **options) if drop else dev), report
 
 
-def _label_text() -> Column:
-    return F.coalesce(F.col("label").cast("string"), F.lit("nan"))
+def _crossed() -> Column:
+    """Do the labels of a group differ? A missing label counts as a value of its own."""
+    known = F.count("label")
+    return ((F.min("label") != F.max("label")) & (known > 0)) | ((known > 0) & (known < F.count(F.lit(1))))
 
 
 def _label_stats(keyed: DataFrame) -> DataFrame:
-    """Per key: rows, and whether its labels differ (a missing label counts as a value of its own)."""
-    label = _label_text()
-    return keyed.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("n"), (F.min(label) != F.max(label)).alias("crossed")
-    )
+    """Per key: rows, and whether its labels differ."""
+    return keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), F.coalesce(_crossed(), F.lit(False)).alias("crossed"))
 
 
 def cross_label_rows(dev: DataFrame, **options) -> DataFrame:
@@ -89,8 +89,7 @@ def without_cross_label(dev: DataFrame, **options) -> DataFrame:
 
 def _flag_cross_label(dev: DataFrame, **options) -> DataFrame:
     keyed = with_key(dev, **options)
-    stats = _label_stats(keyed)
-    return mark_members(keyed, stats.where("crossed").select(KEY), stats, KEY, "crossed_group")
+    return flag_rows(keyed, _label_stats(keyed).withColumnRenamed("crossed", "crossed_group"), KEY, "crossed_group")
 
 
 def keep_first(dev: DataFrame, **options) -> DataFrame:
@@ -100,9 +99,8 @@ def keep_first(dev: DataFrame, **options) -> DataFrame:
     """
     keyed = with_key(dev, **options)
     rest = [c for c in dev.columns if c != "id"]
-    label = _label_text()
     firsts = keyed.groupBy(KEY).agg(
-        F.min(F.struct("id", *rest)).alias("row"), (F.min(label) != F.max(label)).alias("crossed")
+        F.min(F.struct("id", *rest)).alias("row"), F.coalesce(_crossed(), F.lit(False)).alias("crossed")
     )
     return firsts.where("not crossed").select(*[F.col(f"row.{c}").alias(c) for c in dev.columns])
 

@@ -15,6 +15,7 @@ from broadsheet.functions.times import PARTS
 from broadsheet.operators import columns as C
 from broadsheet.operators import terms as W
 from broadsheet.params import JobParams, SourceParams, TextParams
+from broadsheet.sources.sinks import stored
 
 CHUNK_ROWS = 512
 
@@ -238,7 +239,7 @@ def design(rows: DataFrame, f: Features) -> DataFrame:
 
 def term_weights(df: DataFrame, p: JobParams, block: str = "word") -> DataFrame:
     """(id, term, weight) of one text block fitted on the same table."""
-    rows = prepare(df, p.text)
+    rows = stored(prepare(df, p.text), "prepared")
     f = fit_block_only(rows, p, block)
     b = f.blocks[0]
     out = design(rows, f).select("id", F.inline(F.arrays_zip("idx", "val"))).where(F.col("idx") < len(b.terms))

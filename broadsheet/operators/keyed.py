@@ -17,31 +17,31 @@ def digest(*cols: Column | str) -> Column:
     for c in cols:
         s = (F.col(c) if isinstance(c, str) else c).cast("string")
         parts.append(F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("-")))
-    return F.unhex(F.sha2(F.concat_ws("|", *parts), 256))
+    # never null, and said so: a join would otherwise filter on it and evaluate the whole expression once more
+    return F.coalesce(F.unhex(F.sha2(F.concat_ws("|", *parts), 256)), F.lit(b""))
 
 
 def hot_keys(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
-    return counts.orderBy(F.desc(n), F.asc(key)).limit(HOT_KEYS).select(key)
+    return counts.orderBy(F.desc(n), F.asc(key)).limit(HOT_KEYS)
 
 
-def mark_members(rows: DataFrame, members: DataFrame, counts: DataFrame, key: str, flag: str) -> DataFrame:
-    """Add ``flag``: does the row's ``key`` occur in ``members`` (distinct keys)?
+def flag_rows(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
+    """Add the flag of its key to every row.
 
-    ``counts`` has the number of ``rows`` per key as ``n``. Rows with a hot key take their answer from a broadcast of
-    at most ``HOT_KEYS`` rows and are spread over the join by a key that matches nothing.
+    ``keys`` has every key of ``rows`` once, with its number of rows ``n`` and the boolean ``flag``. Rows with a hot
+    key take their flag from a broadcast of at most ``HOT_KEYS`` rows and are spread over the join by a key that
+    matches nothing; of the other keys only the flagged ones are joined.
     """
-    members = members.select(F.col(key), F.lit(True).alias("_in"))
-    hot = hot_keys(counts, key).join(members, key, "left").select(
-        F.col(key).alias("_hot"), F.coalesce("_in", F.lit(False)).alias("_hot_in")
-    )
+    hot = hot_keys(keys, key).select(F.col(key).alias("_hot"), F.col(flag).alias("_hot_flag"))
     tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
     tagged = tagged.withColumn(
         "_probe",
         F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.unhex(F.hex(F.monotonically_increasing_id()))),
     )
-    cold = members.select(F.col(key).alias("_member"), "_in")
+    # n is tested so that both uses of ``keys`` need the same columns and Spark runs its aggregate once
+    cold = keys.where(F.col(flag) & (F.col("n") > 0)).select(F.col(key).alias("_member"), F.lit(True).alias("_in"))
     joined = tagged.join(cold, F.col("_probe") == F.col("_member"), "left")
-    answer = F.coalesce("_hot_in", "_in", F.lit(False))
+    answer = F.coalesce("_hot_flag", "_in", F.lit(False))
     return joined.select(*[F.col(c) for c in rows.columns], answer.alias(flag))
 
 

@@ -71,7 +71,7 @@ def source_onehot(spark, sf_dir):
 def assemble(spark, sf_dir):
     """Per row: number of features set, and squared length of the text blocks."""
     p = JobParams()
-    rows = D.prepare(news_dev(spark, sf_dir), p.text)
+    rows = sinks.stored(D.prepare(news_dev(spark, sf_dir), p.text), "prepared")
     f = D.fit_features(rows, p, [-1])
     text_size = sum(len(b.terms) for b in f.blocks)
     squared = F.aggregate(

@@ -13,15 +13,14 @@ def hot(request, monkeypatch):
     return request.param
 
 
-def test_mark_members_with_one_dominant_key(spark, hot):
+def test_flag_rows_with_one_dominant_key(spark, hot):
     rows = spark.range(400).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     rows = rows.withColumn("_key", keyed.digest("k"))
-    counts = rows.groupBy("_key").agg(F.count("*").alias("n"))
     for wanted in ([0, 7, 11], [7, 11]):
-        members = spark.createDataFrame([(k,) for k in wanted], "k bigint").select(keyed.digest("k").alias("_key"))
-        got = {r["id"] for r in keyed.mark_members(rows, members, counts, "_key", "hit").where("hit").collect()}
-        assert got == {r["id"] for r in rows.where(F.col("k").isin(wanted)).collect()}
-        assert keyed.mark_members(rows, members, counts, "_key", "hit").count() == 400
+        keys = rows.groupBy("_key").agg(F.count("*").alias("n"), F.max(F.col("k").isin(wanted)).alias("hit"))
+        flagged = keyed.flag_rows(rows, keys, "_key", "hit")
+        assert {r["id"] for r in flagged.where("hit").collect()} == {r["id"] for r in rows.where(F.col("k").isin(wanted)).collect()}
+        assert flagged.count() == 400
 
 
 def test_digest_keeps_neighbours_and_nulls_apart(spark):
