@@ -82,22 +82,22 @@ def word_len_histogram(df: DataFrame, c: str) -> DataFrame:
 
 
 def _binned(df: DataFrame) -> DataFrame:
-    def cell(feature, value, width=F.lit(1)):
-        return F.struct(F.lit(feature).alias("feature"), value.cast("double").alias("bin"), width.cast("double").alias("width"))
+    def cell(feature, value):
+        return F.struct(F.lit(feature).alias("feature"), value.cast("double").alias("bin"))
 
-    widths = F.array(*[F.lit(b - a) for a, b in zip(WORD_EDGES, WORD_EDGES[1:])])
     cells = [cell("page_rank", X.numeric_coerce("page_rank")), cell("timestamp.year", F.year(eda_timestamp("timestamp")))]
-    for c in ("title", "article"):
-        b = word_len_bin(X.word_count(c))
-        cells.append(cell(f"{c}.word_len", b, F.get(widths, b)))
+    cells += [cell(f"{c}.word_len", word_len_bin(X.word_count(c))) for c in ("title", "article")]
     return df.select(F.inline(F.array(*cells))).where("bin is not null")
 
 
 def bin_alignment(dev: DataFrame, other: DataFrame) -> DataFrame:
     """Counts of both tables over the union of their bins, a missing bin counting 0, for every drift feature."""
-    return _both(_binned(dev), _binned(other)).groupBy("feature", "bin", "width").agg(
+    counts = _both(_binned(dev), _binned(other)).groupBy("feature", "bin").agg(
         F.sum("in_dev").alias("n_dev"), F.sum("in_eval").alias("n_eval")
     )
+    widths = F.array(*[F.lit(float(b - a)) for a, b in zip(WORD_EDGES, WORD_EDGES[1:])])
+    width = F.when(F.col("feature").endswith("word_len"), F.get(widths, F.col("bin").cast("int"))).otherwise(1.0)
+    return counts.select("feature", "bin", width.alias("width"), "n_dev", "n_eval")
 
 
 def js_divergence(dev: DataFrame, other: DataFrame) -> DataFrame:

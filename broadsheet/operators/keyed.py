@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,17 +60,22 @@ def with_share(counts: DataFrame, by: list[str], n: str = "n", share: str = "sha
 
 
 def running_totals(
-    df: DataFrame, by: list[str], order: str, sums: list[str], descending: bool = False, buckets: int = 256
+    df: DataFrame, by: list[str], order: str, sums: list[str], descending: bool = False, buckets: int | None = None
 ) -> DataFrame:
     """Inclusive running sums of ``sums`` per ``by`` along ``order``, as ``cum_<name>``.
 
     ``df`` holds one row per (by, order). No group is sorted in one task: ``order`` is cut into buckets at approximate
-    quantiles, bucket totals give every bucket its offset, and the fine window runs inside (by, bucket).
+    quantiles (as many as the session's shuffle can use), bucket totals give every bucket its offset, and the fine
+    window runs inside (by, bucket).
     """
+    spark = df.sparkSession
+    buckets = buckets or max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = df.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10 * buckets)).first()[0]
-    bounds = F.array(*[F.lit(v) for v in sorted(set(cuts or []))]) if cuts else F.array().cast("array<double>")
-    above = F.size(F.filter(bounds, lambda b: b > F.col(order)))
-    bucketed = df.withColumn("_bucket", above if descending else -above)
+    splits = [-math.inf, *sorted({float(c) for c in cuts or [0.0]}), math.inf]
+    # a binary search per row in the JVM; the cuts are literals, so every use of the buckets sees the same ones
+    cutter = Bucketizer(splits=splits, inputCol="_order", outputCol="_at", handleInvalid="keep")
+    bucketed = cutter.transform(df.withColumn("_order", F.col(order).cast("double")))
+    bucketed = bucketed.select(*df.columns, (-F.col("_at") if descending else F.col("_at")).alias("_bucket"))
 
     totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,7 +92,7 @@ def running_totals(
     )
 
 
-def exact_quantiles(df: DataFrame, by: list[str], value: str, qs: list[float], buckets: int = 256) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: list[str], value: str, qs: list[float], buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles per group as columns ``q0``, ``q1``, ..., for any number of distinct values."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counts, by, value, ["n"], buckets=buckets)

@@ -42,7 +42,8 @@ def word_ngrams(c: Column | str, n_min: int = 1, n_max: int = 2, stop_words: tup
             else:
                 last = F.size(t) - (n - 1)
                 starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-                parts.append(F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " ")))  # noqa: B023
+                parts.append(F.transform(
+                    starts, lambda i: F.concat_ws(" ", *[F.get(t, i + (j - 1)) for j in range(n)])))  # noqa: B023
         return F.concat(*parts)
 
     # bound as a lambda variable, so that the text is tokenised once
