@@ -128,13 +128,11 @@ def _ranked(long: DataFrame) -> DataFrame:
     per_score = class_scores(long).groupBy("class", "score").agg(
         F.count(F.when(F.col("is_pos"), 1)).alias("tp_here"), F.count(F.lit(1)).alias("n_here")
     )
-    totals = per_score.groupBy("class").agg(F.sum("tp_here").alias("pos"), F.sum("n_here").alias("n")).where(
-        "pos > 0 and pos < n"
-    )
     ranked = running_totals(per_score, ["class"], "score", ["tp_here", "n_here"], descending=True)
-    return ranked.join(totals, "class").select(
-        "class", "score", "tp_here", "pos",
-        (F.col("cum_tp_here") / F.col("cum_n_here")).alias("precision"), (F.col("cum_tp_here") / F.col("pos")).alias("recall"),
+    pos = F.col("total_tp_here")
+    return ranked.where((pos > 0) & (pos < F.col("total_n_here"))).select(
+        "class", "score", "tp_here", pos.alias("pos"),
+        (F.col("cum_tp_here") / F.col("cum_n_here")).alias("precision"), (F.col("cum_tp_here") / pos).alias("recall"),
     )
 
 

@@ -62,9 +62,9 @@ def with_share(counts: DataFrame, by: list[str], n: str = "n", share: str = "sha
 def running_totals(
     df: DataFrame, by: list[str], order: str, sums: list[str], descending: bool = False, buckets: int | None = None
 ) -> DataFrame:
-    """Inclusive running sums of ``sums`` per ``by`` along ``order``, as ``cum_<name>``.
+    """Inclusive running sums of ``sums`` per ``by`` along ``order``, as ``cum_<name>``, and the group's ``total_<name>``.
 
-    ``df`` holds one row per (by, order). No group is sorted in one task: ``order`` is cut into buckets at approximate
+    ``df`` holds one row per (by, order), ``by`` without nulls. No group is sorted in one task: ``order`` is cut into buckets at approximate
     quantiles (as many as the session's shuffle can use), bucket totals give every bucket its offset, and the fine
     window runs inside (by, bucket).
     """
@@ -78,17 +78,20 @@ def running_totals(
     bucketed = bucketed.select(*df.columns, (-F.col("_at") if descending else F.col("_at")).alias("_bucket"))
 
     totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
-    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *[F.col(c).alias(f"_o_{c}") for c in [*by, "_bucket"]],
+        *by, "_bucket",
         *[F.coalesce(F.sum(f"_sum_{s}").over(before), F.lit(0)).alias(f"_off_{s}") for s in sums],
+        *[F.sum(f"_sum_{s}").over(group).alias(f"total_{s}") for s in sums],
     )
     direction = F.desc(order) if descending else F.asc(order)
     inside = Window.partitionBy(*by, "_bucket").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     local = bucketed.select("*", *[F.sum(s).over(inside).alias(f"_in_{s}") for s in sums])
-    same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in [*by, "_bucket"]]
-    return local.join(offsets, same).select(
-        *df.columns, *[(F.col(f"_in_{s}") + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums]
+    # joined on the window's own partitioning, so the rows are not shuffled again
+    return local.join(offsets, [*by, "_bucket"]).select(
+        *df.columns, *[(F.col(f"_in_{s}") + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums],
+        *[f"total_{s}" for s in sums],
     )
 
 
@@ -96,14 +99,10 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, qs: list[float], b
     """Exact linear-interpolation quantiles per group as columns ``q0``, ``q1``, ..., for any number of distinct values."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counts, by, value, ["n"], buckets=buckets)
-    totals = counts.groupBy(*[F.col(c).alias(f"_t_{c}") for c in by]).agg(F.sum("n").alias("_total"))
-    ranked = ranked.join(totals, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in by]) if by else ranked.withColumn(
-        "_total", counts.agg(F.sum("n")).scalar()
-    )
     first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
     out = []
     for i, q in enumerate(qs):
-        position = (F.col("_total") - 1) * F.lit(q)
+        position = (F.col("total_n") - 1) * F.lit(q)
         low, high = F.floor(position), F.ceil(position)
         at = lambda rank: F.max(F.when((first <= rank) & (rank <= last), F.col(value)))
         out.append((at(low) + (at(high) - at(low)) * F.max(position - low)).alias(f"q{i}"))

@@ -331,7 +331,8 @@ def histogram(df: DataFrame, c: str, bins: int = 50, density: bool = False, by:
     edge = lambda i: F.when(i >= bins, F.col("hi")).otherwise(
         F.col("lo") + i * ((F.col("hi") - F.col("lo")) / F.lit(float(bins))))
     if by:
-        binned = values.join(ranges, by)
+        # groups are classes and sides of score columns: their number is bounded by the input's columns
+        binned = values.join(F.broadcast(ranges), by)
     else:
         limits = ranges.select(F.struct("lo", "hi").alias("s")).scalar()
         binned = values.select("v", limits.alias("s")).select("v", "s.lo", "s.hi")
