@@ -182,6 +182,8 @@ def queries() -> dict[str, Query]:
         "canonical_text": on_both(lambda dev, eva: dev.select("id", "title", "article").unionByName(
             eva.select("id", "title", "article")).select(
             "id", *[canonical.canonical_text(c).alias(c) for c in ("title", "article")])),
+        "clean_pages": lambda s, p: s.read.parquet(f"{p}/pages.parquet").select(
+            "page_id", canonical.clean_text("html").alias("text")),
         "select_features": on_dev(lambda d: d.select(F.col("label").cast("int").alias("y"), *articles.EVAL_COLUMNS)),
         "filter_rows": on_dev(lambda d: d.where(
             T.missing_like("article") | times.eda_timestamp("timestamp").isNotNull()).select("id", "label")),

@@ -74,8 +74,8 @@ def assemble(spark, sf_dir):
     rows = sinks.stored(D.prepare(news_dev(spark, sf_dir), p.text), "prepared")
     f = D.fit_features(rows, p, [-1])
     text_size = sum(len(b.terms) for b in f.blocks)
-    squared = F.aggregate(
-        F.filter(F.arrays_zip("idx", "val"), lambda x: x["idx"] < text_size), F.lit(0.0), lambda a, x: a + x["val"] * x["val"])
+    squares = F.zip_with("idx", "val", lambda i, v: F.when(i < text_size, v * v).otherwise(0.0))
+    squared = F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)
     return D.design(rows, f).select("id", "label", F.size("idx").alias("n_set"), F.round(squared, 6).alias("text_norm"))
 
 

@@ -291,6 +291,7 @@ SELECT 'pred_label_counts', p, 2 FROM q""",
     "canonical_text": f"WITH {DEV}, {EVA}, a AS (SELECT id, title, article FROM dev UNION ALL SELECT id, title, article FROM eva) "
                       f"SELECT id, {canonical('title')} AS title, {canonical('article')} AS article FROM a",
     "clean_text": dev(f"id, {clean('title')} AS title, {clean('article')} AS article"),
+    "clean_pages": "SELECT page_id, " + squeeze(plain("replace(replace(html, '&copy;', '©'), '&middot;', '·')")) + " AS text FROM pages",
     "strip_ad_prefix": dev("id, " + listed(f"regexp_replace({text(c)}, '{AD}', '') AS {c}" for c in ("title", "article"))),
     "join_text": dev(f"id, {text('title')} || ' ' || {text('title')} || ' ' || "
                      f"CASE WHEN {gone('article')} THEN ' __MISSING_ARTICLE__ ' ELSE article END AS joined"),
