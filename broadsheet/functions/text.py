@@ -146,8 +146,7 @@ def shorten(c: Column | str, max_len: int = 160) -> Column:
 
 def numeric_coerce(c: Column | str) -> Column:
     """Number or null; text that is not a number is null."""
-    number = _col(c).cast("string").try_cast("double")
-    return F.when(F.isnan(number), None).otherwise(number)
+    return F.nanvl(_col(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def numeric_or_zero(c: Column | str) -> Column:

@@ -321,8 +321,8 @@ def gotchas(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, c: str, bins: int = 50, density: bool = False, by: list[str] | None = None) -> DataFrame:
     """Equal-width bins between minimum and maximum, the last one closed; empty bins are listed."""
     by = by or []
-    values = df.select(*by, X.numeric_coerce(c).alias("v")).where("v is not null")
-    ranges = values.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), _rows().alias("total"))
+    values = df.select(*by, X.numeric_coerce(c).alias("v"))
+    ranges = values.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("total"))
     flat = F.col("lo") == F.col("hi")
     ranges = ranges.where("lo is not null").select(
         *by, F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
