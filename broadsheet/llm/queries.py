@@ -2,12 +2,53 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import documents
+from broadsheet.llm import brown, langid
+from broadsheet.llm.common import documents, held_out
+from broadsheet.llm.embed import near_vectors
 from broadsheet.llm.exact import exact_duplicates
+from broadsheet.llm.jaccard import jaccard_groups
 from broadsheet.llm.lines import dedup_lines
+from broadsheet.llm.merges import encoded_digests
 from broadsheet.llm.mixing import mix
+from broadsheet.llm.records import token_records
+from broadsheet.llm.toxicity import toxicity
+
+
+def op1_brown(spark, sf_dir):
+    docs = documents(spark, sf_dir).withColumn("flag", held_out(7))
+    model, counts = brown.fit(docs.where("not flag"))
+    return brown.score(docs, model, counts).select(
+        "doc_id", F.col("flag").alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score", "score", "perplexity")
+
+
+def op2_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = langid.learn(docs.where(~held_out(4)))
+    return langid.identify(docs, model).select("doc_id", held_out(4).alias("held_out"), "lang_pred", "score", "phrase_rate")
+
+
+def op3_near_vectors(spark, sf_dir):
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op5_token_records(spark, sf_dir):
+    return token_records(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")).drop("file")
+
+
+def op6_toxicity(spark, sf_dir):
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_merge_dropout(spark, sf_dir):
+    return encoded_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_groups(documents(spark, sf_dir))
 
 
 def op4_mixing(spark, sf_dir):
@@ -25,8 +66,15 @@ def op10_exact_dedup(spark, sf_dir):
 
 def queries():
     return {
+        "op1_brown": op1_brown,
+        "op2_language": op2_language,
+        "op3_near_vectors": op3_near_vectors,
         "op4_mixing": op4_mixing,
+        "op5_token_records": op5_token_records,
+        "op6_toxicity": op6_toxicity,
+        "op7_merge_dropout": op7_merge_dropout,
         "op8_line_dedup": op8_line_dedup,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
