@@ -41,12 +41,13 @@ def exact_duplicates(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
 
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), _best().alias("best")).where("n > 1")
     shared = stored(shared.select("key", "best.id", F.col("best.n_points").alias("points")), "exact-shared")
-    # texts travel only for hashes of several rows; no aggregate stands over these joins, so a hot hash can be split
-    members = stored(texts.join(shared, "key"), "exact-members")
+    # Only texts whose hash has several rows go on. Merge joins at every size, so that a plan seen on little data is
+    # that for much; no aggregate stands over them, so a hot hash can be split.
+    members = stored(texts.join(shared.hint("merge"), "key"), "exact-members")
     first = members.where(F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("n_points") == F.col("points")))
     first = stored(first.groupBy("key").agg(F.first("norm").alias("kept_norm")), "exact-first")
-    differing = members.select("key", "norm").join(first, "key").where("norm != kept_norm")
-    collided = stored(differing.select("key").distinct(), "exact-collided")
+    differing = members.select("key", "norm").join(first.hint("merge"), "key").where("norm != kept_norm")
+    collided = stored(stored(differing.select("key"), "exact-differing").distinct(), "exact-collided")
 
     split = F.when(F.col("differs"), F.concat("key", F.unhex("text_sha256"), F.unhex(F.hex("n_norm")))).otherwise(F.col("key"))
     rows = keyed.join(collided.withColumn("differs", F.lit(True)), "key", "left").select(
