@@ -14,23 +14,28 @@ from broadsheet.llm.common import components, map_bytes, plain, stored, text_of
 # Odd multipliers of the shingle hash.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 BLOCK = 256
+# Marks elements that a set lacks, among those in which it differs from another.
+GONE = 0x8000000000000001
 
 
 @dataclass(frozen=True)
 class JaccardParams:
     """Sets link if 100 * intersection >= percent * union. ``hot`` bounds the table of frequent shingles that every task
-    holds; it orders the index and has no influence on results."""
+    holds; it orders the index. ``shared`` is how many index entries two sets must share to be compared, with as many
+    more entries a set. Neither has an influence on results."""
 
     words: int = 4
     percent: int = 85
+    shared: int = 4
     hot: int = 262_144
     salts: int = 16
+    tile: int = 512
 
 
 class Shingles:
     """64-bit hashes of a text's shingles, sorted and distinct; words' hashes are remembered up to ``limit``."""
 
-    def __init__(self, words: int, limit: int = 400_000):
+    def __init__(self, words: int, limit: int = 150_000):
         self.words, self.limit, self.known = words, limit, {}
 
     def __call__(self, text: bytes) -> np.ndarray:
@@ -39,16 +44,11 @@ class Shingles:
         tokens, known = text.lower().split(), self.known
         if not tokens:
             return np.zeros(0, np.uint64)
-        try:
-            codes = list(map(known.__getitem__, tokens))
-        except KeyError:
-            if len(known) > self.limit:
-                known.clear()
-            for w in tokens:
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            codes = list(map(known.__getitem__, tokens))
-        h = np.array(codes, np.uint64)
+        if len(known) > self.limit:
+            known.clear()
+        for w in set(tokens).difference(known):
+            known[w] = xxhash.xxh3_64_intdigest(w)
+        h = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
         k = min(self.words, len(h))
         out = np.full(len(h) - k + 1, k, np.uint64)  # the length keeps short texts apart from others' shingles
         for i in range(k):
@@ -68,9 +68,10 @@ def needed(a, b, percent: int):
     return -((a + b) * percent // -(100 + percent))
 
 
-def prefix(n, percent: int):
-    """So many of the first elements of two linked sets, in any common order, share one."""
-    return n - (-(n * percent // -100)) + 1
+def prefix(n, percent: int, shared: int = 1):
+    """So many of the first elements of two linked sets, in any common order, share ``shared`` (or all they must share,
+    if that is less): after the last of those, neither set has room for the rest of the smallest intersection."""
+    return min(n, n - (-(n * percent // -100)) + shared)
 
 
 def _sets_and_counts(docs: DataFrame, p: JaccardParams) -> DataFrame:
@@ -97,7 +98,7 @@ def _sets_and_counts(docs: DataFrame, p: JaccardParams) -> DataFrame:
                     seen.add(sig)
                     held.append(h)
                     size += len(h)
-                    if size > 2_000_000:
+                    if size > 1_000_000:
                         yield from counts()
                         held, size = [], 0
             yield out
@@ -107,15 +108,19 @@ def _sets_and_counts(docs: DataFrame, p: JaccardParams) -> DataFrame:
     return stored(map_bytes(plain(docs, "doc_id", "text"), run, "doc_id bigint, n bigint, sig binary, hash bigint"), "jac-sets")
 
 
+POSTING = "token bigint, doc_id bigint, mark int, at bigint"
+
+
 def _postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], p: JaccardParams) -> DataFrame:
-    """(token, doc_id, at): the prefix of every set, rare shingles first; ``at`` holds size and position."""
+    """(token, doc_id, mark, at): the prefix of every set, rare shingles first; ``mark`` is part of the set's signature,
+    ``at`` holds size and position."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)  # at most ``hot`` entries
 
     def run(batches):
         shingles, seen = Shingles(p.words), set()
         keys, often = shared.value
         for b in batches:
-            tokens, ids, ats = [], [], []
+            tokens, ids, marks, ats = [], [], [], []
             for doc_id, t in zip(b["doc_id"], b["text"]):
                 h = shingles(t)
                 sig = signature(h)
@@ -127,46 +132,48 @@ def _postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], p: JaccardPar
                 if len(keys):
                     slot = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                     count = np.where(keys[slot] == h, often[slot], 0)
-                first = np.lexsort((h, count))[:prefix(n, p.percent)]
+                first = np.lexsort((h, count))[:prefix(n, p.percent, p.shared)]
                 tokens.append(h[first])
                 ids.append(np.full(len(first), doc_id))
+                marks.append(np.full(len(first), int.from_bytes(sig[:4], "big", signed=True), np.int32))
                 ats.append((n << 32) | np.arange(len(first)))
             if tokens:
-                yield {"token": np.concatenate(tokens).view(np.int64), "doc_id": np.concatenate(ids), "at": np.concatenate(ats)}
+                yield {"token": np.concatenate(tokens).view(np.int64), "doc_id": np.concatenate(ids),
+                       "mark": np.concatenate(marks), "at": np.concatenate(ats)}
 
-    return map_bytes(plain(docs, "doc_id", "text"), run, "token bigint, doc_id bigint, at bigint")
+    return map_bytes(plain(docs, "doc_id", "text"), run, POSTING)
 
 
 def _shared_only(postings: DataFrame) -> DataFrame:
     """Postings of tokens that stand in several lists' rows; most tokens occur once and end here."""
     def run(batches):
-        last = None  # the row that may still find a neighbour, and whether it has one
+        last, met = None, False  # the row that may still find a neighbour, and whether it has one
         for b in batches:
-            token, doc, at = (c.to_numpy() for c in b.columns)
-            if not len(token):
+            rows = [c.to_numpy() for c in b.columns]
+            if not len(rows[0]):
                 continue
             if last is not None:
-                token, doc, at = np.r_[last[0], token], np.r_[last[1], doc], np.r_[last[2], at]
-            same = token[1:] == token[:-1]
+                rows = [np.r_[x, y] for x, y in zip(last, rows)]
+            same = rows[0][1:] == rows[0][:-1]
             keep = np.r_[False, same] | np.r_[same, False]
-            if last is not None:
-                keep[0] |= last[3]
-            last = token[-1:], doc[-1:], at[-1:], bool(keep[-1])
+            keep[0] |= met
+            last, met = [x[-1:] for x in rows], bool(keep[-1])
             keep[-1] = False
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, doc, at)], names=["token", "doc_id", "at"])
-        if last is not None and last[3]:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in last[:3]], names=["token", "doc_id", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in rows], schema=b.schema)
+        if met:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in last], schema=b.schema)
 
     dealt = postings.repartition("token").sortWithinPartitions("token")
-    return dealt.mapInArrow(run, "token bigint, doc_id bigint, at bigint")
+    return dealt.mapInArrow(run, POSTING)
 
 
-def list_pairs(size, pos, part, lead, over, percent: int):
+def list_pairs(size, pos, part, lead, over, near, percent: int, shared: int = 1):
     """Pairs (i, j) of one index list, sorted by size, that may link and do not belong to one component yet.
 
-    The list is taken in blocks; a block skips all others whose sizes or positions cannot reach the needed intersection.
+    The list is taken in blocks; a block skips all others whose sizes or positions cannot reach the needed intersection,
+    this entry being one of the first ``shared`` that a pair has in common.
     Where two sets were compared with the same third set, that answer bounds theirs: they share at most what both have
-    of it, and of the rest no more than the smaller rest.
+    of it, and of the rest no more than the smaller rest. If both are near it, their own answer is known already.
     """
     out_i, out_j, n = [], [], len(size)
     room = size - pos  # elements from this token on
@@ -176,12 +183,13 @@ def list_pairs(size, pos, part, lead, over, percent: int):
             y = slice(b, min(b + BLOCK, n))
             if size[x][-1] * 100 < size[y][0] * percent:
                 break  # all later blocks are larger still
-            if min(room[x].max(), room[y].max()) < needed(size[x][0], size[y][0], percent):
+            if min(room[x].max(), room[y].max()) + shared - 1 < needed(size[x][0], size[y][0], percent):
                 continue
             least = needed(size[x][:, None], size[y][None, :], percent)
-            ok = (np.minimum(room[x][:, None], room[y][None, :]) >= least) & (size[x][:, None] * 100 >= size[y][None, :] * percent)
+            ok = (np.minimum(room[x][:, None], room[y][None, :]) + shared - 1 >= least) & (size[x][:, None] * 100 >= size[y][None, :] * percent)
             ok &= part[x][:, None] != part[y][None, :]
             both = (lead[x][:, None] == lead[y][None, :]) & (over[x][:, None] >= 0) & (over[y][None, :] >= 0)
+            ok &= ~(both & near[x][:, None] & near[y][None, :])
             bound = np.minimum(over[x][:, None], over[y][None, :]) + np.minimum((size - over)[x][:, None], (size - over)[y][None, :])
             ok &= ~both | (bound >= least)
             if a == b:
@@ -192,29 +200,40 @@ def list_pairs(size, pos, part, lead, over, percent: int):
     return (np.concatenate(out_i), np.concatenate(out_j)) if out_i else (np.zeros(0, int), np.zeros(0, int))
 
 
-def _candidates(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b) from lists of (token, node, size, pos, part, lead, over)."""
-    names = ["token", "node", "size", "pos", "part", "lead", "over"]
+def _candidates(lists: DataFrame, percent: int, shared: int) -> DataFrame:
+    """Pairs (a, b) that share enough entries of the lists of (token, node, size, pos, part, lead, over, near)."""
+    names = ["token", "node", "size", "pos", "part", "lead", "over", "near"]
 
     def pairs(rows):
         cuts = np.flatnonzero(np.r_[True, rows[0][1:] != rows[0][:-1], True])
-        a, b = [], []
+        held, size_held = [], 0
         for s, e in zip(cuts[:-1], cuts[1:]):
             if e - s > 1:
-                _, node, size, pos, part, lead, over = (c[s:e] for c in rows)
-                i, j = list_pairs(size, pos, part, lead, over, percent)
-                a.append(node[i])
-                b.append(node[j])
-        if a:
-            a, b = np.concatenate(a), np.concatenate(b)
-            found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-            for k in range(0, found.shape[1], 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k:k + 100_000]) for x in found], names=["a", "b"])
+                _, node, size, pos, part, lead, over, near = (c[s:e] for c in rows)
+                i, j = list_pairs(size, pos, part, lead, over, near, percent, shared)
+                turn = node[i] > node[j]
+                i, j = np.where(turn, j, i), np.where(turn, i, j)
+                held.append(np.stack([node[i], node[j], size[i], size[j]], axis=1))
+                size_held += len(i)
+                if size_held > 500_000:
+                    yield from counted(np.concatenate(held))
+                    held, size_held = [], 0
+        if size_held:
+            yield from counted(np.concatenate(held))
+
+    def counted(found):
+        found = found[np.lexsort((found[:, 1], found[:, 0]))]
+        cuts = np.flatnonzero(np.r_[True, (found[1:, :2] != found[:-1, :2]).any(axis=1)])
+        n = np.diff(np.r_[cuts, len(found)])
+        for k in range(0, len(cuts), 100_000):
+            at = cuts[k:k + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in found[at].T] + [pa.array(n[k:k + 100_000])], names=["a", "b", "size_a", "size_b", "n"])
 
     def run(batches):
         held: list[list[np.ndarray]] = []
         for batch in batches:
-            rows = [c.to_numpy() for c in batch.columns]
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if not len(rows[0]):
                 continue
             # the last token's list may go on in the next batch
@@ -228,12 +247,23 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
             yield from pairs([np.concatenate(x) for x in zip(*held)])
 
     dealt = lists.select(*names).repartition("token").sortWithinPartitions("token", "size", "node")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    pairs = dealt.mapInArrow(run, "a bigint, b bigint, size_a bigint, size_b bigint, n bigint")
+    pairs = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.sum("n").alias("n"))
+    return pairs.where(F.col("n") >= _fewest("size_a", "size_b", percent, shared)).select("a", "b")
+
+
+def _needed(a: str, b: str, percent: int) -> Column:
+    return F.ceil((F.col(a) + F.col(b)) * F.lit(percent) / F.lit(100 + percent) - F.lit(1e-9))
+
+
+def _fewest(a: str, b: str, percent: int, shared: int) -> Column:
+    """Index entries that linked sets of these sizes share at least."""
+    return F.least(F.lit(shared), _needed(a, b, percent))
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame, salts: int) -> DataFrame:
-    """(a, b, common) of pairs (a, b): each b's set comes first in its task, and the sets of its a follow in a stream.
-    The partners of one b are spread over ``salts`` keys."""
+    """(a, b, common, apart) of pairs (a, b): each b's set comes first in its task, and the sets of its a follow in a
+    stream. The partners of one b are spread over ``salts`` keys. ``apart`` holds what only one of two near sets has."""
     salted = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(salts)).cast("int").alias("salt"))
     heads = salted.select("b", "salt").distinct().join(sets.withColumnRenamed("node", "b"), "b").select(
         "b", "salt", F.lit(None).cast("bigint").alias("a"), "hashes")
@@ -242,19 +272,94 @@ def overlaps(pairs: DataFrame, sets: DataFrame, salts: int) -> DataFrame:
     def run(batches):
         name, head = None, None
         for rows in batches:
-            out = {"a": [], "b": [], "common": []}
+            out = {"a": [], "b": [], "common": [], "apart": []}
             for b, salt, a, hashes in zip(rows["b"], rows["salt"], rows["a"], rows["hashes"]):
                 here = np.frombuffer(hashes, np.uint64)
                 if a is None:
                     name, head = b, here
                 elif name == b:
                     at = np.minimum(np.searchsorted(head, here), len(head) - 1)
-                    for key, value in zip(out, (a, b, int((head[at] == here).sum()))):
+                    met = head[at] == here
+                    n, apart = int(met.sum()), None
+                    if 2 * n > len(here) and 2 * n > len(head):
+                        gone = np.ones(len(head), bool)
+                        gone[at[met]] = False
+                        apart = np.concatenate([here[~met], head[gone] ^ np.uint64(GONE)]).tobytes()
+                    for key, value in zip(out, (a, b, n, apart)):
                         out[key].append(value)
             yield out
 
     dealt = heads.unionByName(members).repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
-    return map_bytes(dealt, run, "a bigint, b bigint, common bigint", ("hashes",))
+    return map_bytes(dealt, run, "a bigint, b bigint, common bigint, apart binary", ("hashes",))
+
+
+def near_pair_links(a, b, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs (row of a, row of b) of two tables (size, common, apart, size_lead) of sets near the same lead.
+
+    The intersection follows from the answers with the lead and the few elements in which each set differs from it:
+    the lead without what either lacks, and what both added.
+    """
+    sides = [[np.frombuffer(x, np.uint64) for x in t["apart"]] for t in (a, b)]
+    flat = [np.concatenate(s) if s else np.zeros(0, np.uint64) for s in sides]
+    both = np.intersect1d(*flat)
+    shared = np.zeros((len(a), len(b)), np.float32)
+    row = [np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in sides]
+    place = [np.minimum(np.searchsorted(both, f), max(0, len(both) - 1)) for f in flat]
+    held = [both[p] == f if len(both) else np.zeros(len(f), bool) for p, f in zip(place, flat)]
+    for k in range(0, len(both), 4096):
+        blocks = []
+        for s, r, p, h in zip(sides, row, place, held):
+            here = h & (p >= k) & (p < k + 4096)
+            x = np.zeros((len(s), min(4096, len(both) - k)), np.float32)
+            x[r[here], p[here] - k] = 1
+            blocks.append(x)
+        shared += blocks[0] @ blocks[1].T
+    lead, x, y = int(a["size_lead"].iloc[0]), a["common"].to_numpy(), b["common"].to_numpy()
+    common = lead - (lead - x)[:, None] - (lead - y)[None, :] + shared.astype(np.int64)
+    union = a["size"].to_numpy()[:, None] + b["size"].to_numpy()[None, :] - common
+    return np.nonzero(common * 100 >= percent * union)
+
+
+def _near_links(first: DataFrame, percent: int, tile: int) -> DataFrame:
+    """(a, b) that connect all links between sets near one lead, at least one of them not linked with the lead itself.
+
+    The sets of a lead are cut into tiles; a task compares two tiles by what its sets differ in, and sends links that
+    connect the same sets, never its pairs.
+    """
+    rows = first.where("apart is not null").select(
+        F.col("a").alias("node"), F.col("b").alias("lead"), (~F.col("linked")).cast("int").alias("open"),
+        F.col("size_a").alias("size"), "common", "apart", F.col("size_b").alias("size_lead"))
+    counts = stored(rows.groupBy("lead", "open").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles")), "jac-tiles")
+    placed = rows.join(counts, ["lead", "open"]).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).drop("tiles")
+    left = counts.where("open = 1").select("lead", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"))
+    right = counts.select("lead", F.col("open").alias("to"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("j"))
+    tasks = left.join(right, "lead").where("to = 0 or i <= j")
+
+    def side(name):
+        own, open_ = ("i", F.lit(1)) if name == "a" else ("j", F.col("to"))
+        to = tasks.select("lead", "i", "j", "to", F.col(own).alias("tile"), open_.alias("open"))
+        if name == "b":
+            to = to.where("to = 0 or i < j")  # a tile with itself needs one side only
+        return placed.join(to, ["lead", "tile", "open"]).select(
+            "lead", "i", "j", "to", F.lit(name).alias("side"), "node", "size", "common", "apart", "size_lead")
+
+    def compare(group):
+        import pandas as pd
+
+        from broadsheet.llm.embed import smallest_linked
+
+        a, b = group[group["side"] == "a"], group[group["side"] == "b"]
+        same = bool((group["to"].iloc[0] == 1) and group["i"].iloc[0] == group["j"].iloc[0])
+        b = a if same else b
+        if not len(a) or not len(b):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        i, j = near_pair_links(a, b, percent)
+        ids = a["node"].to_numpy() if same else np.concatenate([a["node"], b["node"]])
+        name = smallest_linked(len(ids), i, j if same else j + len(a))
+        at = np.flatnonzero(name != np.arange(len(ids)))
+        return pd.DataFrame({"a": ids[at], "b": ids[name[at]]})
+
+    return side("a").unionByName(side("b")).groupBy("lead", "i", "j", "to").applyInPandas(compare, "a bigint, b bigint")
 
 
 def _linked(percent: int) -> Column:
@@ -267,7 +372,8 @@ def jaccard_groups(docs: DataFrame, p: JaccardParams = JaccardParams()) -> DataF
     1. One pass hashes every text's shingles; equal sets become one node, named by its smallest id.
     2. A second pass indexes the first elements of each set in an order that puts frequent shingles last; linked sets
        share one of them.
-    3. Every node is compared with the most connected set of its lists, and the answers form components.
+    3. Every node is compared with the most connected set of its lists, its lead. Nodes near one lead get the answers
+       among themselves from the elements in which each differs from it. All these answers form components.
     4. Only sets of different components that share a list are still candidates. Lists are skipped by blocks of size
        and position, and by what the answers of step 3 imply; what remains is compared exactly.
 
@@ -289,7 +395,10 @@ def jaccard_groups(docs: DataFrame, p: JaccardParams = JaccardParams()) -> DataF
     of = stored(one.join(reps, "sig").select("doc_id", "node", "sig"), "jac-nodes")
 
     shared = stored(_shared_only(_postings(slim, hot, p)), "jac-shared")
-    lists = shared.join(of.select("doc_id", "node"), "doc_id").select(
+    # of rows that repeat an id, the entries of the set that stands for it
+    bits = F.conv(F.hex(F.substring("sig", 1, 4)), 16, 10).cast("bigint")
+    mark = F.when(bits >= 1 << 31, bits - (1 << 32)).otherwise(bits).cast("int").alias("mark")
+    lists = shared.join(of.select("doc_id", "node", mark), ["doc_id", "mark"]).select(
         "token", "node", F.shiftright("at", 32).alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).alias("pos"))
     lists = lists.dropDuplicates(["token", "node"])
     lists = stored(lists, "jac-lists")
@@ -300,31 +409,35 @@ def jaccard_groups(docs: DataFrame, p: JaccardParams = JaccardParams()) -> DataF
     pull = lists.groupBy("node").agg((F.sum("m") / F.max("size")).alias("pull"))
     drawn = stored(lists.join(pull, "node"), "jac-drawn")
     leaders = drawn.groupBy("token").agg(F.max(F.struct("pull", F.col("node").alias("lead"))).alias("best")).select("token", "best.lead")
-    votes = drawn.join(leaders, "token").where("node != lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("n"))
-    chosen = votes.groupBy("node").agg(F.max(F.struct("n", "lead")).alias("best")).select("node", "best.lead")
-    chosen = stored(chosen, "jac-chosen")
-
-    wanted = drawn.select("node").distinct().join(of.where("doc_id = node").select("node", "sig"), "node")
+    votes = drawn.join(leaders, "token").where("node != lead").groupBy("node", "lead").agg(
+        F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    chosen = votes.groupBy("node").agg(F.max(F.struct("n", "lead")).alias("best"), F.max("size").alias("size"))
+    chosen = stored(chosen.where(F.col("best.n") >= _fewest("size", "size", p.percent, p.shared)).select("node", "best.lead"), "jac-chosen")
+
+    # a set with fewer entries in common with all others together than it needs with one is linked with none
+    sizes = drawn.groupBy("node").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    least = F.least(F.lit(p.shared), F.ceil(F.col("size") * F.lit(p.percent) / 100 - F.lit(1e-9)))
+    sizes = stored(sizes.where(F.col("n") >= least).select("node", "size"), "jac-sizes")
+    wanted = sizes.select("node").join(of.where("doc_id = node").select("node", "sig"), "node")
     sets = stored(_sets_of(slim, wanted, p), "jac-hashes")
-    sizes = drawn.groupBy("node").agg(F.max("size").alias("size"))
-    sizes = stored(sizes, "jac-sizes")
 
     first = _compared(chosen.select(F.col("node").alias("a"), F.col("lead").alias("b")), sets, sizes, p)
-    first = stored(first, "jac-first")
-    edges = first.where("linked").select("a", "b")
+    first = stored(first.dropDuplicates(["a", "b"]), "jac-first")
+    edges = first.where("linked").select("a", "b").unionByName(stored(_near_links(first, p.percent, p.tile), "jac-near"))
     parts = components(edges, "jac-parts")
 
-    answers = first.select(F.col("a").alias("node"), F.col("b").alias("lead"), F.col("common").alias("over"))
+    answers = first.select(
+        F.col("a").alias("node"), F.col("b").alias("lead"), F.col("common").alias("over"), F.col("apart").isNotNull().alias("near"))
     # a leader is compared with itself
     own = chosen.select(F.col("lead").alias("node")).distinct().join(answers.select("node"), "node", "left_anti").join(sizes, "node").select(
-        "node", F.col("node").alias("lead"), F.col("size").alias("over"))
+        "node", F.col("node").alias("lead"), F.col("size").alias("over"), F.lit(True).alias("near"))
     known = stored(sizes.select("node").join(answers.unionByName(own), "node", "left").join(parts, "node", "left").select(
         "node", F.coalesce("component", "node").alias("part"), F.coalesce("lead", "node").alias("lead"),
-        F.coalesce("over", F.lit(-1)).alias("over")), "jac-known")
+        F.coalesce("over", F.lit(-1)).alias("over"), F.coalesce("near", F.lit(False)).alias("near")), "jac-known")
     tagged = stored(drawn.select("token", "node", "size", "pos").join(known, "node"), "jac-tagged")
     mixed = tagged.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high").select("token")
-    rest = stored(_candidates(tagged.join(mixed, "token", "left_semi"), p.percent), "jac-candidates")
-    second = stored(_compared(rest, sets, sizes, p), "jac-second")
+    rest = stored(_candidates(tagged.join(mixed, "token", "left_semi"), p.percent, p.shared), "jac-candidates")
+    second = stored(_compared(rest, sets, sizes, p).select("a", "b", "linked"), "jac-second")
     final = components(edges.unionByName(second.where("linked").select("a", "b")), "jac-final")
 
     named = of.join(final, "node", "left").select(F.col("doc_id").alias("_id"), F.coalesce("component", "node").alias("part"))
@@ -345,14 +458,16 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, p: JaccardParams) -> DataFrame:
                     out["hashes"].append(h.tobytes())
             yield out
 
-    texts = docs.select(F.col("doc_id").alias("node"), text_of().alias("text")).join(wanted, "node")
-    return map_bytes(texts.select("node", "sig", "text"), run, "node bigint, hashes binary", ("text", "sig")).dropDuplicates(["node"])
+    texts = docs.select(F.col("doc_id").alias("node"), text_of().alias("text")).join(wanted.hint("merge"), "node")
+    # equal rows are made one where the join has brought them together
+    texts = texts.withColumn("version", F.xxhash64("text")).dropDuplicates(["node", "version"])
+    return map_bytes(texts.select("node", "sig", "text"), run, "node bigint, hashes binary", ("text", "sig"))
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, p: JaccardParams) -> DataFrame:
     found = overlaps(pairs, sets, p.salts)
     a, b = (sizes.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in "ab")
-    return found.join(a, "a").join(b, "b").select("a", "b", "common", _linked(p.percent).alias("linked"))
+    return found.join(a, "a").join(b, "b").select("a", "b", "common", "apart", "size_a", "size_b", _linked(p.percent).alias("linked"))
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:

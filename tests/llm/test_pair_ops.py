@@ -86,7 +86,8 @@ def copies(seed, n=260):
 EDGE = [(2, None), (3, ""), (5, " \n"), (6, "one two"), (8, "ONE\x0btwo"), (9, "one two three"), (11, "one"), (None, "one two"), (12, "\x1cone two")]
 
 
-@pytest.mark.parametrize("seed,params", [(1, JaccardParams()), (2, JaccardParams(words=5, percent=80)), (3, JaccardParams(words=2, percent=50, hot=4)), (4, JaccardParams(hot=0, salts=2))])
+@pytest.mark.parametrize("seed,params", [
+    (1, JaccardParams()), (2, JaccardParams(words=5, percent=80, tile=7)), (3, JaccardParams(words=2, percent=50, hot=4, salts=2, shared=1))])
 def test_jaccard_groups(docs, seed, params):
     rows = copies(seed) + EDGE
     got = jaccard_groups(docs(*rows), params)
@@ -116,11 +117,12 @@ def test_skipped_blocks_hold_no_pair():
     size = np.sort(rng.integers(10, 400, n))
     pos, part = rng.integers(0, 40, n) % (size // 6 + 1), rng.integers(0, 5, n)
     none = np.full(n, -1)
-    i, j = list_pairs(size, pos, part, np.arange(n), none, 85)
     room = size - pos
-    want = {(a, b) for a in range(n) for b in range(a + 1, n) if part[a] != part[b] and size[a] * 100 >= size[b] * 85
-            and min(room[a], room[b]) * 185 >= 85 * (size[a] + size[b])}
-    assert set(zip(i.tolist(), j.tolist())) == want
+    for shared in (1, 3):
+        i, j = list_pairs(size, pos, part, np.arange(n), none, none > 0, 85, shared)
+        want = {(a, b) for a in range(n) for b in range(a + 1, n) if part[a] != part[b] and size[a] * 100 >= size[b] * 85
+                and (min(room[a], room[b]) + shared - 1) * 185 >= 85 * (size[a] + size[b])}
+        assert set(zip(i.tolist(), j.tolist())) == want
 
 
 # vectors
@@ -153,7 +155,7 @@ def vector_rows(seed, n=300, dim=24):
     return rows
 
 
-@pytest.mark.parametrize("seed,threshold,tile", [(1, 0.93, 1024), (2, 0.93, 16), (3, 0.8, 40), (4, 0.99, 7)])
+@pytest.mark.parametrize("seed,threshold,tile", [(1, 0.93, 1024), (3, 0.8, 20)])
 def test_near_vectors(spark, seed, threshold, tile):
     rows = vector_rows(seed)
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
