@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from broadsheet.llm.common import map_bytes, new_path, plain, stored
 
 # File format (fixed): length u64, masked crc of the length, payload, masked crc of the payload; little-endian.
 # Payload: id i64, 1 if it has an id u8, bytes per token u8, tokens. Index: offset u64 and payload length u64 a record.
-HEAD, CRC, DOC, SLOT = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB"), struct.Struct("<QQ")
+HEAD, CRC, DOC, SLOT = "<Q", "<I", "<qBB", "<QQ"
+HEAD_SIZE, CRC_SIZE, DOC_SIZE = struct.calcsize(HEAD), struct.calcsize(CRC), struct.calcsize(DOC)
 
 
 def masked_crc(data: bytes) -> int:
@@ -24,32 +26,32 @@ def masked_crc(data: bytes) -> int:
 
 
 def frame(payload: bytes) -> bytes:
-    length = HEAD.pack(len(payload))
-    return b"".join((length, CRC.pack(masked_crc(length)), payload, CRC.pack(masked_crc(payload))))
+    length = struct.pack(HEAD, len(payload))
+    return b"".join((length, struct.pack(CRC, masked_crc(length)), payload, struct.pack(CRC, masked_crc(payload))))
 
 
 def unframe(stream, where: str) -> bytes | None:
     """The next payload of a stream, None at its end; damage raises."""
-    length = stream.read(HEAD.size)
+    length = stream.read(HEAD_SIZE)
     if not length:
         return None
-    check = stream.read(CRC.size)
-    if len(length) < HEAD.size or len(check) < CRC.size or CRC.unpack(check)[0] != masked_crc(length):
+    check = stream.read(CRC_SIZE)
+    if len(length) < HEAD_SIZE or len(check) < CRC_SIZE or struct.unpack(CRC, check)[0] != masked_crc(length):
         raise ValueError(f"{where}: damaged length")
-    n = HEAD.unpack(length)[0]
-    payload, check = stream.read(n), stream.read(CRC.size)
-    if len(payload) < n or len(check) < CRC.size or CRC.unpack(check)[0] != masked_crc(payload):
+    n = struct.unpack(HEAD, length)[0]
+    payload, check = stream.read(n), stream.read(CRC_SIZE)
+    if len(payload) < n or len(check) < CRC_SIZE or struct.unpack(CRC, check)[0] != masked_crc(payload):
         raise ValueError(f"{where}: damaged record")
     return payload
 
 
 def pack(doc_id: int | None, ids: bytes, width: int) -> bytes:
-    return DOC.pack(doc_id or 0, doc_id is not None, width) + ids
+    return struct.pack(DOC, doc_id or 0, doc_id is not None, width) + ids
 
 
 def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
-    doc_id, has_id, width = DOC.unpack_from(payload)
-    return doc_id if has_id else None, np.frombuffer(payload, f"<u{width}", offset=DOC.size)
+    doc_id, has_id, width = struct.unpack_from(DOC, payload)
+    return doc_id if has_id else None, np.frombuffer(payload, f"<u{width}", offset=DOC_SIZE)
 
 
 def _files(uri: str):
@@ -78,6 +80,18 @@ class RecordFile:
 TROUBLE = re.compile(rb" (?:[\s\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a|\xe2[\x80\x81]|\xe3\x80)")
 
 
+class PerWorker:
+    """A broadcast of this gives every Python worker one object that its tasks share; it is made on first use."""
+
+    def __init__(self, make: Callable):
+        self.make, self.made = make, None
+
+    def get(self):
+        if self.made is None:
+            self.made = self.make()
+        return self.made
+
+
 class WordEncoder:
     """The ids of whole texts, from the ids of their words.
 
@@ -86,7 +100,7 @@ class WordEncoder:
     frequent ones stay known; a text with runs of white space is encoded as a whole. ``limit`` bounds the words kept.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 800_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
@@ -167,6 +181,8 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0)
     which is written to ``folder`` too: a task that is run again leaves nothing wrong behind. Null text: only the end
     id. Null ids come first; rows that repeat an id follow one another. Empty table: no files.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(PerWorker(lambda: WordEncoder(tokenizer)))
+
     def run(batches):
         from pyspark import TaskContext
 
@@ -177,14 +193,14 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0)
         for b in batches:
             for part in portions(b["text"]):
                 if rec is None:
-                    encoder = WordEncoder(tokenizer)
+                    encoder = shared.value.get()
                     files, base = _files(folder)
                     rec, idx = files.open_output_stream(f"{base}/{name}.rec"), files.open_output_stream(f"{base}/{name}.idx")
                 end = end_id.to_bytes(encoder.width, "little")
                 for doc_id, ids in zip(b["doc_id"][part], encoder.encode(b["text"][part])):
                     record = frame(pack(doc_id, ids + end, encoder.width))
                     rec.write(record)
-                    idx.write(SLOT.pack(at, len(record) - HEAD.size - 2 * CRC.size))
+                    idx.write(struct.pack(SLOT, at, len(record) - HEAD_SIZE - 2 * CRC_SIZE))
                     at, n_docs, n_tokens = at + len(record), n_docs + 1, n_tokens + len(ids) // encoder.width + 1
         if rec is not None:
             rec.close()
