@@ -29,6 +29,14 @@ def _without_marks(s: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
 
 
+def _ascii_only(s: str) -> str:
+    return s if s.isascii() else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode()
+
+
+# How accents are treated, by name.
+ACCENTS = {None: str, "unicode": _without_marks, "ascii": _ascii_only}
+
+
 def _squeeze(s: str) -> str:
     return _BLANK_RUN.sub(" ", s).strip()
 
@@ -40,8 +48,8 @@ def _visible(s: str) -> str:
     return _squeeze("".join(c if c.isprintable() or c.isspace() else " " for c in s))
 
 
-def _normaliser(url_token: str, lowercase: bool, strip_accents: bool, drop_unprintable: bool, lower_first: bool):
-    tail = [(strip_accents, _without_marks), (lowercase, str.lower)]
+def _normaliser(url_token: str, lowercase: bool, accents: str | None, drop_unprintable: bool, lower_first: bool):
+    tail = [(accents is not None, ACCENTS[accents]), (lowercase, str.lower)]
     if lower_first:
         tail.reverse()
     middle = [_visible] if drop_unprintable else []
@@ -62,9 +70,9 @@ def _java_replacement(s: str) -> str:
 
 
 def _normalise_column(
-    base: Column, url_token: str, lowercase: bool, strip_accents: bool, drop_unprintable: bool, lower_first: bool
+    base: Column, url_token: str, lowercase: bool, accents: str | None, drop_unprintable: bool, lower_first: bool
 ) -> Column:
-    normalise = _normaliser(url_token, lowercase, strip_accents, drop_unprintable, lower_first)
+    normalise = _normaliser(url_token, lowercase, accents, drop_unprintable, lower_first)
 
     @F.arrow_udf("string")
     def in_python(values: pa.Array) -> pa.Array:
@@ -72,7 +80,7 @@ def _normalise_column(
 
     plain = (F.octet_length(base) == F.length(base)) & (F.instr(base, "&") == 0)
     token = unicodedata.normalize("NFKC", url_token)
-    token = _without_marks(token) if strip_accents else token
+    token = ACCENTS[accents](token)
     out = F.regexp_replace(base, T.TAG, " ")
     out = F.regexp_replace(out, T.URL, _java_replacement(token))
     out = F.regexp_replace(out, r"[\x00-\x20\x7f]+" if drop_unprintable else r"[\t-\r\x1c-\x20]+", " ")
@@ -91,12 +99,13 @@ def canonical_text(
     """Comparable form of a text: two texts that differ only in markup, links, case, accents or blanks become equal."""
     s = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
     base = F.when(T.is_any_of(s, placeholders), F.lit("")).otherwise(s)
-    return _normalise_column(base, url_token, lowercase, strip_accents, drop_unprintable=False, lower_first=False)
+    accents = "unicode" if strip_accents else None
+    return _normalise_column(base, url_token, lowercase, accents, drop_unprintable=False, lower_first=False)
 
 
 def clean_text(
-    c: Column | str, url_token: str = URL_TOKEN, lowercase: bool = False, strip_accents: bool = False
+    c: Column | str, url_token: str = URL_TOKEN, lowercase: bool = False, accents: str | None = None
 ) -> Column:
-    """Text for feature extraction. ``lowercase`` and ``strip_accents`` add what the term counting expects."""
+    """Text for feature extraction. ``lowercase`` and ``accents`` (see ``ACCENTS``) add what the term counting expects."""
     base = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
-    return _normalise_column(base, url_token, lowercase, strip_accents, drop_unprintable=True, lower_first=True)
+    return _normalise_column(base, url_token, lowercase, accents, drop_unprintable=True, lower_first=True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
 from broadsheet.functions.times import PARTS, TIME_FEATURES, calendar_parts, parse_timestamp, time_features, timestamp_missing
+from broadsheet.operators.keyed import hot_keys
 from broadsheet.params import SourceParams
 
 # Tokens for rare and missing sources; the dense features in vector order around the source block.
@@ -18,8 +19,6 @@ AFTER_SOURCE = ("page_rank", *TIME_FEATURES, "timestamp_missing", "article_missi
 DENSE = (*X.PATTERN_FEATURES, *AFTER_SOURCE)
 UNSCALED = ("timestamp_missing",)
 
-BROADCAST_ROWS = 1_000_000
-
 
 def source_value(c: str = "source") -> Column:
     s = X.strip(F.coalesce(F.col(c).cast("string"), F.lit("")))
@@ -40,26 +39,20 @@ def fit_sources(df: DataFrame, p: SourceParams) -> DataFrame:
 def bin_sources(df: DataFrame, kept: DataFrame, out: str = "source_bin") -> DataFrame:
     """Replace sources that are not in ``kept`` by the token for rare ones.
 
-    A measured small table is broadcast. A larger one is joined with the rows of the most frequent sources answered
-    from a bounded broadcast, so one source with most of the rows does not end up in one task.
+    The most frequent sources, at most 1,024, are answered from a broadcast of that many rows, so one source with most
+    of the rows does not end up in one task; Spark picks the join of the others by measured size.
     """
     keyed = df.withColumn("_value", source_value())
     marked = kept.select(F.col("value").alias("_kept"))
-    if kept.count() <= BROADCAST_ROWS:
-        joined = keyed.join(F.broadcast(marked), F.col("_value") == F.col("_kept"), "left")
-    else:
-        from broadsheet.operators.keyed import hot_keys
-
-        counts = keyed.groupBy("_value").agg(F.count(F.lit(1)).alias("n"))
-        hot = hot_keys(counts, "_value").select("_value").join(marked, F.col("_value") == F.col("_kept"), "left").select(
-            F.col("_value").alias("_hot"), F.col("_kept").alias("_hot_kept"))
-        tagged = keyed.join(F.broadcast(hot), F.col("_value") == F.col("_hot"), "left")
-        # a leading line break never starts a stripped source, so spread rows match nothing
-        spread = F.concat(F.lit("\n"), F.monotonically_increasing_id().cast("string"))
-        probe = F.when(F.col("_hot").isNull(), F.col("_value")).otherwise(spread)
-        joined = tagged.withColumn("_probe", probe).join(marked, F.col("_probe") == F.col("_kept"), "left").withColumn(
-            "_kept", F.coalesce("_hot_kept", "_kept"))
-    return joined.select(*df.columns, F.coalesce("_kept", F.lit(OTHER)).alias(out))
+    counts = keyed.groupBy("_value").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(counts, "_value").select("_value").join(marked, F.col("_value") == F.col("_kept"), "left").select(
+        F.col("_value").alias("_hot"), F.col("_kept").alias("_hot_kept"))
+    tagged = keyed.join(F.broadcast(hot), F.col("_value") == F.col("_hot"), "left")
+    # a leading line break never starts a stripped source, so spread rows match nothing
+    spread = F.concat(F.lit("\n"), F.monotonically_increasing_id().cast("string"))
+    probe = F.when(F.col("_hot").isNull(), F.col("_value")).otherwise(spread)
+    joined = tagged.withColumn("_probe", probe).join(marked, F.col("_probe") == F.col("_kept"), "left")
+    return joined.select(*df.columns, F.coalesce("_hot_kept", "_kept", F.lit(OTHER)).alias(out))
 
 
 def raw_columns() -> list[Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet.functions.canonical import canonical_text
 from broadsheet.functions.text import content_hash, shorten
 from broadsheet.operators.keyed import digest, flag_rows
+from broadsheet.sources.sinks import stored
 
 KEY = "_key"
 
@@ -22,6 +23,11 @@ def with_key(df: DataFrame, on: tuple[str, str] = ("title", "article"), **canoni
     return df.withColumn(KEY, digest(*[canonical_text(c, **canonical) for c in on]))
 
 
+def _stored_key(df: DataFrame, **options) -> DataFrame:
+    """The table with its key in shared storage: steps that read it twice normalise the texts once."""
+    return df if KEY in df.columns else stored(with_key(df, **options), "keyed")
+
+
 def _shared_keys(dev_keyed: DataFrame, other_keyed: DataFrame) -> DataFrame:
     """Keys of both tables with their rows ``n`` and ``n_other``; one shuffle of keys already reduced per task."""
     both = dev_keyed.select(KEY, F.lit(1).alias("d"), F.lit(0).alias("o")).unionByName(
@@ -31,7 +37,7 @@ def _shared_keys(dev_keyed: DataFrame, other_keyed: DataFrame) -> DataFrame:
 
 def flag_overlap(dev: DataFrame, other: DataFrame, flag: str = "in_eval", **options) -> DataFrame:
     """``dev`` (with its key) plus a flag: does the row's content occur in ``other``?"""
-    keyed = with_key(dev, **options)
+    keyed = _stored_key(dev, **options)
     keys = _shared_keys(keyed, with_key(other, **options)).where("n > 0")
     return flag_rows(keyed, keys.select(KEY, "n", (F.col("n_other") > 0).alias(flag)), KEY, flag)
 
@@ -88,21 +94,19 @@ def without_cross_label(dev: DataFrame, **options) -> DataFrame:
 
 
 def _flag_cross_label(dev: DataFrame, **options) -> DataFrame:
-    keyed = with_key(dev, **options)
+    keyed = _stored_key(dev, **options)
     return flag_rows(keyed, _label_stats(keyed).withColumnRenamed("crossed", "crossed_group"), KEY, "crossed_group")
 
 
 def keep_first(dev: DataFrame, **options) -> DataFrame:
-    """No cross-label group, and of every other duplicate group the row with the lowest id.
+    """No cross-label group, and of every other duplicate group the row with the lowest id (ids are unique).
 
-    One aggregation with a map-side minimum: a group of any size leaves each task as one row.
+    One aggregation of (key, id, label) with buffers of fixed size, so that no text is sorted; the ids that stay pick
+    their rows.
     """
-    keyed = with_key(dev, **options)
-    rest = [c for c in dev.columns if c != "id"]
-    firsts = keyed.groupBy(KEY).agg(
-        F.min(F.struct("id", *rest)).alias("row"), F.coalesce(_crossed(), F.lit(False)).alias("crossed")
-    )
-    return firsts.where("not crossed").select(*[F.col(f"row.{c}").alias(c) for c in dev.columns])
+    keys = with_key(dev, **options).groupBy(KEY).agg(F.min("id").alias("_first"), F.coalesce(_crossed(), F.lit(False)).alias("_crossed"))
+    firsts = keys.where("not _crossed").select("_first")
+    return dev.join(firsts, F.col("id") == F.col("_first"), "left_semi")
 
 
 def dedup_report(dev: DataFrame, drop_same_label: bool = False, **options) -> DataFrame:
@@ -145,28 +149,31 @@ def _hashed(df: DataFrame, near_dup: bool) -> DataFrame:
     return df.withColumn("content_hash", content_hash("title", "article", near_dup))
 
 
-def _hash_groups(hashed: DataFrame) -> DataFrame:
+def _all_hash_groups(hashed: DataFrame) -> DataFrame:
     return hashed.groupBy("content_hash").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("label").alias("low"),
         F.max("label").alias("high"),
-    ).where("n > 1").select("content_hash", "n", (F.col("low") != F.col("high")).alias("crossed"))
+    ).select("content_hash", "n", (F.col("low") != F.col("high")).alias("crossed"))
+
+
+def _hash_groups(hashed: DataFrame) -> DataFrame:
+    return _all_hash_groups(hashed).where("n > 1")
 
 
 def duplicate_groups(df: DataFrame, near_dup: bool = False) -> DataFrame:
     """Groups and rows of duplicate content, split by whether labels agree."""
-    n_rows = df.agg(F.count(F.lit(1))).scalar()
-    groups = _hash_groups(_hashed(df, near_dup))
+    groups = _all_hash_groups(_hashed(df, near_dup))
     count = lambda cond: F.count(F.when(cond, 1))
     rows = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
-    any_, same, cross = F.lit(True), ~F.col("crossed"), F.col("crossed")
+    any_, crossed = F.col("n") > 1, F.col("crossed")
+    kinds = (("dup", any_), ("same_label", any_ & ~crossed), ("cross_label", any_ & crossed))
+    # groups of one row count too, so the same aggregate knows the number of rows
     out = groups.agg(
-        *[f(c).alias(f"{name}_{what}") for name, c in (("dup", any_), ("same_label", same), ("cross_label", cross))
-          for what, f in (("groups", count), ("rows", rows))]
+        F.greatest(F.lit(1), F.sum("n")).alias("_n"),
+        *[f(c).alias(f"{name}_{what}") for name, c in kinds for what, f in (("groups", count), ("rows", rows))]
     )
-    return out.select("*", *[
-        (F.col(f"{k}_rows") / F.greatest(F.lit(1), n_rows)).alias(f"{k}_share") for k in ("dup", "same_label", "cross_label")
-    ])
+    return out.select(*[c for c in out.columns if c != "_n"], *[(F.col(f"{k}_rows") / F.col("_n")).alias(f"{k}_share") for k, _ in kinds])
 
 
 def cross_label_dup_by_label(df: DataFrame, near_dup: bool = False) -> DataFrame:

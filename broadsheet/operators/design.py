@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from broadsheet.functions.times import PARTS
 from broadsheet.operators import columns as C
 from broadsheet.operators import terms as W
-from broadsheet.params import JobParams, SourceParams, TextParams
+from broadsheet.params import JobParams, Ngrams, SourceParams, TextParams
 from broadsheet.sources.sinks import stored
 
 CHUNK_ROWS = 512
+DESIGN = "id bigint, label int, fold int, model int, idx array<int>, val array<double>"
 
 
 def prepare(df: DataFrame, p: TextParams, keep: tuple[str, ...] = ("id", "label", "fold")) -> DataFrame:
@@ -27,22 +28,15 @@ def prepare(df: DataFrame, p: TextParams, keep: tuple[str, ...] = ("id", "label"
     if "label" not in df.columns:
         df = df.withColumn("label", F.lit(None).cast("int"))
     cols = [*keep, W.document_text(p).alias("text"), C.source_value().alias("source_value"), *C.raw_columns()]
-    if p.title_char:
+    if p.title:
         cols.append(W.title_text(p).alias("title_text"))
     return df.select(*cols)
 
 
-def block_terms(p: TextParams) -> dict[str, tuple]:
-    """Per text block: its n-gram column, min_df and max_features."""
-    out = {"word": (lambda: W.word_ngrams("text", p.ngram_min, p.ngram_max, p.stop_words), p.min_df, p.max_features)}
-    if p.char_enabled:
-        out["char"] = (lambda: W.char_wb_ngrams("text", p.char_ngram_min, p.char_ngram_max), p.char_min_df, p.char_limit)
-    if p.title_char:
-        out["title"] = (
-            lambda: W.char_wb_ngrams("title_text", p.title_char_ngram_min, p.title_char_ngram_max),
-            p.title_char_min_df, p.title_char_max_features,
-        )
-    return out
+def block_terms(p: TextParams) -> dict[str, tuple[str, Ngrams, tuple[str, ...] | None]]:
+    """Per text block: the column it reads, its n-grams, and the stop words (which concern the words only)."""
+    out = {"word": ("text", p.words, p.stop_words), "char": ("text", p.chars, None), "title": ("title_text", p.title, None)}
+    return {name: block for name, block in out.items() if block[1]}
 
 
 @dataclass
@@ -71,8 +65,12 @@ class SourceBlock:
         any_enough = enough[0]
         for e in enough[1:]:
             any_enough = any_enough | e
-        # one weight per kept source is part of the linear model, so the kept sources fit on the driver with it
-        found = counts.where(any_enough).select("source_value", *[e.alias(f"k{i}") for i, e in enumerate(enough)]).collect()
+        # a documented bound, like that of the vocabulary; a source beyond it is a rare one for every model
+        largest = F.greatest(*[F.col(f"n{i}") for i in range(len(models))], F.lit(0))
+        top = counts.where(any_enough).orderBy(F.desc(largest), "source_value").limit(p.limit)
+        found = top.select("source_value", *[e.alias(f"k{i}") for i, e in enumerate(enough)]).collect()
+        cut = len(found) == p.limit
+        has_other |= cut
         counts.unpersist()
         found.sort(key=lambda r: r[0])
         values = [r[0] for r in found]
@@ -127,8 +125,8 @@ def fit_features(rows: DataFrame, p: JobParams, models: list[int]) -> Features:
     total = sum(per_fold.values())
     n_docs = {m: total - (per_fold.get(m, 0) if m >= 0 else 0) for m in models}
     blocks = [
-        W.TermBlock.fit(name, rows, grams, models, n_docs, min_df, p.text.max_df, limit)
-        for name, (grams, min_df, limit) in block_terms(p.text).items()
+        W.TermBlock.fit(name, rows, column, grams, models, n_docs, p.text.max_df, stop)
+        for name, (column, grams, stop) in block_terms(p.text).items()
     ]
     sources = SourceBlock.fit(rows, p.source, models, n_docs)
     narrow = rows.select("fold", *[c for c in rows.columns if c in C.DENSE or c.startswith("ts_")])
@@ -221,20 +219,29 @@ def _assembler(f: Features):
     return assemble
 
 
-def design(rows: DataFrame, f: Features) -> DataFrame:
-    """(id, label, fold, model, idx, val): per row and model its sparse features, without a shuffle."""
-    counted = rows
-    grams = block_terms(f.params)
+def counted(rows: DataFrame, f: Features) -> DataFrame:
+    """Per row the term counts, source and dense features that all models share, without a shuffle. This is what
+    training caches: one row per article, however many folds."""
+    out = rows
+    blocks = block_terms(f.params)
     for b in f.blocks:
-        counted = b.count(counted, grams[b.name][0]())
+        out = b.count(out, W.ngrams(*blocks[b.name]))
     source = W.TermBlock("source", f.sources.values, f.sources.kept, f.sources.order, f.sources.counter)
-    counted = source.count(counted, F.array("source_value"))
-    ready = counted.select(
+    out = source.count(out, F.array("source_value"))
+    return out.select(
         F.col("id").cast("bigint"), F.col("label").cast("int"), F.col("fold").cast("int"),
         *[f"{b.name}_tf" for b in f.blocks], "source_tf", _dense(f).alias("dense"),
     )
-    schema = "id bigint, label int, fold int, model int, idx array<int>, val array<double>"
-    return ready.mapInArrow(_assembler(f), schema)
+
+
+def assembler(f: Features):
+    """Turns batches of ``counted`` into batches of the design matrix, a row per article and model."""
+    return _assembler(f)
+
+
+def design(rows: DataFrame, f: Features) -> DataFrame:
+    """(id, label, fold, model, idx, val): per row and model its sparse features, without a shuffle."""
+    return counted(rows, f).mapInArrow(_assembler(f), DESIGN)
 
 
 def term_weights(df: DataFrame, p: JobParams, block: str = "word") -> DataFrame:
@@ -249,7 +256,7 @@ def term_weights(df: DataFrame, p: JobParams, block: str = "word") -> DataFrame:
 
 def fit_block_only(rows: DataFrame, p: JobParams, block: str) -> Features:
     n = rows.count()
-    grams, min_df, limit = block_terms(p.text)[block]
-    fitted = W.TermBlock.fit(block, rows, grams, [-1], {-1: n}, min_df, p.text.max_df, limit)
+    column, grams, stop = block_terms(p.text)[block]
+    fitted = W.TermBlock.fit(block, rows, column, grams, [-1], {-1: n}, p.text.max_df, stop)
     none = SourceBlock([], np.zeros((1, 0), dtype=bool), np.zeros(1, dtype=bool), np.zeros(0, dtype=np.int64), None)
     return Features(p.text, [-1], {-1: n}, [fitted], none, [dict(PARTS)], [[1.0] * len(C.DENSE)])

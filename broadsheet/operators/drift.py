@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from broadsheet.functions import text as X
 from broadsheet.functions.times import eda_timestamp
+from broadsheet.operators.keyed import with_share
+from broadsheet.sources.articles import whole_number
 
 # Edges of the word-length bins; left-closed, the last bin closed.
 WORD_EDGES = (0, 5, 10, 20, 40, 80, 160, 320, 10000)
@@ -25,8 +28,11 @@ def _membership(dev: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def id_overlap(dev: DataFrame, other: DataFrame, c: str = "id") -> DataFrame:
-    key = X.numeric_coerce(c).cast("bigint").alias("k")
-    found = _membership(dev.select(key).dropna(), other.select(key).dropna(), ["k"])
+    def keys(df: DataFrame) -> DataFrame:
+        exact = isinstance(df.schema[c].dataType, IntegralType)
+        return df.select((F.col(c).cast("bigint") if exact else whole_number(c)).alias("k")).dropna()
+
+    found = _membership(keys(dev), keys(other), ["k"])
     return found.agg(F.count(F.when((F.col("in_dev") + F.col("in_eval")) == 2, 1)).alias("overlapping_ids"))
 
 
@@ -68,16 +74,14 @@ def word_len_bin(words):
     return F.get(F.transform(F.array(words), choose), F.lit(0))
 
 
-def word_len_histogram(df: DataFrame, c: str) -> DataFrame:
-    """Rows and density (rows over rows in range times bin width) per word-length bin that occurs."""
-    counts = df.select(word_len_bin(X.word_count(c)).alias("bin")).where("bin is not null").groupBy("bin").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def word_len_histogram(df: DataFrame, cols: tuple[str, ...] = ("title", "article")) -> DataFrame:
+    """Per text column, rows and density (rows over rows in range times bin width) per word-length bin that occurs."""
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("field"), word_len_bin(X.word_count(c)).alias("bin")) for c in cols]))
+    counts = df.select(cells).where("bin is not null").groupBy("field", "bin").agg(F.count(F.lit(1)).alias("n"))
     edges = F.array(*[F.lit(e) for e in WORD_EDGES])
     left, right = F.get(edges, F.col("bin")), F.get(edges, F.col("bin") + 1)
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.select(
-        "bin", left.alias("left"), right.alias("right"), "n", (F.col("n") / (total * (right - left))).alias("density")
+    return with_share(counts, ["field"]).select(
+        "field", "bin", left.alias("left"), right.alias("right"), "n", (F.col("share") / (right - left)).alias("density")
     )
 
 

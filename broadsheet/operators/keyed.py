@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 # The 1,024 most frequent keys are matched through a broadcast of at most that many rows. Any key outside them holds
-# less than 1/1,024 of the rows, so the shuffled rest cannot be skewed by one key.
+# less than 1/1,024 of the rows. At very large sizes that share is still much for one task; Spark's adaptive execution
+# splits such partitions of the join, over which no aggregate stands.
 HOT_KEYS = 1024
 
 

@@ -33,6 +33,14 @@ def _spread(df: DataFrame, structs: list[Column]) -> DataFrame:
     return df.agg(F.array(*structs).alias("r")).select(F.inline("r"))
 
 
+TEXTS = ("title", "article")
+
+
+def by_field(df: DataFrame, cols: tuple[str, ...], *keep: str) -> DataFrame:
+    """(field, text) of several text columns in one pass, with the columns in ``keep``."""
+    return df.select(*keep, F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("text")) for c in cols])))
+
+
 def text_missing_flags(c: str) -> dict[str, Column]:
     s = F.col(c).cast("string")
     na = s.isNull()
@@ -63,11 +71,13 @@ def missingness(df: DataFrame) -> DataFrame:
     return _spread(df, out).orderBy(F.desc("na"), F.desc("empty_str"), "col")
 
 
-def text_missingness(df: DataFrame, c: str) -> DataFrame:
-    flags = text_missing_flags(c)
-    return df.agg(*[
-        e for name, cond in flags.items()
-        for e in (_count_if(cond).alias(name), _per_row(_count_if(cond), _rows()).alias(f"{name}_share"))
+def text_missingness(df: DataFrame, cols: tuple[str, ...] = TEXTS) -> DataFrame:
+    """Per text column: nulls, blank texts, placeholders and their union, as counts and shares."""
+    return _spread(df, [
+        F.struct(F.lit(c).alias("field"), *[
+            e for name, cond in text_missing_flags(c).items()
+            for e in (_count_if(cond).alias(name), _per_row(_count_if(cond), _rows()).alias(f"{name}_share"))
+        ]) for c in cols
     ])
 
 
@@ -94,9 +104,9 @@ def label_timestamp_missingness(df: DataFrame, c: str = "timestamp") -> DataFram
     )
 
 
-def label_text_missingness(df: DataFrame, c: str) -> DataFrame:
-    flags = text_missing_flags(c)
-    return df.where("label is not null").groupBy("label").agg(
+def label_text_missingness(df: DataFrame, cols: tuple[str, ...] = TEXTS) -> DataFrame:
+    flags = text_missing_flags("text")
+    return by_field(df.where("label is not null"), cols, "label").groupBy("field", "label").agg(
         *[_count_if(cond).alias(name) for name, cond in flags.items()], _rows().alias("total")
     )
 
@@ -187,26 +197,27 @@ def counts_by_hour(df: DataFrame, c: str = "timestamp") -> DataFrame:
     return with_share(counts, [])
 
 
-def text_length_summary(df: DataFrame, c: str) -> DataFrame:
-    """describe() of characters and words. Lengths have few distinct values, so the compact percentile fits."""
-    lengths = df.select(F.inline(F.array(
-        F.struct(F.lit("chars").alias("measure"), X.char_count(c).alias("v")),
-        F.struct(F.lit("words").alias("measure"), X.word_count(c).alias("v")),
-    )))
-    return lengths.groupBy("measure").agg(*_describe(lengths, "v", True))
+def text_length_summary(df: DataFrame, cols: tuple[str, ...] = TEXTS) -> DataFrame:
+    """describe() of characters and words per text column. Lengths have few distinct values, so the compact percentile
+    fits."""
+    lengths = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.lit(name).alias("measure"), count(c).alias("v"))
+        for c in cols for name, count in (("chars", X.char_count), ("words", X.word_count))
+    ])))
+    return lengths.groupBy("field", "measure").agg(*_describe(lengths, "v", True))
 
 
-def pattern_prevalence(df: DataFrame, c: str) -> DataFrame:
+def pattern_prevalence(df: DataFrame, cols: tuple[str, ...] = TEXTS) -> DataFrame:
     return _spread(df, [
-        F.struct(F.lit(name).alias("pattern"), _count_if(cond).alias("n"),
+        F.struct(F.lit(c).alias("field"), F.lit(name).alias("pattern"), _count_if(cond).alias("n"),
                  _per_row(_count_if(cond), _rows()).alias("share"))
-        for name, cond in X.pattern_flags(c).items()
-    ]).orderBy(F.desc("share"), "pattern")
+        for c in cols for name, cond in X.pattern_flags(c).items()
+    ]).orderBy("field", F.desc("share"), "pattern")
 
 
-def label_pattern_prevalence(df: DataFrame, c: str) -> DataFrame:
-    flags = X.pattern_flags(c)
-    return df.where("label is not null").groupBy("label").agg(
+def label_pattern_prevalence(df: DataFrame, cols: tuple[str, ...] = TEXTS) -> DataFrame:
+    flags = X.pattern_flags("text")
+    return by_field(df.where("label is not null"), cols, "label").groupBy("field", "label").agg(
         F.avg(flags["contains_html_tag"].cast("int")).alias("has_html"),
         F.avg(flags["contains_url"].cast("int")).alias("has_url"),
     )
@@ -244,13 +255,14 @@ def majority_baseline(df: DataFrame) -> DataFrame:
     ).where("k > 1")
 
 
-def label_text_lengths(df: DataFrame, c: str) -> DataFrame:
-    lengths = df.where("label is not null").select("label", X.char_count(c).alias("chars"), X.word_count(c).alias("words"))
+def label_text_lengths(df: DataFrame, cols: tuple[str, ...] = TEXTS) -> DataFrame:
+    lengths = by_field(df.where("label is not null"), cols, "label").select(
+        "field", "label", X.char_count("text").alias("chars"), X.word_count("text").alias("words"))
     out = [_rows().alias("n")]
     for m in ("chars", "words"):
         out.append(F.round(F.avg(m), 2).alias(f"{m}_mean"))
         out += [F.round(F.percentile(m, q), 2).alias(f"{m}_{name}") for q, name in ((0.5, "p50"), (0.9, "p90"))]
-    return lengths.groupBy("label").agg(*out)
+    return lengths.groupBy("field", "label").agg(*out)
 
 
 def top_sources_per_label(df: DataFrame, topn: int = 5) -> DataFrame:
@@ -274,29 +286,42 @@ def label_time_counts(df: DataFrame, part: str = "year", max_rows: int = 60, c:
     return with_share(counts, ["label"]).orderBy(F.desc("n"), "label", part).limit(max_rows).orderBy("label", part)
 
 
-def shortest_longest(df: DataFrame, c: str, k: int = 3) -> DataFrame:
-    """The ``k`` shortest and ``k`` longest texts; the lowest id wins ties."""
-    texts = df.select("id", X.char_count(c).alias("chars"), F.col(c).alias("_t"))
-    ends = []
-    for kind, order in (("shortest", F.asc("chars")), ("longest", F.desc("chars"))):
-        picked = texts.orderBy(order, "id").limit(k)
-        ends.append(picked.select(F.lit(kind).alias("kind"), "id", "chars", X.shorten("_t").alias("example")))
-    return ends[0].unionByName(ends[1])
+def shortest_longest(df: DataFrame, cols: tuple[str, ...] = TEXTS, k: int = 3) -> DataFrame:
+    """The ``k`` shortest and ``k`` longest texts of each column; the lowest id wins ties.
+
+    Tasks rank (id, length) and pass on ``k`` rows a column and end; the chosen ids pick their texts.
+    """
+    from pyspark.sql.window import Window
+
+    sizes = by_field(df, cols, "id").select("field", "id", X.char_count("text").alias("chars"))
+    ends = sizes.select("*", F.inline(F.array(
+        F.struct(F.lit("shortest").alias("kind"), F.col("chars").alias("_o")),
+        F.struct(F.lit("longest").alias("kind"), (-F.col("chars")).alias("_o")))))
+    order = Window.partitionBy("field", "kind").orderBy("_o", "id")
+    picked = ends.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= k).select("field", "kind", "id", "chars")
+    # 2 * k rows a column
+    texts = by_field(df, cols, "id").withColumnsRenamed({"id": "_id", "field": "_field"})
+    joined = texts.join(F.broadcast(picked), (F.col("_id") == F.col("id")) & (F.col("_field") == F.col("field")))
+    return joined.select("field", "kind", "id", "chars", X.shorten("text").alias("example"))
 
 
-def random_sample(df: DataFrame, c: str, k: int = 3, seed: int = 0, max_len: int = 220) -> DataFrame:
-    """``k`` rows chosen by a seeded hash of the id: the same rows under any partitioning."""
-    texts = df.select("id", F.col(c).alias("_t"))
-    return texts.orderBy(seeded_order(seed), "id").limit(k).select("id", X.shorten("_t", max_len).alias("example"))
+def random_sample(df: DataFrame, cols: tuple[str, ...] = TEXTS, k: int = 3, seed: int = 0, max_len: int = 220) -> DataFrame:
+    """``k`` rows chosen by a seeded hash of the id, with all their texts: the same rows under any partitioning."""
+    picked = df.select("id", *cols).orderBy(seeded_order(seed), "id").limit(k)
+    return by_field(picked, cols, "id").select("field", "id", X.shorten("text", max_len).alias("example"))
 
 
 def table_profile(df: DataFrame) -> DataFrame:
-    """Rows, columns, types, and a fingerprint of the whole table that does not depend on row order."""
+    """Rows, columns, types, and a fingerprint of the whole table that does not depend on row order: sum and exclusive or
+    of 60 bits of each row's md5, over its values as text with their lengths."""
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.agg(
+    parts = [F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+             for c in df.columns]
+    mark = F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 15), 16, 10).cast("bigint")
+    return df.select(mark.alias("_m")).agg(
         _rows().alias("rows"), F.lit(len(df.columns)).alias("n_cols"), F.lit(types).alias("columns"),
-        F.hex(F.bit_xor(F.xxhash64(*[F.col(c) for c in df.columns]))).alias("fingerprint_xor"),
-        F.sum(F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")).cast("string").alias("fingerprint_sum"),
+        F.bit_xor("_m").alias("fingerprint_xor"),
+        F.sum(F.col("_m").cast("decimal(38,0)")).cast("string").alias("fingerprint_sum"),
     )
 
 

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Callable
+from functools import lru_cache
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+import pyarrow as pa
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from broadsheet.functions.canonical import clean_text
 from broadsheet.functions.text import BLANKS, join_text, strip_ad_prefix, text_column
-from broadsheet.params import TextParams
+from broadsheet.params import Ngrams, TextParams
 
 # Fixed value: a token is a run of two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -21,19 +25,52 @@ TOKEN = r"[\p{L}\p{N}_]{2,}"
 def document_text(p: TextParams) -> Column:
     """The text whose terms are counted: ad prefixes off, title repeated, article, cleaned."""
     joined = join_text(strip_ad_prefix("title"), strip_ad_prefix("article"), p.title_repeat, p.missing_article_token)
-    return clean_text(joined, lowercase=p.lowercase, strip_accents=p.strip_accents)
+    return clean_text(joined, lowercase=p.lowercase, accents=p.accents)
 
 
 def title_text(p: TextParams) -> Column:
-    return clean_text(text_column("title"), lowercase=p.lowercase, strip_accents=p.strip_accents)
+    return clean_text(text_column("title"), lowercase=p.lowercase, accents=p.accents)
 
 
-def word_ngrams(c: Column | str, n_min: int = 1, n_max: int = 2, stop_words: tuple[str, ...] | None = None) -> Column:
-    tokens = F.regexp_extract_all(F.col(c) if isinstance(c, str) else c, F.lit(TOKEN), 0)
-    if stop_words:
-        listed = F.array(*[F.lit(w) for w in stop_words])
-        tokens = F.filter(tokens, lambda t: ~F.array_contains(listed, t))
+def _column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def _squeezed(c: Column | str) -> Column:
+    return F.trim(F.regexp_replace(_column(c), rf"[{BLANKS}]+", " "))
+
+
+def word_tokens(c: Column | str, stop_words: tuple[str, ...] | None = None) -> Column:
+    tokens = F.regexp_extract_all(_column(c), F.lit(TOKEN), 0)
+    if not stop_words:
+        return tokens
+    if isinstance(stop_words, str):
+        raise ValueError("stop words are a list of words; lists have no names here")
+    listed = F.array(*[F.lit(w) for w in stop_words])
+    return F.filter(tokens, lambda t: ~F.array_contains(listed, t))
+
+
+def tokens(c: Column | str, p: Ngrams, stop_words: tuple[str, ...] | None = None) -> Column:
+    """What terms are made of: words, blank-separated words for ``char_wb``, the whole text for ``char``."""
+    if p.analyzer == "word":
+        return word_tokens(c, stop_words)
+    return F.split(_squeezed(c), " ") if p.analyzer == "char_wb" else F.array(_squeezed(c))
+
+
+def ngrams(c: Column | str, p: Ngrams, stop_words: tuple[str, ...] | None = None) -> Column:
+    """All terms of a text with repetitions, as built-in expressions."""
+    if p.analyzer == "word":
+        return word_ngrams(c, p.low, p.high, stop_words)
+    return char_wb_ngrams(c, p.low, p.high) if p.analyzer == "char_wb" else char_ngrams(c, p.low, p.high)
+
+
+def char_ngrams(c: Column | str, n_min: int, n_max: int) -> Column:
+    """Character n-grams across words, runs of blanks taken as one blank."""
+    s = _squeezed(c)
+    return F.concat(*[F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))."), 1) for n in range(n_min, n_max + 1)])
 
+
+def word_ngrams(c: Column | str, n_min: int = 1, n_max: int = 2, stop_words: tuple[str, ...] | None = None) -> Column:
     def grams(t: Column) -> Column:
         parts = []
         for n in range(n_min, n_max + 1):
@@ -47,7 +84,7 @@ def word_ngrams(c: Column | str, n_min: int = 1, n_max: int = 2, stop_words: tup
         return F.concat(*parts)
 
     # bound as a lambda variable, so that the text is tokenised once
-    return F.get(F.transform(F.array(tokens), grams), F.lit(0))
+    return F.get(F.transform(F.array(word_tokens(c, stop_words)), grams), F.lit(0))
 
 
 def char_wb_ngrams(c: Column | str, n_min: int = 3, n_max: int = 5) -> Column:
@@ -56,7 +93,7 @@ def char_wb_ngrams(c: Column | str, n_min: int = 3, n_max: int = 5) -> Column:
     Words are set two blanks apart, so an n-gram inside one padded word has at most one blank at either end; a
     lookahead finds the overlapping matches, and every match steps on by one whole character. A padded word shorter than ``n_min`` counts once as a whole.
     """
-    s = F.trim(F.regexp_replace(F.col(c) if isinstance(c, str) else c, rf"[{BLANKS}]+", " "))
+    s = _squeezed(c)
     padded = F.concat(F.lit(" "), F.replace(s, F.lit(" "), F.lit("  ")), F.lit(" "))
     parts = []
     for n in range(n_min, n_max + 1):
@@ -69,32 +106,89 @@ def char_wb_ngrams(c: Column | str, n_min: int = 3, n_max: int = 5) -> Column:
     return F.concat(*parts)
 
 
-def term_stats(docs: DataFrame, terms: Column, models: list[int]) -> DataFrame:
+def _word_grams(low: int, high: int) -> Callable[[list[str]], list[str]]:
+    return lambda t: [" ".join(t[i:i + n]) for n in range(low, high + 1) for i in range(len(t) - n + 1)]
+
+
+def _inside_grams(low: int, high: int) -> Callable[[str], tuple[str, ...]]:
+    """n-grams of one padded word; a padded word shorter than ``low`` is one as a whole."""
+    def grams(word: str) -> tuple[str, ...]:
+        w = f" {word} "
+        if not word:
+            return ()
+        return tuple(w[i:i + n] for n in range(low, high + 1) for i in range(len(w) - n + 1)) or (w,)
+
+    return grams
+
+
+def term_stats(docs: DataFrame, p: Ngrams, models: list[int], column: str = "text", stop_words: tuple[str, ...] | None = None) -> DataFrame:
     """Per term and model: occurrences ``tf_<m>`` and documents ``df_<m>`` outside fold m (a fold of -1 is never out).
 
-    One pass for all models. Every document adds one row per occurrence and one per distinct term, and both collapse in
-    the map-side aggregate before anything is shuffled.
+    One pass for all models. Texts are cut into tokens by built-in expressions; a task counts them, and sends a row per
+    fold and term. Characters inside words are looked up once per distinct word, not once per occurrence.
     """
-    def emit(t: Column) -> Column:
-        seen = F.transform(t, lambda x: F.struct(x.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-        once = F.transform(F.array_distinct(t), lambda x: F.struct(x.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
-        return F.concat(seen, once)
-
-    rows = docs.select("fold", F.inline(F.get(F.transform(F.array(terms), emit), F.lit(0))))
+    low, high, analyzer = p.low, p.high, p.analyzer
+
+    def run(batches):
+        tf: dict[int, Counter] = defaultdict(Counter)
+        df: dict[int, Counter] = defaultdict(Counter)
+        words: dict[int, Counter] = defaultdict(Counter)  # for char_wb: occurrences are spread over n-grams at the end
+        of_word = lru_cache(100_000)(_inside_grams(low, high))
+        of_text = _word_grams(low, high) if analyzer == "word" else (
+            lambda t: [t[0][i:i + n] for n in range(low, high + 1) for i in range(len(t[0]) - n + 1)])
+
+        def flush():
+            for fold, counts in words.items():
+                for w, n in counts.items():
+                    for g in of_word(w):
+                        tf[fold][g] += n
+            for fold, counts in tf.items():
+                terms = list(counts)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([fold] * len(terms), pa.int32()), pa.array(terms, pa.string()),
+                    pa.array([counts[t] for t in terms], pa.int64()), pa.array([df[fold][t] for t in terms], pa.int64())],
+                    names=["fold", "term", "tf", "df"])
+            tf.clear(), df.clear(), words.clear()
+
+        for b in batches:
+            for fold, t in zip(b.column("fold").to_pylist(), b.column("tokens").to_pylist()):
+                if analyzer == "char_wb":
+                    words[fold].update(t)
+                    df[fold].update(set().union(*map(of_word, set(t))))
+                else:
+                    found = of_text(t)
+                    tf[fold].update(found)
+                    df[fold].update(set(found))
+            if sum(map(len, df.values())) > 500_000:
+                yield from flush()
+        yield from flush()
+
+    rows = docs.select(F.col("fold").cast("int"), tokens(column, p, stop_words).alias("tokens")).where("tokens is not null")
+    counted = rows.mapInArrow(run, "fold int, term string, tf bigint, df bigint")
     sums = []
     for m in models:
         for c in ("tf", "df"):
             value = F.col(c) if models == [-1] else F.when(F.col("fold") != m, F.col(c)).otherwise(0)
             sums.append(F.sum(value).alias(f"{c}_{m}".replace("-1", "all")))
-    return rows.groupBy("term").agg(*sums)
+    return counted.groupBy("term").agg(*sums)
 
 
 def vocabulary(stats: DataFrame, model: int, n_docs: int, min_df: int, max_df: float, max_features: int) -> DataFrame:
-    """The ``max_features`` most frequent terms with min_df <= documents <= max_df * n_docs; ties go by term."""
+    """The ``max_features`` most frequent terms with min_df <= documents <= max_df * n_docs; ties go by term.
+
+    A table of frequencies, one row for each, shows from which on all terms fit; only the terms of the next frequency
+    are sorted. No task merges candidates for the whole list.
+    """
     tag = "all" if model == -1 else str(model)
     tf, df = F.col(f"tf_{tag}"), F.col(f"df_{tag}")
-    kept = stats.where((df >= min_df) & (df <= max_df * n_docs))
-    return kept.select("term", tf.alias("tf"), df.alias("df")).orderBy(F.desc("tf"), "term").limit(max_features)
+    kept = stats.where((df >= min_df) & (df <= max_df * n_docs)).select("term", tf.alias("tf"), df.alias("df"))
+    upto = Window.orderBy(F.desc("tf")).rowsBetween(Window.unboundedPreceding, 0)
+    sizes = kept.groupBy("tf").agg(F.count(F.lit(1)).alias("n")).select("tf", "n", F.sum("n").over(upto).alias("upto"))
+    first = sizes.where(F.col("upto") > max_features).agg(F.max(F.struct("tf", (F.lit(max_features) - F.col("upto") + F.col("n")).alias("room")))).first()[0]
+    if first is None:
+        return kept
+    ties = kept.where(F.col("tf") == first["tf"]).orderBy("term").limit(first["room"])
+    return kept.where(F.col("tf") > first["tf"]).unionByName(ties)
 
 
 def idf(n_docs: int, df: np.ndarray) -> np.ndarray:
@@ -110,10 +204,11 @@ class TermBlock:
 
     @classmethod
     def fit(
-        cls, name: str, docs: DataFrame, terms: Callable[[], Column], models: list[int], n_docs: dict[int, int],
-        min_df: int, max_df: float, max_features: int,
+        cls, name: str, docs: DataFrame, column: str, p: Ngrams, models: list[int], n_docs: dict[int, int], max_df: float,
+        stop_words: tuple[str, ...] | None = None,
     ) -> "TermBlock":
-        stats = term_stats(docs, terms(), models)
+        min_df, max_features = p.min_df, p.limit
+        stats = term_stats(docs, p, models, column, stop_words)
         often = F.greatest(*[F.col(c) for c in stats.columns if c.startswith("df_")], F.lit(0))
         stats = stats.where(often >= min_df).persist()
         stats.count()
@@ -132,13 +227,8 @@ class TermBlock:
     def of_terms(cls, spark, name: str, terms: list[str], weights: np.ndarray) -> "TermBlock":
         if not terms:
             return cls(name, terms, weights, np.zeros(0, dtype=np.int64), None)
-        table = spark.createDataFrame([([t],) for t in terms], "terms array<string>")
-        counter = CountVectorizer(
-            inputCol=f"{name}_terms", outputCol=f"{name}_tf", vocabSize=len(terms), minDF=1.0
-        ).fit(table.withColumnRenamed("terms", f"{name}_terms"))
-        rank = {t: i for i, t in enumerate(terms)}
-        order = np.array([rank[t] for t in counter.vocabulary], dtype=np.int64)
-        return cls(name, terms, weights, order, counter)
+        counter = CountVectorizerModel.from_vocabulary(terms, f"{name}_terms", f"{name}_tf")
+        return cls(name, terms, weights, np.arange(len(terms)), counter)
 
     def count(self, docs: DataFrame, terms: Column) -> DataFrame:
         """Add the sparse counts of the block's terms; a JVM lookup per row, no shuffle."""

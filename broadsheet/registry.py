@@ -46,13 +46,11 @@ def _csv(spark: SparkSession, df: DataFrame, name: str) -> str:
 
 def scan_dev(spark, sf_dir):
     dev = news_dev(spark, sf_dir).withColumnRenamed("id", "Id")
-    df = articles.read_development(spark, _csv(spark, dev, "development.csv"))
-    return df.withColumn("page_rank", F.col("page_rank").try_cast("int"))
+    return articles.read_development(spark, _csv(spark, dev, "development.csv"))
 
 
 def scan_eval(spark, sf_dir):
-    df = articles.read_evaluation(spark, _csv(spark, news_eval(spark, sf_dir), "evaluation.csv"))
-    return df.withColumn("page_rank", F.col("page_rank").try_cast("int"))
+    return articles.read_evaluation(spark, _csv(spark, news_eval(spark, sf_dir), "evaluation.csv"))
 
 
 def standardize_columns(spark, sf_dir):
@@ -92,14 +90,15 @@ def metric_sinks(spark, sf_dir):
         "pred_label_counts": profile.pred_label_counts(preds, "pred"),
     }
     paths = sinks.write_metrics(tables, sinks.new_path(spark, "metrics"))
-    back = [
-        spark.read.csv(path, header=True).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("table_name"), "rows", F.lit(len(tables[name].columns)).alias("n_cols"))
-        for name, path in paths.items()
-    ]
-    out = back[0]
-    for df in back[1:]:
-        out = out.unionByName(df)
+    out = None
+    for name, path in paths.items():
+        back = spark.read.csv(path, header=True)
+        cells = tables[name].select(*[F.col(c).cast("string") for c in tables[name].columns])
+        # every row that only one side has, whatever its order
+        odd = back.exceptAll(cells).unionByName(cells.exceptAll(back)).agg(F.count(F.lit(1)).alias("differing"))
+        row = back.agg(F.count(F.lit(1)).alias("rows")).crossJoin(odd).select(  # one row each
+            F.lit(name).alias("table_name"), "rows", F.lit(len(back.columns)).alias("n_cols"), "differing")
+        out = row if out is None else out.unionByName(row)
     return out
 
 
@@ -114,12 +113,8 @@ def run_summary(spark, sf_dir):
 # Joins
 
 def union_folds(spark, sf_dir):
-    preds = predictions(spark, sf_dir).select("fold", "label", "pred")
-    parts = [preds.where(F.col("fold") == f) for f in range(5)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.groupBy("label", "pred").agg(F.count(F.lit(1)).alias("n"))
+    """All folds' predictions are one table here, so their union is that table, read once."""
+    return predictions(spark, sf_dir).groupBy("label", "pred").agg(F.count(F.lit(1)).alias("n"))
 
 
 def row_rules() -> dict[str, list[Column]]:
@@ -144,7 +139,7 @@ def row_rules() -> dict[str, list[Column]]:
         "content_hash": [T.content_hash().alias("raw"), T.content_hash(near_dup=True).alias("near")],
         "text_lengths": [*[f(c).alias(f"{c}_{n}") for c in ("title", "article")
                                   for n, f in (("chars", T.char_count), ("words", T.word_count))]],
-        "pattern_flags": [*[f.alias(n) for n, f in T.pattern_flags("title").items()]],
+        "pattern_flags": [*[f.alias(f"{c}_{n}") for c in ("title", "article") for n, f in T.pattern_flags(c).items()]],
         "shorten": [T.shorten("article", 160).alias("article"), T.shorten("title", 40).alias("title")],
     }
 
@@ -207,11 +202,11 @@ def queries() -> dict[str, Query]:
         "class_weights": on_dev(lambda d: folds.class_weight_table(d, 0.7)),
         "missingness": on_dev(profile.missingness),
         "missingness_eval": lambda s, p: rounded(profile.missingness(news_eval(s, p))),
-        "text_missingness": on_dev(lambda d: profile.text_missingness(d, "article")),
+        "text_missingness": on_dev(lambda d: profile.text_missingness(d)),
         "missing_article_by_label": on_dev(profile.missing_article_by_label),
         "missing_ts_by_label": on_dev(profile.missing_timestamp_by_label),
         "label_ts_missingness": on_dev(profile.label_timestamp_missingness),
-        "label_text_missingness": on_dev(lambda d: profile.label_text_missingness(d, "article")),
+        "label_text_missingness": on_dev(lambda d: profile.label_text_missingness(d)),
         "id_checks": on_dev(profile.id_checks),
         "duplicate_counts": on_dev(profile.duplicate_counts),
         "categorical_summary": on_dev(lambda d: profile.categorical_summary(d, "source")),
@@ -226,20 +221,20 @@ def queries() -> dict[str, Query]:
             {c: F.col(c).cast("string") for c in ("ts_min", "ts_max")})),
         "counts_by_year": on_dev(profile.counts_by_year),
         "counts_by_hour": on_dev(profile.counts_by_hour),
-        "text_length_summary": on_dev(lambda d: profile.text_length_summary(d, "article")),
-        "pattern_prevalence": on_dev(lambda d: profile.pattern_prevalence(d, "title")),
+        "text_length_summary": on_dev(lambda d: profile.text_length_summary(d)),
+        "pattern_prevalence": on_dev(lambda d: profile.pattern_prevalence(d)),
         "source_pagerank": on_dev(profile.source_pagerank),
-        "label_text_lengths": on_dev(lambda d: profile.label_text_lengths(d, "article")),
-        "label_pattern_prevalence": on_dev(lambda d: profile.label_pattern_prevalence(d, "title")),
+        "label_text_lengths": on_dev(lambda d: profile.label_text_lengths(d)),
+        "label_pattern_prevalence": on_dev(lambda d: profile.label_pattern_prevalence(d)),
         "label_year_counts": on_dev(lambda d: profile.label_time_counts(d, "year")),
-        "label_month_counts": on_dev(lambda d: profile.label_time_counts(d, "month", max_rows=20)),
+        "label_month_counts": on_dev(lambda d: profile.label_time_counts(d, "month")),
         "duplicate_groups": on_dev(dedup.duplicate_groups),
         "duplicate_groups_near": on_dev(lambda d: dedup.duplicate_groups(d, near_dup=True)),
         "cross_label_dup_by_label": on_dev(lambda d: dedup.cross_label_dup_by_label(d, near_dup=True)),
         "leakage_report": on_both(lambda d, e: dedup.leakage_report(d, e, drop=True)),
         "dedup_report": on_dev(lambda d: dedup.dedup_report(d, drop_same_label=True)),
         "js_divergence": on_both(drift.js_divergence),
-        "word_len_histogram": on_dev(lambda d: drift.word_len_histogram(d, "article")),
+        "word_len_histogram": on_dev(lambda d: drift.word_len_histogram(d)),
         "table_profile": lambda s, p: profile.table_profile(s.read.parquet(f"{p}/documents.parquet")),
         "gotchas": on_dev(profile.gotchas),
         "histogram": on_dev(lambda d: profile.histogram(
@@ -253,8 +248,8 @@ def queries() -> dict[str, Query]:
         # top-k, samples, folds
         "dedup_keep_first": on_dev(lambda d: _kept(dedup.keep_first(d))),
         "top_sources_per_label": on_dev(profile.top_sources_per_label),
-        "shortest_longest": on_dev(lambda d: profile.shortest_longest(d, "article")),
-        "random_sample": on_dev(lambda d: profile.random_sample(d, "article", 3)),
+        "shortest_longest": on_dev(lambda d: profile.shortest_longest(d)),
+        "random_sample": on_dev(lambda d: profile.random_sample(d)),
         "cross_label_examples": on_dev(lambda d: dedup.cross_label_examples(d, near_dup=True)),
         "stratified_folds": on_dev(lambda d: folds.stratified_folds(d, 5, 42).select("id", "label", "fold")),
         "weak_labels": on_preds(lambda p: evaluate.weak_labels(p, 2)),

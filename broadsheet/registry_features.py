@@ -8,22 +8,16 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.fixtures import news_dev, news_eval
+from broadsheet.fixtures import news_dev, news_eval, predictions
 from broadsheet.operators import columns as C
 from broadsheet.operators import design as D
 from broadsheet.operators import evaluate
 from broadsheet.operators import terms as W
-from broadsheet.params import PLAIN, JobParams, ModelParams, TextParams
+from broadsheet.params import CHARS, PLAIN, TITLE, WORDS, JobParams, ModelParams, Ngrams, TextParams
 from broadsheet.plans import jobs
 from broadsheet.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
-# A looser stopping rule than the default keeps the registered training queries short; data and features are whole.
-LOOSE = 5e-3
-
-
-def _params(kind: str = "linearsvc", **changes) -> JobParams:
-    return JobParams(model=ModelParams(type=kind, tol=LOOSE), **changes)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -33,10 +27,10 @@ def _rounded(df: DataFrame) -> DataFrame:
     ])
 
 
-def _term_table(grams) -> Query:
+def _term_table(grams: Ngrams) -> Query:
     def run(spark, sf_dir):
         docs = news_dev(spark, sf_dir).withColumn("fold", F.lit(-1)).withColumn("text", W.document_text(TextParams()))
-        stats = W.term_stats(docs.select("fold", "text"), grams(), [-1])
+        stats = W.term_stats(docs.select("fold", "text"), grams, [-1])
         return stats.select("term", F.col("tf_all").alias("tf"), F.col("df_all").alias("df"))
 
     return run
@@ -46,8 +40,8 @@ def vocabulary(spark, sf_dir):
     p = TextParams()
     docs = news_dev(spark, sf_dir).withColumn("fold", F.lit(-1)).withColumn("text", W.document_text(p)).select("fold", "text")
     n = docs.count()
-    stats = W.term_stats(docs, W.word_ngrams("text", p.ngram_min, p.ngram_max), [-1])
-    return W.vocabulary(stats, -1, n, p.min_df, p.max_df, 2000)
+    stats = W.term_stats(docs, p.words, [-1])
+    return W.vocabulary(stats, -1, n, p.words.min_df, p.max_df, p.words.limit)
 
 
 def _weights(block: str, p: TextParams) -> Query:
@@ -80,53 +74,94 @@ def assemble(spark, sf_dir):
 
 
 def _trained(kind: str) -> Query:
+    """Rows trained on per label, and whether the gradients of all problems have shrunk by the tolerance."""
     def run(spark, sf_dir):
         dev = news_dev(spark, sf_dir)
-        model = jobs.train_final(dev, news_eval(spark, sf_dir), _params(kind))
-        scored = model.score(dev).join(dev.select("id", "label"), "id")
-        return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+        p = JobParams(model=ModelParams(type=kind))
+        cleaned, _ = jobs.clean_development(dev, news_eval(spark, sf_dir), p)
+        model = jobs.train_final(dev, news_eval(spark, sf_dir), p)
+        trained = model.score(cleaned).select("id").join(cleaned.select("id", "label"), "id")
+        return trained.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumn(
+            "converged", F.lit(bool(model.linear.converged.all())))
 
     return run
 
 
+def _answers(scored: DataFrame, model) -> DataFrame:
+    return scored.select(
+        "id", F.size("scores").alias("n_scores"), F.col("prediction").isin(model.linear.classes).alias("known_class"),
+        F.lit(bool(model.linear.converged.all())).alias("converged"))
+
+
 def predict(spark, sf_dir):
-    model = jobs.train_final(news_dev(spark, sf_dir), news_eval(spark, sf_dir), _params("ridge"))
-    return model.score(news_eval(spark, sf_dir)).select("id", "prediction", F.size("scores").alias("n_scores"))
+    eva = news_eval(spark, sf_dir)
+    model = jobs.train_final(news_dev(spark, sf_dir), eva, JobParams(model=ModelParams(type="ridge")))
+    return _answers(model.score(eva), model)
+
+
+def _validated(dev: DataFrame, eva: DataFrame | None, p: JobParams) -> DataFrame:
+    done = jobs.cross_validation(dev, eva, p)
+    return evaluate.fold_f1(done.preds).select(
+        "fold", "n_valid", "n_train", F.col("macro_f1").between(0, 1).alias("in_range"),
+        F.lit(bool(done.model.converged.all())).alias("converged"))
 
 
 def cross_validate(spark, sf_dir):
-    return _rounded(evaluate.fold_f1(jobs.cross_validate(news_dev(spark, sf_dir), news_eval(spark, sf_dir), _params())))
+    return _validated(news_dev(spark, sf_dir), news_eval(spark, sf_dir), JobParams())
 
 
 def train_and_score(spark, sf_dir):
+    """The summary that the job writes, and the rows it scored."""
     out = sinks.new_path(spark, "run")
-    p = replace(_params("logreg"), drop_overlap=True, drop_same_label=True)
+    p = JobParams(model=ModelParams(type="logreg"), drop_overlap=True, drop_same_label=True)
     scored = jobs.train_and_score(news_dev(spark, sf_dir), news_eval(spark, sf_dir), out, p)
-    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+    written = spark.read.json(f"{out}/test_summary").select("n_dev", "n_eval", "converged")
+    return written.crossJoin(scored.agg(F.count(F.lit(1)).alias("n_scored")))  # one row each
 
 
 def plain_cv(spark, sf_dir):
-    p = replace(PLAIN, model=replace(PLAIN.model, type="ridge", tol=LOOSE))
-    return _rounded(evaluate.per_class_mean(jobs.cross_validate(news_dev(spark, sf_dir), None, p)))
+    return _validated(news_dev(spark, sf_dir), None, replace(PLAIN, model=replace(PLAIN.model, type="ridge")))
 
 
 def plain_train_predict(spark, sf_dir):
     """Train without cleaning, save, load as a separate job would, and score."""
-    p = replace(PLAIN, model=replace(PLAIN.model, type="ridge", tol=LOOSE))
+    p = replace(PLAIN, model=replace(PLAIN.model, type="ridge"))
     path = sinks.new_path(spark, "model")
-    jobs.train_final(news_dev(spark, sf_dir), None, p).save(spark, path)
-    return jobs.FittedModel.load(spark, path).score(news_eval(spark, sf_dir)).select("id", "prediction")
+    model = jobs.train_final(news_dev(spark, sf_dir), None, p)
+    model.save(spark, path)
+    return _answers(jobs.FittedModel.load(spark, path).score(news_eval(spark, sf_dir)), model)
 
 
 def model_save_load(spark, sf_dir):
-    """Rows scored differently by a model and by its saved and loaded copy, per prediction."""
+    """Rows scored by a model and by its saved and loaded copy, and how many of them differ in prediction or scores."""
     eva = news_eval(spark, sf_dir)
-    model = jobs.train_final(news_dev(spark, sf_dir), eva, _params("ridge"))
+    model = jobs.train_final(news_dev(spark, sf_dir), eva, JobParams(model=ModelParams(type="ridge")))
     path = sinks.new_path(spark, "model")
     model.save(spark, path)
-    again = jobs.FittedModel.load(spark, path).score(eva).select("id", F.col("prediction").alias("again"))
-    return model.score(eva).join(again, "id").groupBy("prediction").agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("prediction") != F.col("again"), 1)).alias("differing"))
+    again = jobs.FittedModel.load(spark, path).score(eva).select(
+        "id", F.col("prediction").alias("again"), F.col("scores").alias("scores_again"))
+    apart = F.exists(F.zip_with("scores", "scores_again", lambda a, b: F.abs(a - b)), lambda d: d > 1e-9)
+    both = model.score(eva).join(again, "id")
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when((F.col("prediction") != F.col("again")) | apart, 1)).alias("differing"))
+
+
+def _row_counts(spark, paths: dict[str, str]) -> DataFrame:
+    out = None
+    for name, path in paths.items():
+        part = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').agg(
+            F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def eda_report(spark, sf_dir):
+    """Tables that the profiling job wrote, and their rows."""
+    return _row_counts(spark, jobs.run_eda(news_dev(spark, sf_dir), news_eval(spark, sf_dir), sinks.new_path(spark, "eda")))
+
+
+def oof_report(spark, sf_dir):
+    return _row_counts(spark, jobs.run_oof_report(predictions(spark, sf_dir), sinks.new_path(spark, "oof")))
 
 
 def feature_cache(spark, sf_dir):
@@ -141,11 +176,11 @@ def feature_cache(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {
         "timestamp_features": lambda s, p: _rounded(C.timestamp_features(news_dev(s, p), include_missing=True)),
-        "word_ngrams": _term_table(lambda: W.word_ngrams("text", 1, 2)),
-        "char_wb_ngrams": _term_table(lambda: W.char_wb_ngrams("text", 3, 5)),
+        "word_ngrams": _term_table(WORDS),
+        "char_wb_ngrams": _term_table(CHARS),
         "vocabulary": vocabulary,
         "tfidf": _weights("word", TextParams()),
-        "title_char_tfidf": _weights("title", TextParams(title_char=True)),
+        "title_char_tfidf": _weights("title", TextParams(title=TITLE)),
         "source_binner": source_binner,
         "source_onehot": source_onehot,
         "scale_no_mean": lambda s, p: _rounded(C.scaled_columns(news_dev(s, p))),
@@ -160,4 +195,6 @@ def queries() -> dict[str, Query]:
         "plain_cv": plain_cv,
         "plain_train_predict": plain_train_predict,
         "model_save_load": model_save_load,
+        "eda_report": eda_report,
+        "oof_report": oof_report,
     }

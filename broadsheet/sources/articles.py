@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,12 +43,16 @@ def require_columns(df: DataFrame, required: tuple[str, ...], name: str) -> Data
     return df
 
 
+def whole_number(c: str, kind: str = "bigint") -> Column:
+    """Text as an integer: exact digits first, else a decimal notation cut off; null if it is no number or out of range."""
+    return F.coalesce(F.col(c).try_cast(kind), F.col(c).try_cast("double").try_cast(kind))
+
+
 def typed(df: DataFrame) -> DataFrame:
-    """Ids and labels as integers where they are text; a value that is no number becomes null."""
-    for c, t in (("id", "bigint"), ("label", "int")):
-        if c in df.columns and isinstance(df.schema[c].dataType, T.StringType):
-            df = df.withColumn(c, F.col(c).try_cast("double").try_cast(t))
-    return df
+    """Ids and labels as integers and page ranks as numbers where they are text; what is no number becomes null."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    kinds = {"id": whole_number("id"), "label": whole_number("label", "int"), "page_rank": F.col("page_rank").try_cast("double")}
+    return df.withColumns({c: value for c, value in kinds.items() if c in texts})
 
 
 def _read(spark: SparkSession, path: str, fmt: str, multi_line: bool) -> DataFrame:

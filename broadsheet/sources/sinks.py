@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +9,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; one of our own only where none is set."""
+    """The folder that ``spark.checkpoint.dir`` names. All executors must see it, so none is made up here; a session for
+    local runs sets one (see ``broadsheet.session``)."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="broadsheet-")
-        spark.sparkContext.setCheckpointDir(configured)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return configured.rstrip("/")
 
 
@@ -30,6 +29,14 @@ def stored(df: DataFrame, name: str = "table", path: str | None = None) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table that ``stored`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").csv(
         path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False

@@ -262,14 +262,21 @@ RANKS = ("ranks AS (SELECT source, count(DISTINCT page_rank) AS n_page_ranks FRO
          "WHERE source IS NOT NULL AND page_rank IS NOT NULL GROUP BY 1)")
 
 
-def extremes(kind, order):
-    return (f"SELECT '{kind}' AS kind, id, chars, {shorten('article', 160)} AS example FROM "
-            f"(SELECT id, {chars('article')} AS chars, article FROM dev ORDER BY chars {order}, id LIMIT 3)")
+FOLD = "CAST((row_number() OVER (ORDER BY label NULLS FIRST, md5(CAST(id AS VARCHAR) || ':42'), id) - 1) % 5 AS INTEGER)"
+
+
+def extremes(c, kind, order):
+    return (f"SELECT '{c}' AS field, '{kind}' AS kind, id, chars, {shorten(c, 160)} AS example FROM "
+            f"(SELECT id, {chars(c)} AS chars, {c} FROM dev ORDER BY chars {order}, id LIMIT 3)")
+
+
+def per_field(select):
+    return f"WITH {DEV} " + " UNION ALL ".join(select(c) for c in ("title", "article"))
 
 
 ORACLES = {
-    "scan_dev": dev(f"id, {na('source')}, {na('title')}, {na('article')}, page_rank, {na('timestamp')}, label"),
-    "scan_eval": f"WITH {EVA} SELECT id, {na('source')}, {na('title')}, {na('article')}, page_rank, {na('timestamp')} FROM eva",
+    "scan_dev": dev(f"id, {na('source')}, {na('title')}, {na('article')}, CAST(page_rank AS DOUBLE) AS page_rank, {na('timestamp')}, label"),
+    "scan_eval": f"WITH {EVA} SELECT id, {na('source')}, {na('title')}, {na('article')}, CAST(page_rank AS DOUBLE) AS page_rank, {na('timestamp')} FROM eva",
     "standardize_columns": dev("*"),
     "na_tokens": dev(f"id, {na('source')}, {na('title')}, {na('article')}, {na('timestamp')}"),
     "schema_check": f"WITH {DEV} " + " UNION ALL ".join(
@@ -281,9 +288,9 @@ ORACLES = {
 SELECT id, label, pred, '1', {r('score_1')} FROM preds""",
     "write_predictions": f'WITH {PREDS} SELECT id AS "Id", pred AS "Predicted" FROM preds',
     "metric_sinks": f"""{PER_LABEL}, q AS (SELECT count(DISTINCT fold) AS f, count(DISTINCT label) AS k, count(DISTINCT pred) AS p FROM preds)
-SELECT 'folds' AS table_name, f AS rows, 6 AS n_cols FROM q UNION ALL SELECT 'per_class_mean', k, 4 FROM q UNION ALL
-SELECT 'confusion_matrix', k, CAST(1 + k AS INTEGER) FROM q UNION ALL SELECT 'oof_true_pred_counts', k, 4 FROM q UNION ALL
-SELECT 'pred_label_counts', p, 2 FROM q""",
+SELECT 'folds' AS table_name, f AS rows, 6 AS n_cols, CAST(0 AS BIGINT) AS differing FROM q UNION ALL
+SELECT 'per_class_mean', k, 4, 0 FROM q UNION ALL SELECT 'confusion_matrix', k, CAST(1 + k AS INTEGER), 0 FROM q UNION ALL
+SELECT 'oof_true_pred_counts', k, 4, 0 FROM q UNION ALL SELECT 'pred_label_counts', p, 2, 0 FROM q""",
     "run_summary": f"""{PER_LABEL} SELECT 'cv' AS stage, (SELECT count(*) FROM folds) AS k, (SELECT count(*) FROM preds) AS n,
  round((SELECT avg(macro_f1) FROM folds), 6) AS macro_f1_mean""",
     "missing_like": dev("id, " + listed(f"{gone(c)} AS {c}" for c in ("source", "title", "article"))),
@@ -305,7 +312,7 @@ SELECT 'pred_label_counts', p, 2 FROM q""",
     "normalize_near_dup": dev(f"id, {near('title')} AS title, {near('article')} AS article"),
     "content_hash": dev(f"id, {raw_hash()} AS raw, {near_hash()} AS near"),
     "text_lengths": dev("id, " + listed(f"{chars(c)} AS {c}_chars, {words(c)} AS {c}_words" for c in ("title", "article"))),
-    "pattern_flags": dev("id, " + listed(f"{e} AS {n}" for n, e in flags("title").items())),
+    "pattern_flags": dev("id, " + listed(f"{e} AS {c}_{n}" for c in ("title", "article") for n, e in flags(c).items())),
     "shorten": dev(f"id, {shorten('article', 160)} AS article, {shorten('title', 40)} AS title"),
     "select_features": dev("label AS y, id, source, title, article, page_rank, timestamp"),
     "filter_rows": dev(f"id, label") + f" WHERE {gone('article')} OR ({eda_ts()}) IS NOT NULL",
@@ -337,8 +344,8 @@ SELECT label, n, round(pow((SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) *
                                             ("page_rank", "number"), ("timestamp", "time"), ("label", "number"))),
     "missingness_eval": missingness("eva", EVA, (("id", "number"), ("source", "text"), ("title", "text"), ("article", "text"),
                                                  ("page_rank", "number"), ("timestamp", "time"))),
-    "text_missingness": dev(listed(f"{count_if(x)} AS {n}, {r(count_if(x) + ' / greatest(1, count(*))')} AS {n}_share"
-                                   for n, x in missing_flags("article").items())),
+    "text_missingness": per_field(lambda c: f"SELECT '{c}' AS field, " + listed(
+        f"{count_if(x)} AS {n}, {r(count_if(x) + ' / greatest(1, count(*))')} AS {n}_share" for n, x in missing_flags(c).items()) + " FROM dev"),
     "missing_article_by_label": f"""WITH {DEV}, c AS (SELECT label, count(*) AS missing_count FROM dev WHERE {gone('article')} GROUP BY 1)
 SELECT *, round(missing_count / sum(missing_count) OVER (), 6) AS share_of_missing FROM c""",
     "missing_ts_by_label": f"""WITH {DEV}, c AS (SELECT label, count(*) AS missing_count FROM dev WHERE ({eda_ts()}) IS NULL GROUP BY 1)
@@ -346,8 +353,8 @@ SELECT *, round(missing_count / sum(missing_count) OVER (), 6) AS share_of_missi
     "label_ts_missingness": dev(f"""label, {count_if(f"{strip(text('timestamp'))} IN {ZEROS}")} AS placeholder,
  {count_if(f'({eda_ts()}) IS NULL')} AS missing_like, count(*) AS total,
  {r(count_if(f'({eda_ts()}) IS NULL') + ' / count(*)')} AS missing_like_share""") + " GROUP BY label",
-    "label_text_missingness": dev("label, " + listed(f"{count_if(x)} AS {n}" for n, x in missing_flags("article").items())
-                                  + ", count(*) AS total") + " GROUP BY label",
+    "label_text_missingness": per_field(lambda c: f"SELECT '{c}' AS field, label, " + listed(
+        f"{count_if(x)} AS {n}" for n, x in missing_flags(c).items()) + ", count(*) AS total FROM dev GROUP BY label"),
     "id_checks": dev("count(*) AS rows, count(*) - count(id) AS missing, count(*) - (SELECT count(*) FROM (SELECT DISTINCT id FROM dev)) "
                      "AS duplicates, count(DISTINCT id) AS distinct_ids, min(id) AS id_min, max(id) AS id_max"),
     "duplicate_counts": f"WITH {DEV} " + " UNION ALL ".join(
@@ -366,19 +373,22 @@ FROM (SELECT CAST(l_extendedprice AS DOUBLE) AS v FROM lineitem)""",
  round(count(*) / (SELECT count(*) FROM dev), 6) AS share FROM dev WHERE ({eda_ts()}) IS NOT NULL GROUP BY 1""",
     "counts_by_hour": f"""WITH {DEV} SELECT CAST(hour({eda_ts()}) AS INTEGER) AS hour, count(*) AS n,
  round(count(*) / sum(count(*)) OVER (), 6) AS share FROM dev WHERE ({eda_ts()}) IS NOT NULL GROUP BY 1""",
-    "text_length_summary": f"WITH {DEV}, t AS (SELECT {chars('article')} AS chars, {words('article')} AS words FROM dev) " + " UNION ALL ".join(
-        f"SELECT '{m}' AS measure, {describe(m)}, min({m}) AS min, max({m}) AS max FROM t" for m in ("chars", "words")),
-    "pattern_prevalence": f"WITH {DEV} " + " UNION ALL ".join(
-        f"SELECT '{n}' AS pattern, {count_if(e)} AS n, {r(count_if(e) + ' / count(*)')} AS share FROM dev" for n, e in flags("title").items()),
+    "text_length_summary": per_field(lambda c: " UNION ALL ".join(
+        f"SELECT '{c}' AS field, '{m}' AS measure, {describe(m)}, min({m}) AS min, max({m}) AS max "
+        f"FROM (SELECT {chars(c)} AS chars, {words(c)} AS words FROM dev)" for m in ("chars", "words"))),
+    "pattern_prevalence": per_field(lambda c: " UNION ALL ".join(
+        f"SELECT '{c}' AS field, '{n}' AS pattern, {count_if(e)} AS n, {r(count_if(e) + ' / count(*)')} AS share FROM dev" for n, e in flags(c).items())),
     "source_pagerank": f"""WITH {DEV}, {RANKS} SELECT source, n_page_ranks, (SELECT count(*) FROM ranks WHERE n_page_ranks > 1) AS n_varying,
  (SELECT count(DISTINCT source) FROM dev) AS n_sources FROM ranks WHERE n_page_ranks > 1 ORDER BY n_page_ranks DESC, source LIMIT 10""",
-    "label_text_lengths": f"WITH {DEV}, t AS (SELECT label, {chars('article')} AS chars, {words('article')} AS words FROM dev) SELECT label, count(*) AS n, "
-                          + listed(f"round(avg({m}), 2) AS {m}_mean, round(quantile_cont(CAST({m} AS DOUBLE), 0.5), 2) AS {m}_p50, "
-                                   f"round(quantile_cont(CAST({m} AS DOUBLE), 0.9), 2) AS {m}_p90" for m in ("chars", "words")) + " FROM t GROUP BY 1",
-    "label_pattern_prevalence": dev(f"label, {r('avg(CAST(' + flags('title')['contains_html_tag'] + ' AS INTEGER))')} AS has_html, "
-                                    f"{r('avg(CAST(' + flags('title')['contains_url'] + ' AS INTEGER))')} AS has_url") + " GROUP BY label",
+    "label_text_lengths": per_field(lambda c: f"SELECT '{c}' AS field, label, count(*) AS n, " + listed(
+        f"round(avg({m}), 2) AS {m}_mean, round(quantile_cont(CAST({m} AS DOUBLE), 0.5), 2) AS {m}_p50, "
+        f"round(quantile_cont(CAST({m} AS DOUBLE), 0.9), 2) AS {m}_p90" for m in ("chars", "words"))
+        + f" FROM (SELECT label, {chars(c)} AS chars, {words(c)} AS words FROM dev) GROUP BY label"),
+    "label_pattern_prevalence": per_field(lambda c: f"SELECT '{c}' AS field, label, "
+        f"{r('avg(CAST(' + flags(c)['contains_html_tag'] + ' AS INTEGER))')} AS has_html, "
+        f"{r('avg(CAST(' + flags(c)['contains_url'] + ' AS INTEGER))')} AS has_url FROM dev GROUP BY label"),
     "label_year_counts": label_time("year", 60),
-    "label_month_counts": label_time("month", 20),
+    "label_month_counts": label_time("month", 60),
     "duplicate_groups": dup_groups(raw_hash()),
     "duplicate_groups_near": dup_groups(near_hash()),
     "cross_label_dup_by_label": f"""{group_stats(near_hash())}, x AS (SELECT label, count(*) AS cross_dup_rows FROM h
@@ -398,10 +408,10 @@ SELECT n0 AS n_dev_before, n0 - cr - (sr - sg) AS n_dev_after, dg AS dup_groups,
  q AS (SELECT feature, n_dev / td / width + 1e-12 AS p, n_eval / te / width + 1e-12 AS q FROM al JOIN tot USING (feature)),
  z AS (SELECT feature, p / sum(p) OVER (PARTITION BY feature) AS p, q / sum(q) OVER (PARTITION BY feature) AS q FROM q)
 SELECT feature, round(0.5 * sum(p * ln(p / (0.5 * (p + q)))) + 0.5 * sum(q * ln(q / (0.5 * (p + q)))), 6) AS js_div FROM z GROUP BY 1""",
-    "word_len_histogram": f"""WITH {DEV}, w AS (SELECT {words('article')} AS n FROM dev),
+    "word_len_histogram": f"""WITH {DEV}, w AS (SELECT 'title' AS field, {words('title')} AS n FROM dev UNION ALL SELECT 'article', {words('article')} FROM dev),
  edges AS (SELECT * FROM (VALUES (0, 0, 5), (1, 5, 10), (2, 10, 20), (3, 20, 40), (4, 40, 80), (5, 80, 160), (6, 160, 320), (7, 320, 10000)) v(i, lo, hi)),
- c AS (SELECT i, lo, hi, count(*) AS k FROM w JOIN edges ON (n >= lo AND n < hi) OR (i = 7 AND n = hi) GROUP BY 1, 2, 3)
-SELECT i AS bin, lo AS left, hi AS right, k AS n, round(k / (sum(k) OVER () * (hi - lo)), 6) AS density FROM c""",
+ c AS (SELECT field, i, lo, hi, count(*) AS k FROM w JOIN edges ON (n >= lo AND n < hi) OR (i = 7 AND n = hi) GROUP BY 1, 2, 3, 4)
+SELECT field, i AS bin, lo AS left, hi AS right, k AS n, round(k / (sum(k) OVER (PARTITION BY field) * (hi - lo)), 6) AS density FROM c""",
     "gotchas": f"""WITH {DEV}, {RANKS}, v AS (SELECT 'timestamp_placeholder' AS rule,
  avg(CAST(coalesce(timestamp, '') = '0000-00-00 00:00:00' AS INTEGER)) AS value, 0.01 AS threshold FROM dev """ + "".join(
         f" UNION ALL SELECT '{c}_{k}', avg(CAST({flags(c)[f]} AS INTEGER)), 0.05 FROM dev"
@@ -417,15 +427,14 @@ SELECT rule, round(value, 6) AS value, CAST(threshold AS DOUBLE) AS threshold, v
     "top_sources_per_label": f"""WITH {DEV}, c AS (SELECT label, coalesce(source, '') AS source, count(*) AS n FROM dev GROUP BY 1, 2),
  s AS (SELECT *, round(n / sum(n) OVER (PARTITION BY label), 6) AS share, CAST(row_number() OVER (PARTITION BY label ORDER BY n DESC, source) AS INTEGER) AS rank FROM c)
 SELECT * FROM s WHERE rank <= 5""",
-    "shortest_longest": f"WITH {DEV} {extremes('shortest', 'ASC')} UNION ALL {extremes('longest', 'DESC')}",
+    "shortest_longest": per_field(lambda c: f"{extremes(c, 'shortest', 'ASC')} UNION ALL {extremes(c, 'longest', 'DESC')}"),
     "cross_label_examples": f"""{group_stats(near_hash())}, top AS (SELECT content_hash, n FROM g WHERE k > 1 ORDER BY n DESC, content_hash LIMIT 5),
  l AS (SELECT content_hash, label, count(*) AS c FROM h WHERE content_hash IN (SELECT content_hash FROM top) GROUP BY 1, 2)
 SELECT top.content_hash, n, (SELECT string_agg(label || ': ' || c, ', ' ORDER BY label) FROM l WHERE l.content_hash = top.content_hash) AS labels,
  (SELECT {shorten('arg_min(title, id)', 160)} FROM h WHERE h.content_hash = top.content_hash) AS title FROM top""",
-    "random_sample": f"""WITH {DEV} SELECT id, {shorten('article', 220)} AS example FROM dev
-ORDER BY md5(CAST(id AS VARCHAR) || ':0'), id LIMIT 3""",
-    "stratified_folds": f"""WITH {DEV} SELECT id, label,
- CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id) - 1) % 5 AS INTEGER) AS fold FROM dev""",
+    "random_sample": per_field(lambda c: f"""SELECT '{c}' AS field, id, {shorten(c, 220)} AS example FROM
+ (SELECT * FROM dev ORDER BY md5(CAST(id AS VARCHAR) || ':0'), id LIMIT 3)"""),
+    "stratified_folds": f"WITH {DEV} SELECT id, label, {FOLD} AS fold FROM dev",
     "weak_labels": f"WITH {PREDS}, {LABEL_F1} SELECT CAST(label AS VARCHAR) AS label, round(f1, 6) AS f1 FROM lf ORDER BY lf.f1, lf.label LIMIT 2",
     "fold_f1": f"""{PER_LABEL} SELECT fold, round(macro_f1, 6) AS macro_f1, round(micro_f1, 6) AS micro_f1, round(weighted_f1, 6) AS weighted_f1,
  n_valid, (SELECT count(*) FROM preds) - n_valid AS n_train FROM folds""",
@@ -509,7 +518,7 @@ ORACLES.update({
     "word_ngrams": f"WITH {WORD_GRAMS}, {TERMS} SELECT term, tf, df FROM st",
     "char_wb_ngrams": f"WITH {DOCS}, {char_grams('docs', 3, 5)}, {TERMS} SELECT term, tf, df FROM st",
     "vocabulary": f"""WITH {WORD_GRAMS}, {TERMS} SELECT term, tf, df FROM st WHERE df >= 5 AND df <= 0.95::DOUBLE * (SELECT count(*) FROM dev)
-ORDER BY tf DESC, term LIMIT 2000""",
+ORDER BY tf DESC, term LIMIT 100000""",
     "tfidf": weighted(WORD_GRAMS, 5, 100000),
     "title_char_tfidf": weighted(f"{_TITLES}, {char_grams('titles', 2, 4)}", 4, 20000),
     "source_binner": f"WITH {DEV}, {KEPT_SOURCES} SELECT id, CASE WHEN {_SRC} IN (SELECT s FROM kept) THEN {_SRC} ELSE '__OTHER__' END AS source_bin FROM dev",
@@ -521,6 +530,71 @@ SELECT * FROM e WHERE category IN (SELECT c FROM seen)""",
  {listed(f"{e} AS {n}" for n, e in _TIME_COLS.items())} FROM dev JOIN tm ON dev.id = tm.id),
  sd AS (SELECT {listed(f"CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END AS s_{c}" for c in _DENSE)} FROM fe)
 SELECT id, timestamp_missing, {listed(f"round({c} / s_{c}, 6) AS {c}" for c in _DENSE)} FROM fe, sd""",
-    "feature_cache": f"""WITH {DOCS}, f AS (SELECT id, (row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id) - 1) % 5 AS fold FROM dev)
-SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n, CAST(sum(length(t)) AS BIGINT) AS chars FROM f JOIN docs USING (id) GROUP BY 1""",
+    "feature_cache": f"""WITH {DOCS}, f AS (SELECT id, {FOLD} AS fold FROM dev)
+SELECT fold, count(*) AS n, CAST(sum(length(t)) AS BIGINT) AS chars FROM f JOIN docs USING (id) GROUP BY 1""",
+})
+
+# Training: rows, folds and classes follow from the tables; the fitted models answer for the booleans
+CLEANED = f"{GROUPED}, cleaned AS (SELECT k.* FROM k JOIN g USING (ct, ca) WHERE kinds = 1)"
+_CLASSES = "(SELECT CAST(count(DISTINCT label) AS INTEGER) FROM {})"
+
+
+def _trained():
+    return f"{CLEANED} SELECT label, count(*) AS n, true AS converged FROM cleaned GROUP BY 1"
+
+
+def _folds(cte, table):
+    return f"""{cte}, f AS (SELECT {FOLD} AS fold FROM {table})
+SELECT fold, count(*) AS n_valid, (SELECT count(*) FROM f) - count(*) AS n_train, true AS in_range, true AS converged FROM f GROUP BY 1"""
+
+
+_NONZERO = " + ".join(f"CAST({e} <> 0 AS INTEGER)" for e in [
+    *[f"CAST({PATTERNS[m]} AS DOUBLE)" for m in META], "CAST(coalesce(page_rank, 0) AS DOUBLE)", *_TIME_COLS.values(),
+    f"CAST({gone('article')} AS INTEGER)", "is_missing"])
+_WORDS_SET = weighted(WORD_GRAMS, 5, 100000)
+_CHARS_SET = weighted(f"{DOCS}, {char_grams('docs', 3, 5)}", 3, 25000)
+
+ORACLES.update({
+    "table_profile": """WITH m AS (SELECT CAST('0x' || substr(md5(concat_ws('|', """ + listed(
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "text", "lang", "source", "n_chars")) + """)), 1, 15) AS BIGINT) AS m
+ FROM documents) SELECT count(*) AS rows, 5 AS n_cols, 'doc_id bigint, text string, lang string, source string, n_chars bigint' AS columns,
+ bit_xor(m) AS fingerprint_xor, CAST(sum(m) AS VARCHAR) AS fingerprint_sum FROM m""",
+    "assemble": f"""WITH {TIMES}, nw AS (SELECT id, count(*) AS n FROM ({_WORDS_SET}) GROUP BY 1), nc AS (SELECT id, count(*) AS n FROM ({_CHARS_SET}) GROUP BY 1)
+SELECT dev.id, label, CAST(coalesce(nw.n, 0) + coalesce(nc.n, 0) + 1 + {_NONZERO} AS INTEGER) AS n_set,
+ CAST((nw.n IS NOT NULL)::INTEGER + (nc.n IS NOT NULL)::INTEGER AS DOUBLE) AS text_norm
+FROM dev JOIN tm ON dev.id = tm.id LEFT JOIN nw ON nw.id = dev.id LEFT JOIN nc ON nc.id = dev.id""",
+    "train_linearsvc": _trained(),
+    "train_logreg": _trained(),
+    "train_ridge": _trained(),
+    "predict": f"{CLEANED}, {EVA} SELECT id, {_CLASSES.format('cleaned')} AS n_scores, true AS known_class, true AS converged FROM eva",
+    "plain_train_predict": f"WITH {DEV}, {EVA} SELECT id, {_CLASSES.format('dev')} AS n_scores, true AS known_class, true AS converged FROM eva",
+    "cross_validate": _folds(CLEANED, "cleaned"),
+    "plain_cv": _folds(f"WITH {DEV}", "dev"),
+    "train_and_score": f"""{KEYED}, g AS (SELECT ct, ca, count(DISTINCT coalesce(CAST(label AS VARCHAR), 'nan')) AS kinds FROM k GROUP BY 1, 2)
+SELECT (SELECT count(*) FROM g WHERE kinds = 1 AND NOT EXISTS (SELECT 1 FROM e WHERE e.ct = g.ct AND e.ca = g.ca)) AS n_dev,
+ (SELECT count(*) FROM eva) AS n_eval, (SELECT count(*) FROM eva) AS n_scored, true AS converged""",
+    "model_save_load": f"WITH {EVA} SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM eva",
 })
+
+
+def _counts(tables):
+    return " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS rows FROM ({sql})" for name, sql in tables.items())
+
+
+_FREE = ("missingness", "text_missingness", "id_checks", "duplicate_counts", "timestamp_summary", "counts_by_year", "counts_by_hour",
+         "text_length_summary", "pattern_prevalence", "source_pagerank", "shortest_longest", "random_sample", "gotchas",
+         "table_profile", "categorical_summary", "numeric_summary")
+_LABELLED = ("label_summary", "majority_baseline", "missing_article_by_label", "missing_ts_by_label", "label_ts_missingness",
+             "label_text_missingness", "label_text_lengths", "label_pattern_prevalence", "label_year_counts", "label_month_counts",
+             "top_sources_per_label", "duplicate_groups", "duplicate_groups_near", "cross_label_dup_by_label", "cross_label_examples")
+_COMPARED = ("id_overlap", "source_overlap", "unseen_sources", "content_overlap", "js_divergence", "word_len_histogram")
+# the same SQL over the other table, under the name of the first
+_AS_EVAL = f"dev AS (WITH {EVA} SELECT * FROM eva)"
+ORACLES["eda_report"] = _counts(
+    {n: ORACLES[n] for n in (*_FREE, *_LABELLED, *_COMPARED)}
+    | {f"eval_{n}": ORACLES["missingness_eval"] if n == "missingness" else ORACLES[n].replace(DEV, _AS_EVAL)
+       for n in (*_FREE, "word_len_histogram")})
+_WEAK = f"WITH {PREDS} SELECT label FROM preds WHERE label IN (0, 1) GROUP BY 1 LIMIT 2"
+ORACLES["oof_report"] = _counts({
+    "oof_counts": ORACLES["oof_counts"], "pr_summary": ORACLES["pr_summary"], "weak_labels": _WEAK,
+    "score_separation": ORACLES["score_separation"], "score_histogram": ORACLES["score_histogram"]})

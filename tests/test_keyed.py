@@ -109,6 +109,18 @@ def test_folds_differ_by_at_most_one_per_label(spark):
     assert a == b and a != c
 
 
+def test_folds_are_even_over_many_labels(spark):
+    df = spark.range(700).select("id", (F.col("id") * F.col("id") % 41).cast("int").alias("label"))
+    folded = folds.stratified_folds(df, 5, 1)
+    assert [r["count"] for r in folded.groupBy("fold").count().collect()] == [140] * 5
+    per_label = {}
+    for r in folded.groupBy("label", "fold").count().collect():
+        per_label.setdefault(r["label"], []).append(r["count"])
+    assert all(max(s) - (min(s) if len(s) == 5 else 0) <= 1 for s in per_label.values())
+    with pytest.raises(ValueError, match="at least two folds"):
+        folds.stratified_folds(df, 1, 1)
+
+
 def test_histogram_equals_numpy(spark):
     values = np.random.default_rng(3).gamma(2.0, size=400).round(2)
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
