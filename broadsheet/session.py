@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -21,7 +19,4 @@ def session(cores: str = "8", app: str = "broadsheet", memory: str = "16g", **co
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        # one process sees one disk, so any folder is shared here
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="broadsheet-"))
     return spark

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names. All executors must see it, so none is made up here; a session for
-    local runs sets one (see ``broadsheet.session``)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that ``spark.checkpoint.dir`` names, which all executors must see. Where it is unset, a single local
+    process gets a folder of its own; a cluster must set it."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured and (context.master == "local" or context.master.startswith("local[")):
+        configured = tempfile.mkdtemp(prefix="broadsheet-")
+        context.setCheckpointDir(configured)
     if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return configured.rstrip("/")

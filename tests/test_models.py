@@ -270,7 +270,7 @@ def test_intermediate_tables_need_a_shared_folder():
 
     class Session:
         conf = Conf()
-        sparkContext = type("Context", (), {"getCheckpointDir": lambda self: None})()
+        sparkContext = type("Context", (), {"master": "yarn", "getCheckpointDir": lambda self: None})()
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         sinks.shared_dir(Session())
