@@ -18,13 +18,14 @@ PARTS = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
 @dataclass(frozen=True)
 class ChainParams:
     """``sample`` bounds the labelled rows that models are fitted on (the first by a hash), ``features`` the words and word
-    beginnings chosen for each category, ``prefixes`` the lengths of beginnings in bytes, ``folds`` the parts for
-    out-of-fold probabilities, ``ridge`` the penalty on squared weights."""
+    beginnings chosen for each category, ``prefixes`` the lengths of beginnings in bytes, ``min_gain`` what their likelihood ratio must
+    reach (in nats), ``folds`` the parts for out-of-fold probabilities, ``ridge`` the penalty on squared weights."""
 
     sample: int = 20_000
     features: int = 128
     prefixes: tuple[int, ...] = (4, 5, 6)
     min_docs: int = 5
+    min_gain: float = 5.0
     folds: int = 5
     ridge: float = 1.0
     threshold: float = 0.5
@@ -70,7 +71,7 @@ def choose_traits(rows: DataFrame, categories: list[str], p: ChainParams) -> lis
         hit, miss = F.col(f"n_{i}"), F.col("n") - F.col(f"n_{i}")
         part = lambda x, e: F.when(x > 0, x * F.log(x / (F.col("n") * e))).otherwise(F.lit(0.0))
         gain = part(hit, F.lit(share)) + part(miss, F.lit(1 - share))
-        best = table.withColumn("gain", gain).orderBy(F.desc("gain"), "kind", "value").limit(p.features).collect()
+        best = table.withColumn("gain", gain).where(F.col("gain") >= p.min_gain).orderBy(F.desc("gain"), "kind", "value").limit(p.features).collect()
         chosen |= {(r["kind"], bytes(r["value"])): None for r in best}
     return list(chosen)
 
