@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -81,14 +80,14 @@ TROUBLE = re.compile(rb" (?:[\s\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a|\xe2[\x80\x81]
 
 
 class PerWorker:
-    """A broadcast of this gives every Python worker one object that its tasks share; it is made on first use."""
+    """A broadcast of this gives every Python worker one encoder that its tasks share; it is made on first use."""
 
-    def __init__(self, make: Callable):
-        self.make, self.made = make, None
+    def __init__(self, path: str):
+        self.path, self.made = path, None
 
-    def get(self):
+    def get(self) -> "WordEncoder":
         if self.made is None:
-            self.made = self.make()
+            self.made = WordEncoder(self.path)
         return self.made
 
 
@@ -181,7 +180,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0)
     which is written to ``folder`` too: a task that is run again leaves nothing wrong behind. Null text: only the end
     id. Null ids come first; rows that repeat an id follow one another. Empty table: no files.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(PerWorker(lambda: WordEncoder(tokenizer)))
+    shared = docs.sparkSession.sparkContext.broadcast(PerWorker(tokenizer))
 
     def run(batches):
         from pyspark import TaskContext
