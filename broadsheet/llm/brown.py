@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -16,7 +16,8 @@ from broadsheet.llm.common import map_bytes, plain, stored
 @dataclass(frozen=True)
 class BrownParams:
     """``words`` most frequent words are clustered one by one, all others in ``tails`` groups by their last bytes, so that
-    every word has a class. ``known`` words' counts are at hand in every task; the others' are joined."""
+    every word has a class. ``refine`` then lets each word that occurs ``least`` times choose its own class, in rounds
+    until less than ``settled`` of them move. ``known`` words' counts are at hand in every task; the others' are joined."""
 
     classes: int = 32
     words: int = 768
@@ -25,6 +26,9 @@ class BrownParams:
     sweeps: int = 6
     smoothing: float = 50.0
     known: int = 131_072
+    least: int = 5
+    settled: float = 0.01
+    rounds: int = 30
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -98,14 +102,29 @@ def _f(x):
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange(counts: np.ndarray, p: BrownParams) -> np.ndarray:
-    """Class of every unit. Units start dealt out by frequency; then each is taken out of its class and put where the
-    likelihood of the class bigrams gains most, sweep by sweep until none moves. The end has the last class alone."""
+def _gain(pairs, total, out, into, self_n, weight) -> np.ndarray:
+    """What the likelihood gains per class that a word joins, the word being in none. ``out`` and ``into`` count the
+    classes after and before it without itself; the end's class is closed."""
+    gain = (_f(pairs + out) - _f(pairs)).sum(axis=1) + (_f(pairs + into[:, None]) - _f(pairs)).sum(axis=0)
+    diagonal = np.diagonal(pairs)
+    both = _f(diagonal + out + into + self_n) - _f(diagonal)
+    gain += both - (_f(diagonal + out) - _f(diagonal)) - (_f(diagonal + into) - _f(diagonal))
+    gain -= 2 * (_f(total + weight) - _f(total))
+    gain[-1] = -np.inf
+    return gain
+
+
+def exchange(counts: np.ndarray, p: BrownParams, of: np.ndarray | None = None, fixed: int = 0) -> np.ndarray:
+    """Class of every unit. Units start dealt out by frequency, or from ``of``; then each is taken out of its class and
+    put where the likelihood of the class bigrams gains most, sweep by sweep until none moves. The end has the last
+    class alone; the ``fixed`` units before it stay where they are."""
     size, k = len(counts), p.classes
     weight = counts.sum(axis=1)
-    order = np.argsort(-weight[:-1], kind="stable")
-    of = np.full(size, k)
-    of[order] = np.arange(size - 1) % k
+    order = np.argsort(-weight[:size - 1 - fixed], kind="stable")
+    if of is None:
+        of = np.full(size, k)
+        of[order] = np.arange(size - 1) % k
+    of = of.copy()
     member = np.zeros((size, k + 1))
     member[np.arange(size), of] = 1
     pairs = member.T @ counts @ member
@@ -124,12 +143,7 @@ def exchange(counts: np.ndarray, p: BrownParams) -> np.ndarray:
             pairs[:, own] -= into
             pairs[own, own] -= self_n
             total[own] -= weight[u]
-            gain = (_f(pairs + out) - _f(pairs)).sum(axis=1) + (_f(pairs + into[:, None]) - _f(pairs)).sum(axis=0)
-            diagonal = np.diagonal(pairs)
-            both = _f(diagonal + out + into + self_n) - _f(diagonal)
-            gain += both - (_f(diagonal + out) - _f(diagonal)) - (_f(diagonal + into) - _f(diagonal))
-            gain -= 2 * (_f(total + weight[u]) - _f(total))
-            gain[k] = -np.inf
+            gain = _gain(pairs, total, out, into, self_n, weight[u])
             best = int(np.argmax(gain))
             if gain[best] <= gain[own] + 1e-9:
                 best = own
@@ -155,6 +169,44 @@ class BrownModel:
     tokens: int
     distinct: int
     ends: int
+    keys: np.ndarray  # hashes of the other words that have a class of their own, ascending, and these classes
+    own: np.ndarray
+
+    def others(self, words: list[bytes]) -> np.ndarray:
+        """Classes of words that are not among the most frequent: their own, or that of their tail."""
+        out = self.unit_class[[tail(w, self.params) for w in words]]
+        at, hit = find(self.keys, words)
+        out[hit] = self.own[at[hit]]
+        return out
+
+
+def find(keys: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words' hashes (those of xxhash64 in Spark) in ``keys``, and whether they are there."""
+    import xxhash
+
+    h = np.fromiter((xxhash.xxh64_intdigest(w, seed=42) for w in words), np.uint64, len(words))
+    if not len(keys):
+        return np.zeros(len(h), int), np.zeros(len(h), bool)
+    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+    return at, keys[at] == h
+
+
+def _tables(cells: np.ndarray, of: np.ndarray, kinds: np.ndarray, p: BrownParams) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions and emissions' divisors from the units' bigrams, their classes and how many words each stands for."""
+    k = p.classes
+    member = np.zeros((len(cells), k + 1))
+    member[np.arange(len(cells)), of] = 1
+    pairs = member.T @ cells @ member
+    tokens_of, kinds_of = cells.sum(axis=0) @ member, kinds @ member
+    share = (tokens_of + 1) / (tokens_of.sum() + k + 1)
+    step = np.log10((pairs + p.smoothing * share) / (pairs.sum(axis=1, keepdims=True) + p.smoothing))
+    spread = np.log10(tokens_of + kinds_of + 1)
+    spread[k] = 0.0
+    return step, spread
+
+
+def _by_tail(p: BrownParams):
+    return F.pmod(F.crc32(F.substring("word", -p.tail_bytes, p.tail_bytes)), F.lit(p.tails)).cast("int")
 
 
 def fit(docs: DataFrame, p: BrownParams = BrownParams()) -> tuple[BrownModel, DataFrame]:
@@ -169,25 +221,226 @@ def fit(docs: DataFrame, p: BrownParams = BrownParams()) -> tuple[BrownModel, Da
     words, numbers = [words[i] for i in order], [numbers[i] for i in order]
     cells = bigrams(slim, words[:p.words], p)
     of = exchange(cells, p)
-    size, k = len(cells), p.classes
-    member = np.zeros((size, k + 1))
-    member[np.arange(size), of] = 1
-    pairs = member.T @ cells @ member
-    tokens_of = cells.sum(axis=0) @ member
     # distinct words of each unit: one each for the frequent ones, the others are counted by tail
-    kinds = np.zeros(size)
+    kinds = np.zeros(len(cells))
     for w in words[:p.words]:
         kinds[tail(w, p)] -= 1
     kinds[:min(len(words), p.words)] += 1
-    by_tail = F.pmod(F.crc32(F.substring("word", -p.tail_bytes, p.tail_bytes)), F.lit(p.tails)).cast("int")
-    for r in counts.groupBy(by_tail.alias("t")).agg(F.count(F.lit(1)).alias("n")).collect():
+    for r in counts.groupBy(_by_tail(p).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect():
         kinds[p.words + r["t"]] += r["n"]
-    kinds_of = kinds @ member
-    share = (tokens_of + 1) / (tokens_of.sum() + k + 1)
-    step = np.log10((pairs + p.smoothing * share) / (pairs.sum(axis=1, keepdims=True) + p.smoothing))
-    spread = np.log10(tokens_of + kinds_of + 1)
-    spread[k] = 0.0
-    return BrownModel(p, words, numbers, of, step, spread, int(total) + ends, int(distinct) + (ends > 0), ends), counts
+    step, spread = _tables(cells, of, kinds, p)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return BrownModel(p, words, numbers, of, step, spread, int(total) + ends, int(distinct) + (ends > 0), ends, *none), counts
+
+
+ENTRIES = "part int, w binary, code binary, n binary"
+
+
+def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int, p: BrownParams) -> DataFrame:
+    """Blocks (part, w, code, n) of neighbour counts, arrays of equal length; all entries of a word are in one block.
+
+    Words are numbered: the frequent ones, the tails, the end, then those of ``keys``. An entry of one of ``keys`` has
+    twice the number of a neighbour, and one more if that comes after it. Neighbours without a word of ``keys`` are
+    entries of the first.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((words, keys))
+    base = p.words + p.tails + 1
+
+    def run(batches):
+        words, keys = shared.value
+        place, known = {w: i for i, w in enumerate(words)}, {}
+        dense = np.zeros(base * base, np.int64)
+        line: list[int] = [base - 1]
+
+        def learn(new):
+            at, hit = find(keys, new)
+            numbers = np.where(hit, at + base, -1).tolist()
+            known.update((w, place[w] if w in place else x if x >= 0 else tail(w, p)) for w, x in zip(new, numbers))
+
+        def blocks(w, code, n):
+            part = w % parts
+            order = np.argsort(part, kind="stable")
+            w, code, n, part = w[order], code[order], n[order], part[order]
+            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+            for k in range(0, len(cuts) - 1, 256):
+                at = list(zip(cuts[k:k + 256], cuts[k + 1:k + 257]))
+                yield {"part": part[[s for s, _ in at]], "w": [w[s:e].astype(np.int32).tobytes() for s, e in at],
+                       "code": [code[s:e].astype(np.uint32).tobytes() for s, e in at], "n": [n[s:e].tobytes() for s, e in at]}
+
+        def add():
+            x = np.array(line, np.int64)
+            a, b = x[:-1], x[1:]
+            both = (a < base) & (b < base)
+            dense[:] += np.bincount(a[both] * base + b[both], minlength=base * base)
+            right, left = a >= base, b >= base
+            found = np.concatenate([a[right] << 32 | b[right] << 1 | 1, b[left] << 32 | a[left] << 1])
+            if len(found):
+                found, n = np.unique(found, return_counts=True)
+                yield from blocks(found >> 32, found & 0xFFFFFFFF, n.astype(np.int64))
+
+        for b in batches:
+            for t in b["text"]:
+                found = tokens(t)
+                if len(known) > 150_000:
+                    known.clear()
+                if new := set(found).difference(known):
+                    learn(list(new))
+                line.extend(map(known.__getitem__, found))
+                line.append(base - 1)
+                if len(line) > 1_000_000:
+                    yield from add()
+                    line = line[-1:]
+        yield from add()
+        at = np.flatnonzero(dense)
+        if len(at):
+            yield from blocks(at // base, (at % base) << 1 | 1, dense[at])
+
+    def packed(batches):
+        now, held = None, []
+
+        def flush():
+            w, code, n = (np.concatenate([np.frombuffer(h[i], t) for h in held]) for i, t in enumerate((np.int32, np.uint32, np.int64)))
+            key = w.astype(np.int64) << 32 | code
+            order = np.argsort(key, kind="stable")
+            key, n = key[order], n[order]
+            cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            key, n = key[cuts], np.add.reduceat(n, cuts)
+            return {"part": [now], "w": [(key >> 32).astype(np.int32).tobytes()], "code": [(key & 0xFFFFFFFF).astype(np.uint32).tobytes()],
+                    "n": [n.tobytes()]}
+
+        for b in batches:
+            for part, *block in zip(b["part"], b["w"], b["code"], b["n"]):
+                if part != now and held:
+                    yield flush()
+                    held = []
+                now = part
+                held.append(block)
+        if held:
+            yield flush()
+
+    found = map_bytes(plain(docs, "text"), run, ENTRIES).repartition("part").sortWithinPartitions("part")
+    return stored(map_bytes(found, packed, ENTRIES, ()), "brown-contexts")
+
+
+def _entries(b: dict) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    return [(np.frombuffer(w, np.int32).astype(np.int64), np.frombuffer(c, np.uint32).astype(np.int64), np.frombuffer(n, np.int64))
+            for w, c, n in zip(b["w"], b["code"], b["n"])]
+
+
+def _totals(blocks: DataFrame, own: np.ndarray, p: BrownParams) -> np.ndarray:
+    """Bigrams of the units, the words with a class of their own counted as one unit a class before the end."""
+    base, size = p.words + p.tails + 1, p.words + p.tails + p.classes + 1
+    shared = blocks.sparkSession.sparkContext.broadcast(own)
+
+    def run(batches):
+        unit = np.concatenate([np.arange(base - 1), [size - 1], base - 1 + shared.value.astype(np.int64)])
+        sums = np.zeros(size * size, np.int64)
+        for b in batches:
+            for w, code, n in _entries(b):
+                right, nb = (code & 1) == 1, code >> 1
+                use = right | (nb < base)  # two words of ``keys`` have an entry each
+                a, z = np.where(right, w, nb)[use], np.where(right, nb, w)[use]
+                np.add.at(sums, unit[a] * size + unit[z], n[use])
+        at = np.flatnonzero(sums)
+        yield {"a": at // size, "b": at % size, "n": sums[at]}
+
+    cells = map_bytes(blocks, run, "a int, b int, n bigint", ()).groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros((size, size), np.int64)
+    out[cells["a"].to_numpy(), cells["b"].to_numpy()] = cells["n"].to_numpy()
+    return out
+
+
+def _moves(blocks: DataFrame, of: np.ndarray, own: np.ndarray, pairs: np.ndarray, turn: int, p: BrownParams) -> np.ndarray:
+    """Classes of the words with a class of their own after half of them have chosen the best one. Words that choose at
+    the same time do not see each other move, so the halves take turns."""
+    base, k = p.words + p.tails + 1, p.classes
+    shared = blocks.sparkSession.sparkContext.broadcast((of, own, pairs))
+
+    def run(batches):
+        of, own, pairs = shared.value
+        class_of, total = np.concatenate([of, own]).astype(np.int64), pairs.sum(axis=1)
+        for b in batches:
+            out = {"w": [], "class": []}
+            for w, code, n in _entries(b):
+                use = (w >= base) & ((w // 7 + turn) % 2 == 0)
+                w, code, n = w[use], code[use], n[use]
+                if not len(w):
+                    continue
+                first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+                row = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(w)]))
+                itself = code >> 1 == w
+                alone = np.bincount(row, n * (itself & (code & 1 == 1)), len(first))
+                seen = np.bincount((row * 2 + (code & 1)) * (k + 1) + class_of[code >> 1], n * ~itself, len(first) * 2 * (k + 1))
+                seen = seen.reshape(len(first), 2, k + 1)
+                for word, self_n, (into, after) in zip(w[first].tolist(), alone, seen):
+                    now, weight, m, t = class_of[word], after.sum() + self_n, pairs.copy(), total.copy()
+                    m[now] -= after
+                    m[:, now] -= into
+                    m[now, now] -= self_n
+                    t[now] -= weight
+                    gain = _gain(m, t, after, into, self_n, weight)
+                    best = int(np.argmax(gain))
+                    if gain[best] > gain[now] + 1e-9:
+                        out["w"].append(word - base)
+                        out["class"].append(best)
+            yield out
+
+    moved = map_bytes(blocks, run, "w int, class int", ()).toArrow()
+    own = own.copy()
+    own[moved["w"].to_numpy()] = moved["class"].to_numpy()
+    return own
+
+
+def refine(docs: DataFrame, model: BrownModel, counts: DataFrame) -> BrownModel:
+    """The model after every word of ``docs`` (text) that occurs ``least`` times has chosen its class by its own neighbours.
+
+    One pass stores each such word's neighbour counts. In every round tasks choose the words' classes against the class
+    bigrams, and the frequent words and the tails, which hold only rarer words now, are exchanged again. Rounds end when
+    few words move or the likelihood no longer rises. The driver and the tasks hold nine bytes for each word.
+    """
+    p = model.params
+    base, k = p.words + p.tails + 1, p.classes
+    frequent = model.words[:p.words]
+    found = counts.where(F.col("n") >= p.least).select(F.xxhash64("word").alias("h"), _by_tail(p).alias("t")).toArrow()
+    keys, tails = found["h"].to_numpy().view(np.uint64), found["t"].to_numpy()
+    at, hit = find(np.sort(keys), frequent)
+    rest = ~np.isin(keys, np.sort(keys)[at[hit]]) if len(keys) else np.zeros(0, bool)
+    order = np.argsort(keys[rest])
+    keys, tails = keys[rest][order], tails[rest][order]
+    if not len(keys):
+        return model
+    of = np.array(model.unit_class)
+    own = of[p.words + tails].astype(np.min_scalar_type(k))
+    blocks = contexts(docs, frequent, keys, max(32, model.tokens // 500_000), p)
+    kinds = np.zeros(base)
+    kinds[:len(frequent)] = 1
+    few = counts.where(F.col("n") < p.least)
+    for r in few.groupBy(_by_tail(p).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect():
+        kinds[p.words + r["t"]] += r["n"]
+    for w, n in zip(frequent, model.counts):
+        if n < p.least:
+            kinds[tail(w, p)] -= 1
+
+    best, quiet, groups = None, 0, np.arange(k)
+    for turn in range(p.rounds + 1):
+        cells = _totals(blocks, own, p)
+        units = exchange(cells, p, np.concatenate([of[:-1], groups, of[-1:]]), k)
+        of = np.r_[units[:base - 1], units[-1]]
+        member = np.zeros((len(cells), k + 1))
+        member[np.arange(len(cells)), units] = 1
+        pairs = member.T @ cells @ member
+        likelihood = _f(pairs).sum() - _f(pairs.sum(axis=1)).sum() - _f(pairs.sum(axis=0)).sum()
+        if best is not None and likelihood <= best[0]:
+            break
+        best = likelihood, of, own, cells, units
+        if quiet == 2 or turn == p.rounds:  # both halves are settled
+            break
+        moved = _moves(blocks, of, own, pairs, turn, p)
+        quiet = quiet + 1 if (moved != own).sum() <= p.settled * len(own) / 2 else 0
+        own = moved
+    _, of, own, cells, units = best
+    step, spread = _tables(cells, units, np.concatenate([kinds[:-1], np.bincount(own, minlength=k)[:k], [0]]), p)
+    return replace(model, unit_class=of, step=step, spread=spread, keys=keys, own=own)
 
 
 def score(docs: DataFrame, model: BrownModel, counts: DataFrame) -> DataFrame:
@@ -205,9 +458,8 @@ def score(docs: DataFrame, model: BrownModel, counts: DataFrame) -> DataFrame:
     def run(batches):
         m = shared.value
         place = {w: i for i, w in enumerate(m.words)}
-        units = Units(m.words[:p.words], p)
         # one more entry each, for the end
-        class_of = np.array([m.unit_class[units[w]] for w in m.words] + [p.classes])
+        class_of = np.concatenate([m.unit_class[:len(m.words[:p.words])], m.others(m.words[p.words:]), [p.classes]]).astype(np.int64)
         log_count = np.log10(np.array(m.counts + [m.ends], np.float64) + 1)
         end, whole = len(m.words), np.log10(m.tokens + m.distinct + 1)
         for b in batches:
@@ -219,7 +471,7 @@ def score(docs: DataFrame, model: BrownModel, counts: DataFrame) -> DataFrame:
                 rare = [words[i] for i in missing]
                 classes = class_of[at]
                 if rare:
-                    classes[missing] = m.unit_class[[tail(w, p) for w in rare]]
+                    classes[missing] = m.others(rare)
                 found = log_count[at]
                 found[missing] = 0.0
                 before = np.r_[p.classes, classes[:-1]]

@@ -19,7 +19,9 @@ from broadsheet.llm.toxicity import toxicity
 
 def op1_brown(spark, sf_dir):
     docs = documents(spark, sf_dir).withColumn("flag", held_out(7))
-    model, counts = brown.fit(docs.where("not flag"))
+    train = docs.where("not flag")
+    model, counts = brown.fit(train)
+    model = brown.refine(train, model, counts)
     return brown.score(docs, model, counts).select(
         "doc_id", F.col("flag").alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
         "base_score", "score", "perplexity")

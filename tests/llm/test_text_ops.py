@@ -288,6 +288,39 @@ def test_exchange_finds_alternating_classes():
     assert len(set(of[:4])) == 1 and len(set(of[4:8])) == 1 and of[0] != of[4]
 
 
+def test_brown_words_beyond_the_frequent_choose_their_own_class(docs):
+    rng = random.Random(9)
+    p = brown.BrownParams(classes=3, words=4, tails=2, tail_bytes=1, known=20, rounds=20)
+    # words of one kind are followed by words of the other; all end alike, so their tails tell nothing
+    kinds = [[f"a{i}z" for i in range(30)], [f"b{i}z" for i in range(30)]]
+    rows = [(i, " ".join(rng.choice(kinds[j % 2]) for j in range(30))) for i in range(200)] + [(900, None), (901, "rarez a1z")]
+    table = docs(*rows).withColumn("flag", F.lit(False))
+    start, counts = brown.fit(table, p)
+    model = brown.refine(table, start, counts)
+    cls = {w: int(model.unit_class[i]) for i, w in enumerate(model.words[:p.words])}
+    more = [w.encode() for k in kinds for w in k if w.encode() not in cls]
+    cls |= dict(zip(more, model.others(more).tolist()))
+    by_kind = [{cls[w.encode()] for w in k} for k in kinds]
+    assert not by_kind[0] & by_kind[1] and len(model.keys) == 56
+    # the scores are those of these classes, counted anew
+    seen = Counter(w for _, t in rows for w in brown.tokens((t or "").encode()))
+    cls[b"rarez"] = int(model.unit_class[brown.tail(b"rarez", p)])
+    pairs, into, distinct = Counter(), Counter(), Counter(cls[w] for w in seen)
+    for _, t in rows:
+        line = [3, *[cls[w] for w in brown.tokens((t or "").encode())], 3]
+        pairs.update(zip(line, line[1:]))
+        into.update(line[1:])
+    got, total = {r["doc_id"]: r for r in brown.score(table, model, counts).collect()}, sum(into.values())
+    for i, t in rows:
+        words, want, before = brown.tokens((t or "").encode()), 0.0, 3
+        for c, w in [(cls[w], w) for w in words] + [(3, None)]:
+            share = (into[c] + 1) / (total + 4)
+            want += math.log10((pairs[before, c] + p.smoothing * share) / (sum(v for (a, _), v in pairs.items() if a == before) + p.smoothing))
+            want += math.log10((seen[w] + 1) / (into[c] + distinct[c] + 1)) if w else 0.0
+            before = c
+        assert got[i]["score"] == pytest.approx(want)
+
+
 def test_brown_nothing_learned(docs):
     table = docs((1, "a b"), (2, None)).withColumn("flag", F.lit(True))
     model, counts = brown.fit(table.where("not flag"), SMALL)
