@@ -5,9 +5,11 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from broadsheet.llm.common import map_bytes, plain
 from broadsheet.llm.records import portions
@@ -119,11 +121,12 @@ def agenda(model: MergeModel, symbols: list[int], key: int, dropout: float) -> l
     return [(sym[i], i, stop[i]) for i in range(n) if alive[i]]
 
 
-def merge_many(model: MergeModel, sym: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float):
+def merge_many(model: MergeModel, sym: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float, made_by: list | None = None):
     """The same merges for many pieces of text at once: in each round every piece makes the best merge of its agenda.
 
     Returns (owner, symbol, start, stop) of all remaining symbols in order. A candidate's hash depends on its span
     only, so taking the best candidate that is not skipped equals popping an agenda and passing over skipped ones.
+    ``made_by`` gets (owner, start, mid, stop) of the merges of each round.
     """
     own = np.repeat(np.arange(len(lengths)), lengths)
     start = np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -162,6 +165,8 @@ def merge_many(model: MergeModel, sym: np.ndarray, lengths: np.ndarray, keys: np
             at = best & 0xFFFFFFFF
         if not len(sym):
             break
+        if made_by is not None:
+            made_by.append((own[at], start[at], start[at + 1], stop[at + 1]))
         sym[at], stop[at] = made[at], stop[at + 1]
         keep = np.ones(len(sym), bool)
         keep[at + 1] = False
@@ -174,17 +179,29 @@ def merge_many(model: MergeModel, sym: np.ndarray, lengths: np.ndarray, keys: np
 
 
 class DropoutEncoder:
-    """Encodes texts. A text belongs to one of ``streams`` dropout streams, chosen by a keyed hash of its id; the hash of
-    a candidate merge is keyed by seed, stream and word, so within a stream a word is segmented once. ``limit`` bounds
-    the words kept; ``longest`` is the length from which a word is merged on its own with a heap."""
+    """Encodes texts. Without ``streams`` every candidate merge has a draw of its own: its hash is keyed by seed, document,
+    repetition of the document, word position and span. What words give without dropout is kept with the merges that
+    lead there; where a draw skips none of these it is the result, all other occurrences are merged anew.
+
+    With ``streams`` a text belongs to one of them, chosen by a keyed hash of its id; the hash of a candidate merge is
+    keyed by seed, stream and word, so within a stream a word is segmented once. ``limit`` bounds the words kept;
+    ``longest`` is the length from which a word is merged on its own with a heap."""
 
     WORDS = re.compile(rb"\n[^ \n]*| *[^ \n]+| +")
     LONG_LINES = re.compile(rb" *[^ ]+| +")
 
-    def __init__(self, model: MergeModel, dropout: float, seed: int, streams: int, limit: int = 400_000, longest: int = 48):
+    def __init__(self, model: MergeModel, dropout: float, seed: int, streams: int | None, limit: int = 400_000, longest: int = 48):
         self.model, self.dropout, self.seed, self.streams = model, dropout, seed, streams
         self.limit, self.longest = limit, longest
-        self.known: list[dict[bytes, bytes]] = [{} for _ in range(streams)]
+        self.known: list[dict[bytes, bytes]] = [{} for _ in range(streams or 0)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.whole: list[bytes] = []
+        self.first = np.zeros(1, np.int64)  # where each word's merges begin
+        self.spans = np.zeros((3, 0), np.int64)
+        self.long = np.zeros(0, bool)
 
     def stream(self, doc_id: int | None) -> int:
         import xxhash
@@ -200,23 +217,28 @@ class DropoutEncoder:
         found = (self.WORDS if self.model.by_line else self.LONG_LINES).findall(b" " + text)
         return [w[1:] if w[:1] == b" " else w for w in found]
 
+    def _texts(self, words: list[bytes]) -> list[str]:
+        by_line = self.model.by_line
+        return [w.decode("utf-8", "replace") if w[:1] == b"\n" and by_line else " " + w.decode("utf-8", "replace") for w in words]
+
     def segment(self, words: list[bytes], stream: int, at_once: int = 4000) -> list[bytes]:
         """Packed ids of each word."""
         import xxhash
 
-        model, seed, out = self.model, self.seed * 65_537 + stream, []
-        texts = [w.decode("utf-8", "replace") if w[:1] == b"\n" and model.by_line else " " + w.decode("utf-8", "replace") for w in words]
+        seed, out = self.seed * 65_537 + stream, []
+        texts = self._texts(words)
         keys = np.array([xxhash.xxh3_64_intdigest(w, seed=seed) for w in words], np.uint64)
         for k in range(0, len(texts), at_once):
             out += self._merged(texts[k:k + at_once], keys[k:k + at_once])
         return out
 
-    def _merged(self, texts: list[str], keys: np.ndarray) -> list[bytes]:
+    def _merged(self, texts: list[str], keys: np.ndarray, dropout: float | None = None, made_by: list | None = None) -> list[bytes]:
         model, out = self.model, [b""] * len(texts)
+        dropout = self.dropout if dropout is None else dropout
         lengths = np.array([len(t) for t in texts])
         symbols = model.table[np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")]
         short = lengths <= self.longest
-        own, sym, start, stop = merge_many(model, symbols[np.repeat(short, lengths)], lengths[short], keys[short], self.dropout)
+        own, sym, start, stop = merge_many(model, symbols[np.repeat(short, lengths)], lengths[short], keys[short], dropout, made_by)
         packed = sym.astype(f"<u{model.width}").tobytes()
         edges = (np.searchsorted(own, np.arange(short.sum() + 1)) * model.width).tolist()
         odd = set(own[(sym < 0) | (sym >= model.size)].tolist())
@@ -229,7 +251,7 @@ class DropoutEncoder:
         ends = np.cumsum(lengths)
         for i in np.flatnonzero(~short).tolist():
             part = symbols[ends[i] - lengths[i]:ends[i]].tolist()
-            out[i] = self._packed(texts[i], agenda(model, part, int(keys[i]), self.dropout))
+            out[i] = self._packed(texts[i], agenda(model, part, int(keys[i]), dropout))
         return out
 
     def _packed(self, text: str, spans) -> bytes:
@@ -241,7 +263,64 @@ class DropoutEncoder:
                 ids += [self.model.bytes[x] for x in text[a:b].encode()]
         return np.array(ids, f"<u{self.model.width}").tobytes()
 
+    def _learn(self, words: list[bytes], at_once: int = 4000) -> None:
+        """Keep what the words give without dropout, and the merges that lead there. Long words are always merged anew."""
+        spans, counts, long = [self.spans], [], [self.long]
+        for k in range(0, len(words), at_once):
+            texts, made_by = self._texts(words[k:k + at_once]), []
+            is_long = np.array([len(t) > self.longest for t in texts])
+            short = [t for t, x in zip(texts, is_long) if not x]
+            found = iter(self._merged(short, np.zeros(len(short), np.uint64), 0.0, made_by) if short else [])
+            self.whole += [b"" if x else next(found) for x in is_long]
+            owner, *span = [np.concatenate(x) for x in zip(*made_by)] if made_by else [np.zeros(0, np.int64)] * 4
+            order = np.argsort(owner, kind="stable")
+            spans.append(np.stack(span)[:, order])
+            n = np.zeros(len(texts), np.int64)
+            n[~is_long] = np.bincount(owner, minlength=len(short))
+            counts.append(n)
+            long.append(is_long)
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.spans, self.long = np.concatenate(spans, axis=1), np.concatenate(long)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(counts))])
+
+    def draw(self, words: list[bytes], keys: np.ndarray, at_once: int = 4000) -> list[bytes]:
+        """Packed ids of word occurrences, each with its own key."""
+        if new := list(set(words).difference(self.place)):
+            if len(self.place) + len(new) > self.limit:
+                self._forget()
+                new = list(set(words))
+            self._learn(new)
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        out, anew = [self.whole[i] for i in at.tolist()], [np.zeros(0, np.int64)]
+        for k in range(0, len(at), 50_000):
+            here = at[k:k + 50_000]
+            n = self.first[here + 1] - self.first[here]
+            row = np.repeat(np.arange(len(here)), n)
+            span = self.spans[:, np.repeat(self.first[here] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            skips = np.bincount(row[skipped(keys[k:k + 50_000][row], *span, self.dropout)], minlength=len(here)) > 0
+            anew.append(np.flatnonzero(skips | self.long[here]) + k)
+        anew = np.concatenate(anew)
+        for k in range(0, len(anew), at_once):
+            some = anew[k:k + at_once]
+            for i, packed in zip(some.tolist(), self._merged(self._texts([words[i] for i in some.tolist()]), keys[some])):
+                out[i] = packed
+        return out
+
+    def encode_each(self, doc_ids: list, turns: list[int], texts: list[bytes]) -> list[bytes]:
+        """Packed ids of texts; ``turns`` number the rows that repeat an id and text."""
+        import xxhash
+
+        split = [self.words(t) for t in texts]
+        sizes = np.array([len(w) for w in split], np.int64)
+        ends = np.cumsum(sizes)
+        base = np.array([xxhash.xxh3_64_intdigest(f"{d}:{k}".encode(), seed=self.seed) for d, k in zip(doc_ids, turns)], np.uint64)
+        position = (np.arange(sizes.sum()) - np.repeat(ends - sizes, sizes)).astype(np.uint64)
+        found = self.draw([w for words in split for w in words], _mix(np.repeat(base, sizes) + position * np.uint64(SPAN[0])))
+        return [b"".join(found[e - n:e]) for e, n in zip(ends.tolist(), sizes.tolist())]
+
     def encode(self, doc_ids: list, texts: list[bytes]) -> list[bytes]:
+        if self.streams is None:
+            return self.encode_each(doc_ids, [0] * len(texts), texts)
         streams = [self.stream(d) for d in doc_ids]
         split = [self.words(t) for t in texts]
         for s in set(streams):
@@ -255,25 +334,42 @@ class DropoutEncoder:
         return out
 
 
-def _encode(docs: DataFrame, model: str, dropout: float, seed: int, streams: int, schema: str, row) -> DataFrame:
+def _encode(docs: DataFrame, model: str, dropout: float, seed: int, streams: int | None, schema: str, row) -> DataFrame:
+    rows = plain(docs, "doc_id", "text")
+    repeats = False
+    if streams is None:
+        rows = rows.withColumn("version", F.xxhash64("text"))
+        # only rows that repeat an id and text have to meet, to be numbered
+        repeats = not rows.groupBy("doc_id", "version").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+        if repeats:
+            rows = rows.repartition("doc_id", "version")
+
     def run(batches):
-        encoder = None
+        encoder, met = None, Counter()
         for b in batches:
+            turns = [0] * len(b["text"])
+            if repeats:
+                for i, key in enumerate(zip(b["doc_id"], b["version"])):
+                    turns[i] = met[key]
+                    met[key] += 1
             for part in portions(b["text"]):
                 if encoder is None:
                     loaded = MergeModel(model)
                     encoder = DropoutEncoder(loaded, dropout, seed, streams)
-                packed = encoder.encode(b["doc_id"][part], b["text"][part])
+                if streams is None:
+                    packed = encoder.encode_each(b["doc_id"][part], turns[part], b["text"][part])
+                else:
+                    packed = encoder.encode(b["doc_id"][part], b["text"][part])
                 yield row(loaded, b["doc_id"][part], b["text"][part], packed)
 
-    return map_bytes(plain(docs, "doc_id", "text"), run, schema)
+    return map_bytes(rows, run, schema)
 
 
-def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 23, streams: int = 8) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 23, streams: int | None = 8) -> DataFrame:
     """(doc_id, ids array<int>, n_pieces) of every row of ``docs`` (doc_id bigint, text).
 
-    Null or empty text: no pieces. Null id: a stream of its own. Rows that repeat an id and text: the same pieces.
-    Empty table: no rows. ``dropout`` 0 gives the model's own segmentation, but for the mark character, which is
+    Null or empty text: no pieces. Null id: an id like the others. Rows that repeat an id and text: with ``streams`` the
+    same pieces, without (None) a draw each, as every occurrence of a word has. Empty table: no rows. ``dropout`` 0 gives the model's own segmentation, but for the mark character, which is
     written as bytes so that it comes back as itself.
     """
     def row(m, doc_ids, texts, packed):
@@ -287,7 +383,7 @@ def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: in
     return _encode(docs, model, dropout, seed, streams, "doc_id bigint, ids array<int>, n_pieces bigint", row)
 
 
-def encoded_digests(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 23, streams: int = 8) -> DataFrame:
+def encoded_digests(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 23, streams: int | None = 8) -> DataFrame:
     """(doc_id, n_pieces, ids_crc32, lossless) of every row: the pieces of ``encode_documents``, and whether decoding
     them gives the text's bytes again."""
     def row(m, doc_ids, texts, packed):

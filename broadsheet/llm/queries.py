@@ -46,7 +46,7 @@ def op6_toxicity(spark, sf_dir):
 
 
 def op7_merge_dropout(spark, sf_dir):
-    return encoded_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), streams=None)
 
 
 def op9_jaccard_join(spark, sf_dir):

@@ -137,6 +137,29 @@ def test_segmentations_vary_by_seed_and_stream(docs):
     assert ways(1) == ways(1) and ways(1) != ways(2) and 2 < len(set(ways(1))) <= 8
 
 
+def test_kept_words_change_no_draw(model):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aeinrstähou▁é\n日") for _ in range(rng.randint(1, 60))).encode() for _ in range(300)] * 4
+    keys = np.array([rng.getrandbits(64) for _ in words], np.uint64)
+    for dropout in (0.0, 0.1, 0.6, 1.0):
+        encoder = DropoutEncoder(model, dropout, 9, None, limit=500)
+        want = encoder._merged(encoder._texts(words), keys)
+        assert encoder.draw(words, keys) == want and encoder.draw(words[200:900], keys[200:900]) == want[200:900]
+
+
+def test_every_occurrence_and_repetition_has_its_own_draw(spark, docs):
+    text = " ".join(["international understanding"] * 40)
+    table = docs(*[(i // 3, text) for i in range(60)])
+    found = [tuple(r) for r in corpus_pipeline.encoded(spark, table, "").select("doc_id", "ids").collect()]
+    assert len({(i, tuple(ids)) for i, ids in found}) == 60  # repetitions differ
+    again = corpus_pipeline.encoded(spark, table.repartition(7), "").select("doc_id", "ids").collect()
+    assert sorted(map(repr, found)) == sorted(repr(tuple(r)) for r in again)
+    ways = DropoutEncoder(MergeModel(PIECES), 0.3, 1, None).draw([b"international"] * 400, np.arange(400, dtype=np.uint64) * np.uint64(7919))
+    assert len(set(ways)) > 20
+    one = encode_documents(docs((1, text)), PIECES, 0.3, streams=None).first()["ids"]
+    assert len({tuple(one[i:i + 2]) for i in range(0, len(one), 2)}) > 8  # within one document too
+
+
 # pipeline
 
 def pipeline_rows():
