@@ -320,8 +320,9 @@ def near_pair_links(a, b, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(common * 100 >= percent * union)
 
 
-def _near_links(first: DataFrame, percent: int, tile: int) -> DataFrame:
-    """(a, b) that connect all links between sets near one lead, at least one of them not linked with the lead itself.
+def _near_links(first: DataFrame, percent: int, tile: int, weights: DataFrame | None = None) -> DataFrame:
+    """(a, b, links) that connect all links between sets near one lead, at least one of them not linked with the lead
+    itself. With ``weights`` (node, weight) all sets are compared, and ``links`` adds up the weights of those linked with a.
 
     The sets of a lead are cut into tiles; a task compares two tiles by what its sets differ in, and sends links that
     connect the same sets, never its pairs.
@@ -329,6 +330,10 @@ def _near_links(first: DataFrame, percent: int, tile: int) -> DataFrame:
     rows = first.where("apart is not null").select(
         F.col("a").alias("node"), F.col("b").alias("lead"), (~F.col("linked")).cast("int").alias("open"),
         F.col("size_a").alias("size"), "common", "apart", F.col("size_b").alias("size_lead"))
+    if weights is None:
+        rows = rows.withColumn("weight", F.lit(0).cast("bigint"))
+    else:
+        rows = rows.withColumn("open", F.lit(1)).join(weights, "node")
     counts = stored(rows.groupBy("lead", "open").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles")), "jac-tiles")
     placed = rows.join(counts, ["lead", "open"]).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).drop("tiles")
     left = counts.where("open = 1").select("lead", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"))
@@ -341,7 +346,7 @@ def _near_links(first: DataFrame, percent: int, tile: int) -> DataFrame:
         if name == "b":
             to = to.where("to = 0 or i < j")  # a tile with itself needs one side only
         return placed.join(to, ["lead", "tile", "open"]).select(
-            "lead", "i", "j", "to", F.lit(name).alias("side"), "node", "size", "common", "apart", "size_lead")
+            "lead", "i", "j", "to", F.lit(name).alias("side"), "node", "size", "common", "apart", "size_lead", "weight")
 
     def compare(group):
         import pandas as pd
@@ -352,14 +357,19 @@ def _near_links(first: DataFrame, percent: int, tile: int) -> DataFrame:
         same = bool((group["to"].iloc[0] == 1) and group["i"].iloc[0] == group["j"].iloc[0])
         b = a if same else b
         if not len(a) or not len(b):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+            return pd.DataFrame({x: np.zeros(0, np.int64) for x in ("a", "b", "links")})
         i, j = near_pair_links(a, b, percent)
-        ids = a["node"].to_numpy() if same else np.concatenate([a["node"], b["node"]])
-        name = smallest_linked(len(ids), i, j if same else j + len(a))
-        at = np.flatnonzero(name != np.arange(len(ids)))
-        return pd.DataFrame({"a": ids[at], "b": ids[name[at]]})
+        if same:
+            i, j = i[i < j], j[i < j]
+        else:
+            j = j + len(a)
+        ids, weight = (a[x].to_numpy() if same else np.concatenate([a[x], b[x]]) for x in ("node", "weight"))
+        links = np.bincount(i, weight[j], len(ids)) + np.bincount(j, weight[i], len(ids))
+        name = smallest_linked(len(ids), i, j)
+        at = np.flatnonzero((name != np.arange(len(ids))) | (links > 0))
+        return pd.DataFrame({"a": ids[at], "b": ids[name[at]], "links": links[at].astype(np.int64)})
 
-    return side("a").unionByName(side("b")).groupBy("lead", "i", "j", "to").applyInPandas(compare, "a bigint, b bigint")
+    return side("a").unionByName(side("b")).groupBy("lead", "i", "j", "to").applyInPandas(compare, "a bigint, b bigint, links bigint")
 
 
 def _linked(percent: int) -> Column:
@@ -381,6 +391,21 @@ def jaccard_groups(docs: DataFrame, p: JaccardParams = JaccardParams()) -> DataF
     sequence is the one shingle. Rows that repeat an id: one node, whose links are those of its row with the smallest
     set signature. Empty table: no rows.
     """
+    return _joined(docs, p, False).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_links(docs: DataFrame, p: JaccardParams = JaccardParams()) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id) of every row: the groups of ``jaccard_groups``, and with how many
+    other ids a row's id is linked.
+
+    Every candidate pair is decided, also inside a component: sets near one lead in the tiles, all others exactly. Equal
+    sets are compared once and count with the number of their ids. Null id, no text or no word: 0.
+    """
+    return _joined(docs, p, True)
+
+
+def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
+    """The groups, and with ``count`` the links of every id; without, steps 3 and 4 leave out what changes no group."""
     spark = docs.sparkSession
     slim = plain(docs, "doc_id", "text")
     found = _sets_and_counts(slim, p)
@@ -423,7 +448,9 @@ def jaccard_groups(docs: DataFrame, p: JaccardParams = JaccardParams()) -> DataF
 
     first = _compared(chosen.select(F.col("node").alias("a"), F.col("lead").alias("b")), sets, sizes, p)
     first = stored(first.dropDuplicates(["a", "b"]), "jac-first")
-    edges = first.where("linked").select("a", "b").unionByName(stored(_near_links(first, p.percent, p.tile), "jac-near"))
+    weights = stored(of.groupBy("node").agg(F.count(F.lit(1)).alias("weight")), "jac-weights") if count else None
+    near = stored(_near_links(first, p.percent, p.tile, weights), "jac-near")
+    edges = first.where("linked").select("a", "b").unionByName(near.where("a != b").select("a", "b"))
     parts = components(edges, "jac-parts")
 
     answers = first.select(
@@ -432,17 +459,31 @@ def jaccard_groups(docs: DataFrame, p: JaccardParams = JaccardParams()) -> DataF
     own = chosen.select(F.col("lead").alias("node")).distinct().join(answers.select("node"), "node", "left_anti").join(sizes, "node").select(
         "node", F.col("node").alias("lead"), F.col("size").alias("over"), F.lit(True).alias("near"))
     known = stored(sizes.select("node").join(answers.unionByName(own), "node", "left").join(parts, "node", "left").select(
-        "node", F.coalesce("component", "node").alias("part"), F.coalesce("lead", "node").alias("lead"),
+        "node", (F.col("node") if count else F.coalesce("component", "node")).alias("part"), F.coalesce("lead", "node").alias("lead"),
         F.coalesce("over", F.lit(-1)).alias("over"), F.coalesce("near", F.lit(False)).alias("near")), "jac-known")
     tagged = stored(drawn.select("token", "node", "size", "pos").join(known, "node"), "jac-tagged")
     mixed = tagged.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high").select("token")
-    rest = stored(_candidates(tagged.join(mixed, "token", "left_semi"), p.percent, p.shared), "jac-candidates")
+    rest = _candidates(tagged.join(mixed, "token", "left_semi"), p.percent, p.shared)
+    answered = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "linked").dropDuplicates(["a", "b"])
+    if count:
+        rest = rest.join(answered, ["a", "b"], "left_anti")
+    rest = stored(rest, "jac-candidates")
     second = stored(_compared(rest, sets, sizes, p).select("a", "b", "linked"), "jac-second")
     final = components(edges.unionByName(second.where("linked").select("a", "b")), "jac-final")
 
     named = of.join(final, "node", "left").select(F.col("doc_id").alias("_id"), F.coalesce("component", "node").alias("part"))
+    if count:
+        both = answered.unionByName(second).where("linked")
+        ends = both.select(F.col("a").alias("to"), F.col("b").alias("node")).unionByName(both.select(F.col("b").alias("to"), F.col("a").alias("node")))
+        links = ends.join(weights, "node").select(F.col("to").alias("node"), F.col("weight").alias("links"))
+        links = links.unionByName(near.select(F.col("a").alias("node"), "links")).groupBy("node").agg(F.sum("links").alias("links"))
+        total = weights.join(links, "node", "left").select("node", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        named = of.join(final, "node", "left").join(total, "node").select(
+            F.col("doc_id").alias("_id"), F.coalesce("component", "node").alias("part"), "n_links")
+    else:
+        named = named.withColumn("n_links", F.lit(0).cast("bigint"))
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(named, F.col("doc_id") == F.col("_id"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("part", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("part", "doc_id").alias("component_id"))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, p: JaccardParams) -> DataFrame:

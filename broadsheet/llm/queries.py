@@ -9,7 +9,7 @@ from broadsheet.llm import brown, langid
 from broadsheet.llm.common import documents, held_out
 from broadsheet.llm.embed import near_vectors
 from broadsheet.llm.exact import exact_duplicates
-from broadsheet.llm.jaccard import jaccard_groups
+from broadsheet.llm.jaccard import jaccard_links
 from broadsheet.llm.lines import dedup_lines
 from broadsheet.llm.merges import encoded_digests
 from broadsheet.llm.mixing import mix
@@ -50,7 +50,7 @@ def op7_merge_dropout(spark, sf_dir):
 
 
 def op9_jaccard_join(spark, sf_dir):
-    return jaccard_groups(documents(spark, sf_dir))
+    return jaccard_links(documents(spark, sf_dir))
 
 
 def op4_mixing(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm.common import components
 from broadsheet.llm.embed import near_vectors, smallest_linked, tile_links
-from broadsheet.llm.jaccard import JaccardParams, jaccard_groups, keep_one, list_pairs
+from broadsheet.llm.jaccard import JaccardParams, jaccard_groups, jaccard_links, keep_one, list_pairs
 
 BLANKS = " \t\n\x0b\f\r"
 
@@ -95,6 +95,19 @@ def test_jaccard_groups(docs, seed, params):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == jaccard_plain(rows, params.words, params.percent)
 
 
+@pytest.mark.parametrize("seed,params", [
+    (1, JaccardParams()), (2, JaccardParams(words=5, percent=80, tile=7)), (3, JaccardParams(words=2, percent=50, hot=4, salts=2, shared=1))])
+def test_jaccard_links(docs, seed, params):
+    rows = copies(seed) + EDGE
+    sets = sets_plain(rows, params.words)
+    links = {a: sum(b is not None and b != a and bool(x and y) and 100 * len(x & y) >= params.percent * len(x | y) for b, y in sets)
+             for a, x in sets if a is not None}
+    got = jaccard_links(docs(*rows), params)
+    assert got.columns == ["doc_id", "n_shingles", "n_links", "component_id"]
+    want = sorted(((a, n, links.get(a, 0), c) for a, n, c in jaccard_plain(rows, params.words, params.percent)), key=repr)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want and max(links.values()) > 5
+
+
 def test_jaccard_repeated_ids_and_empty_tables(docs):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (2, "p q r s t u v")]
     got = jaccard_groups(docs(*rows)).collect()
