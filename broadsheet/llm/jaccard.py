@@ -121,12 +121,13 @@ def _postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], p: JaccardPar
         keys, often = shared.value
         for b in batches:
             tokens, ids, marks, ats = [], [], [], []
-            for doc_id, t in zip(b["doc_id"], b["text"]):
+            for doc_id, t, odd in zip(b["doc_id"], b["text"], b["odd"]):
                 h = shingles(t)
                 sig = signature(h)
                 if doc_id is None or not len(h) or sig in seen:
                     continue
-                seen.add(sig)
+                if not odd:
+                    seen.add(sig)
                 n = len(h)
                 count = np.zeros(n, np.int64)
                 if len(keys):
@@ -141,7 +142,7 @@ def _postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], p: JaccardPar
                 yield {"token": np.concatenate(tokens).view(np.int64), "doc_id": np.concatenate(ids),
                        "mark": np.concatenate(marks), "at": np.concatenate(ats)}
 
-    return map_bytes(plain(docs, "doc_id", "text"), run, POSTING)
+    return map_bytes(plain(docs, "doc_id", "text", "odd"), run, POSTING)
 
 
 def _shared_only(postings: DataFrame) -> DataFrame:
@@ -415,11 +416,14 @@ def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
     order = np.argsort(keys)
     hot = keys[order], (often["n"].to_numpy() if len(often) else np.zeros(0, np.int64))[order]
 
-    one = rows.where("doc_id is not null and n > 0").groupBy("doc_id").agg(F.min("sig").alias("sig"))
+    one = rows.where("doc_id is not null and n > 0").groupBy("doc_id").agg(F.min("sig").alias("sig"), (F.min("sig") != F.max("sig")).alias("odd"))
     reps = one.groupBy("sig").agg(F.min("doc_id").alias("node"))
-    of = stored(one.join(reps, "sig").select("doc_id", "node", "sig"), "jac-nodes")
+    of = stored(one.join(reps, "sig").select("doc_id", "node", "sig", "odd"), "jac-nodes")
 
-    shared = stored(_shared_only(_postings(slim, hot, p)), "jac-shared")
+    # ids with several sets lose the entries of all but one, so those do not make others' entries needless
+    odd = of.where("odd").select("doc_id", "odd")
+    marked = slim.withColumn("odd", F.lit(False)) if odd.isEmpty() else slim.join(odd, "doc_id", "left")
+    shared = stored(_shared_only(_postings(marked, hot, p)), "jac-shared")
     # of rows that repeat an id, the entries of the set that stands for it
     bits = F.conv(F.hex(F.substring("sig", 1, 4)), 16, 10).cast("bigint")
     mark = F.when(bits >= 1 << 31, bits - (1 << 32)).otherwise(bits).cast("int").alias("mark")

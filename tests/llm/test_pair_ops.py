@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm.common import components
 from broadsheet.llm.embed import near_vectors, smallest_linked, tile_links
-from broadsheet.llm.jaccard import JaccardParams, jaccard_groups, jaccard_links, keep_one, list_pairs
+from broadsheet.llm.jaccard import JaccardParams, Shingles, jaccard_groups, jaccard_links, keep_one, list_pairs, signature
 
 BLANKS = " \t\n\x0b\f\r"
 
@@ -116,6 +116,14 @@ def test_jaccard_repeated_ids_and_empty_tables(docs):
     assert jaccard_groups(docs((1, None), (None, "a"))).count() == 2
 
 
+def test_a_set_first_seen_under_an_id_that_stands_for_another_keeps_its_links(docs):
+    texts = [" ".join(f"{x}{i}" for i in range(60)) for x in "pq"]
+    kept, lost = sorted(texts, key=lambda t: signature(Shingles(4)(t.encode())))
+    rows = [(1, lost), (1, kept), (2, lost), (3, lost + " more"), (4, kept + " more")]
+    got = {(r["doc_id"], r["component_id"], r["n_links"]) for r in jaccard_links(docs(*rows).coalesce(1)).collect()}
+    assert got == {(1, 1, 1), (2, 2, 1), (3, 2, 1), (4, 1, 1)}
+
+
 def test_keep_one(docs):
     rows = copies(5, 80) + EDGE
     table = docs(*rows)
