@@ -25,7 +25,8 @@ HEADLINE = (
     "cross_label_anti", "dedup_keep_first", "js_divergence", "source_pagerank", "top_sources_per_label",
     "numeric_summary_lineitem", "numeric_summary_events", "categorical_summary_events", "histogram_events",
     "stratified_folds", "fold_f1", "per_class_metrics", "pr_curve", "score_separation", "word_ngrams", "char_wb_ngrams",
-    "tfidf", "source_onehot", "scale_no_mean", "assemble", "train_linearsvc", "train_ridge",
+    "tfidf", "source_onehot", "scale_no_mean", "assemble", "train_linearsvc", "train_logreg", "train_ridge",
+    "cross_validate",
 )
 
 
