@@ -12,6 +12,7 @@ from broadsheet.llm.exact import exact_duplicates
 from broadsheet.llm.jaccard import jaccard_links
 from broadsheet.llm.lines import dedup_lines
 from broadsheet.llm.merges import encoded_digests
+from broadsheet.llm.merkle import leaf, manifest
 from broadsheet.llm.mixing import mix
 from broadsheet.llm.records import token_records
 from broadsheet.llm.toxicity import toxicity
@@ -66,6 +67,15 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op13_merkle(spark, sf_dir):
+    # the tampered copies: line breaks deleted in the rows with an even checksum
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    without = leaf(text=F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    claimed = F.when(tampered & F.col("text").contains("\n"), without).otherwise(leaf())
+    return manifest(documents(spark, sf_dir), claimed).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def queries():
     return {
         "op1_brown": op1_brown,
@@ -78,6 +88,7 @@ def queries():
         "op8_line_dedup": op8_line_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_exact_dedup": op10_exact_dedup,
+        "op13_merkle": op13_merkle,
     }
 
 
@@ -130,5 +141,57 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 """
 
 
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+
+
+OP13 = f"""
+WITH RECURSIVE
+step(i, k, v) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM step WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS tab FROM step WHERE k = 8),
+docs AS (
+  SELECT d.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda x, y: xor(x >> 8, tab[1 + xor(x & 255, y)])), 4294967295) % 2 AS parity FROM documents d, tab),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id) AS r, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY k) AS n
+  FROM (SELECT doc_id, coalesce(':' || source, '-') AS k, {_leaf("text")} AS leaf,
+    CASE WHEN parity = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS claim FROM docs)),
+nodes(k, lvl, pos, n, h) AS (
+  SELECT k, 0, pos, n, leaf FROM ranked
+  UNION ALL SELECT k, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY k, lvl, pos // 3, n),
+subs AS (
+  SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(lvl, pos, n, h) AS (
+  SELECT 0, pos, n, h FROM subs
+  UNION ALL SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lvl, pos // 3, n),
+allnodes AS (
+  SELECT k, lvl, pos, n, h FROM nodes UNION ALL SELECT NULL, lvl, pos, n, h FROM tops),
+sides AS (
+  SELECT k, lvl, pos, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+    coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM allnodes WHERE n > 1 WINDOW w AS (PARTITION BY k, lvl, pos // 3 ORDER BY pos)),
+height AS (SELECT k, max(lvl) AS m FROM nodes GROUP BY k),
+way AS (
+  SELECT r.r, s.lvl, s.b, s.a FROM ranked r JOIN sides s ON r.k = s.k AND r.pos // CAST(pow(3, s.lvl) AS BIGINT) = s.pos
+  UNION ALL
+  SELECT r.r, height.m + s.lvl, s.b, s.a FROM ranked r JOIN subs USING (k) JOIN height USING (k)
+    JOIN sides s ON s.k IS NULL AND subs.pos // CAST(pow(3, s.lvl) AS BIGINT) = s.pos),
+proofs AS (SELECT r, sha256(string_agg(b || a, '' ORDER BY lvl)) AS p FROM way GROUP BY r),
+fold(r, lvl, h) AS (
+  SELECT r, 0, claim FROM ranked
+  UNION ALL SELECT f.r, f.lvl + 1, sha256(w.b || f.h || w.a) FROM fold f JOIN way w ON f.r = w.r AND f.lvl = w.lvl),
+folded AS (SELECT r, arg_max(h, lvl) AS folded_root FROM fold GROUP BY r)
+SELECT doc_id, leaf, subs.h AS subroot, top.h AS root, coalesce(p, sha256('')) AS proof_sha256, folded_root, folded_root = top.h AS verified
+FROM ranked JOIN subs USING (k) JOIN folded USING (r) LEFT JOIN proofs USING (r), (SELECT h FROM tops WHERE n = 1) top
+"""
+
+
 def oracle_sql():
-    return {"op4_mixing": OP4, "op8_line_dedup": OP8, "op10_exact_dedup": OP10}
+    return {"op4_mixing": OP4, "op8_line_dedup": OP8, "op10_exact_dedup": OP10, "op13_merkle": OP13}
