@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from broadsheet.llm import brown, langid
+from broadsheet.llm.codes import books_digest, vector_codes, with_label_error
 from broadsheet.llm.common import documents, held_out
 from broadsheet.llm.embed import near_vectors
 from broadsheet.llm.exact import exact_duplicates
@@ -67,6 +68,12 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op12_vector_codes(spark, sf_dir):
+    codes, books = vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return with_label_error(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(books_digest(books)).alias("codebooks_sha256"))
+
+
 def op13_merkle(spark, sf_dir):
     # the tampered copies: line breaks deleted in the rows with an even checksum
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
@@ -88,6 +95,7 @@ def queries():
         "op8_line_dedup": op8_line_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_exact_dedup": op10_exact_dedup,
+        "op12_vector_codes": op12_vector_codes,
         "op13_merkle": op13_merkle,
     }
 
@@ -193,5 +201,36 @@ FROM ranked JOIN subs USING (k) JOIN folded USING (r) LEFT JOIN proofs USING (r)
 """
 
 
+def _codes() -> str:
+    """Components as rows (r: row, p: part, j: place, x), and per round the entries (p, e, j, c) and the codes (r, p, e, d)."""
+    steps = ["""
+rows AS (
+  SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS r FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+comp AS (
+  SELECT r, (i - 1) // w AS p, (i - 1) % w AS j, CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT r, embedding, len(embedding) // 16 AS w, unnest(range(1, len(embedding) + 1)) AS i FROM rows)),
+book0 AS (SELECT p, r AS e, j, x AS c FROM comp WHERE r < 64)"""]
+    for k in range(3):
+        steps.append(f"""
+near{k} AS (SELECT r, p, e, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM comp JOIN book{k} USING (p, j) GROUP BY r, p, e),
+code{k} AS (SELECT r, p, e, d FROM near{k} QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1)""")
+        if k < 2:
+            steps.append(f"""
+mean{k} AS (SELECT p, e, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM comp JOIN code{k} USING (r, p) GROUP BY p, e, j),
+book{k + 1} AS (
+  SELECT p, e, j, CASE WHEN n IS NULL THEN c ELSE s // n - CASE WHEN s % n < 0 THEN 1 ELSE 0 END END AS c
+  FROM book{k} LEFT JOIN mean{k} USING (p, e, j))""")
+    return "WITH" + ",".join(steps)
+
+
+OP12 = _codes() + """,
+coded AS (SELECT r, string_agg(format('{:02x}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM code2 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) FROM book2) AS codebooks_sha256
+FROM rows JOIN coded USING (r)
+"""
+
+
 def oracle_sql():
-    return {"op4_mixing": OP4, "op8_line_dedup": OP8, "op10_exact_dedup": OP10, "op13_merkle": OP13}
+    return {"op4_mixing": OP4, "op8_line_dedup": OP8, "op10_exact_dedup": OP10, "op12_vector_codes": OP12, "op13_merkle": OP13}
