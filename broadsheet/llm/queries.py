@@ -15,6 +15,7 @@ from broadsheet.llm.lines import dedup_lines
 from broadsheet.llm.merges import encoded_digests
 from broadsheet.llm.merkle import leaf, manifest
 from broadsheet.llm.mixing import mix
+from broadsheet.llm.nearest import nearest
 from broadsheet.llm.records import token_records
 from broadsheet.llm.toxicity import toxicity
 
@@ -68,6 +69,10 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op11_nearest(spark, sf_dir):
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op12_vector_codes(spark, sf_dir):
     codes, books = vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return with_label_error(codes).select(
@@ -95,6 +100,7 @@ def queries():
         "op8_line_dedup": op8_line_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_nearest": op11_nearest,
         "op12_vector_codes": op12_vector_codes,
         "op13_merkle": op13_merkle,
     }
