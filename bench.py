@@ -1,4 +1,7 @@
-"""Times the headline queries on local cores and prints one JSON line.
+"""Times the headline queries on local cores and prints one JSON line on standard output, at the end.
+
+Each query's seconds go to standard error as soon as they are known, the costly training queries last, so that a run that
+is stopped has shown what it measured; a run that is asked to end (SIGTERM) still prints its line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS (default 8) the cores, BENCH_QUERIES a comma
 list of registered names to run instead of the default ones. A table that is one small file would keep one core busy, so
@@ -9,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import signal
 import sys
 import tempfile
 import time
@@ -51,6 +55,19 @@ def main() -> None:
     warm.select(canonical_text("t")).write.format("noop").mode("overwrite").save()
     tables = dealt(spark, sf_dir, int(cpus))
     seconds, failed = {}, {}
+
+    def report() -> None:
+        print(json.dumps({
+            "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
+            "failed": failed, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "cpus": int(cpus),
+        }), flush=True)
+
+    def stopped(*_) -> None:
+        failed.update({n: "stopped before its end" for n in chosen if n not in seconds and n not in failed})
+        report()
+        os._exit(1)
+
+    signal.signal(signal.SIGTERM, stopped)
     for name in chosen:
         started = time.perf_counter()
         try:
@@ -58,10 +75,8 @@ def main() -> None:
             seconds[name] = round(time.perf_counter() - started, 3)
         except Exception as e:  # noqa: BLE001
             failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
-    print(json.dumps({
-        "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
-        "failed": failed, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "cpus": int(cpus),
-    }))
+        print(f"{name} {seconds.get(name, failed.get(name))}", file=sys.stderr, flush=True)
+    report()
     spark.stop()
 
 

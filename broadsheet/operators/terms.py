@@ -231,9 +231,10 @@ class TermBlock:
         return cls(name, terms, weights, np.arange(len(terms)), counter)
 
     def count(self, docs: DataFrame, terms: Column) -> DataFrame:
-        """Add the sparse counts of the block's terms; a JVM lookup per row, no shuffle."""
+        """Add the sparse counts of the block's terms; a JVM lookup per row, no shuffle. A null text has no terms."""
         if self.counter is None:
             from pyspark.ml.functions import array_to_vector
 
             return docs.withColumn(f"{self.name}_tf", array_to_vector(F.array().cast("array<double>")))
-        return self.counter.transform(docs.withColumn(f"{self.name}_terms", terms)).drop(f"{self.name}_terms")
+        return self.counter.transform(docs.withColumn(
+            f"{self.name}_terms", F.coalesce(terms, F.array().cast("array<string>")))).drop(f"{self.name}_terms")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.operators import columns as C
 from broadsheet.operators import design as D
-from broadsheet.operators import evaluate, linear
+from broadsheet.operators import dual, evaluate, linear
 from broadsheet.params import CHARS, WORDS, JobParams, ModelParams, Ngrams, SourceParams, TextParams
 from broadsheet.plans import jobs
 from broadsheet.sources import articles as A
@@ -162,7 +162,46 @@ def test_a_small_sample_only_slows_training_down(spark, kind, monkeypatch):
     assert full.converged.all() and part.converged.all() and np.allclose(full.weights, part.weights, atol=1e-5)
 
 
-def test_unfinished_training_is_reported(spark):
+@pytest.mark.parametrize("kind", ["linearsvc", "logreg", "ridge"])
+def test_one_block_is_solved_with_a_proof_and_several_are_a_start(spark, kind, monkeypatch):
+    df, _, _, counts = _dense_case(spark, 3)
+    whole = linear.train(df, 6, [-1], counts, ModelParams(type=kind))
+    assert whole.passes == 2 and (whole.gaps < 1e-8).all() and whole.converged.all()
+    for blocks in (256, 0):
+        monkeypatch.setattr(dual, "BLOCK_ROWS", 31)
+        monkeypatch.setattr(dual, "BLOCKS", blocks)
+        parts = _train(df, 6, counts, type=kind)
+        assert parts.converged.all() and np.isinf(parts.gaps).all() and np.allclose(whole.weights, parts.weights, atol=1e-5)
+
+
+@pytest.mark.parametrize("n,d,held", [(40, 300, 0.02), (64, 50, 0.5), (1, 5, 1.0), (130, 7, 0.3)])
+def test_products_of_sparse_rows(n, d, held):
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, d)) * (rng.random((n, d)) < held)
+    row, idx = np.nonzero(x)
+    assert np.allclose(dual.gram(row, idx, x[row, idx], n), x @ x.T)
+
+
+@pytest.mark.parametrize("kind", ["linearsvc", "logreg", "ridge"])
+def test_a_block_s_answer_is_a_minimum_and_its_gap_is_right(kind):
+    rng = np.random.default_rng(3)
+    x, z = rng.normal(size=(60, 200)), np.column_stack([rng.normal(size=60) + 900, np.zeros(60), np.ones(60)])
+    t, c = np.where(x[:, 0] > 0, 1.0, -1.0), np.where(np.arange(60) % 7, 4.0, 0.0)
+    loss, penalised = linear.LOSSES[kind]
+    reg = np.array([1.0, 1.0, float(penalised)])
+    a, v, gap = dual.solve_rows(kind, loss, x @ x.T, z, reg, t, c)
+    assert gap < 1e-8 and (a[c == 0] == 0).all()
+
+    def value(w, v):
+        return loss(x @ w + z @ v, t, c)[0] + 0.5 * w @ w + 0.5 * reg @ (v * v)
+
+    w, best = x.T @ a, value(x.T @ a, v)
+    for e in (1e-5, 1e-3, 1e-1):
+        assert all(value(w + e * rng.normal(size=200), v + e * rng.normal(size=3) / 900) >= best * (1 - 1e-8) for _ in range(30))
+
+
+def test_unfinished_training_is_reported(spark, monkeypatch):
+    monkeypatch.setattr(dual, "BLOCKS", 0)  # no start: small tables would be solved by it
     df, _, _, counts = _dense_case(spark, 3)
     with pytest.warns(UserWarning, match="before its tolerance"):
         model = linear.train(df, 6, [-1], counts, ModelParams(max_iter=2))
