@@ -53,6 +53,12 @@ def scan_eval(spark, sf_dir):
     return articles.read_evaluation(spark, _csv(spark, news_eval(spark, sf_dir), "evaluation.csv"))
 
 
+def scan_dev_ranges(spark, sf_dir):
+    """One CSV file with line breaks in its texts, read by ranges of 64 kB."""
+    dev = news_dev(spark, sf_dir).coalesce(1)
+    return articles.read_development(spark, _csv(spark, dev, "whole.csv"), range_bytes=1 << 16)
+
+
 def standardize_columns(spark, sf_dir):
     dev = news_dev(spark, sf_dir)
     raw = dev.toDF(*[" Id " if c == "id" else f" {c}" for c in dev.columns])
@@ -165,6 +171,7 @@ def queries() -> dict[str, Query]:
         # sources and sinks
         "scan_dev": scan_dev,
         "scan_eval": scan_eval,
+        "scan_dev_ranges": scan_dev_ranges,
         "standardize_columns": standardize_columns,
         "na_tokens": na_tokens,
         "schema_check": schema_check,

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from broadsheet.sources.quoted import read_quoted
+
 # Column names, and the CSV texts that mean "no value".
 DEV_COLUMNS = ("id", "source", "title", "article", "page_rank", "timestamp", "label")
 EVAL_COLUMNS = ("id", "source", "title", "article", "page_rank", "timestamp")
@@ -55,7 +57,9 @@ def typed(df: DataFrame) -> DataFrame:
     return df.withColumns({c: value for c, value in kinds.items() if c in texts})
 
 
-def _read(spark: SparkSession, path: str, fmt: str, multi_line: bool) -> DataFrame:
+def _read(spark: SparkSession, path: str, fmt: str, multi_line: bool, range_bytes: int | None = None) -> DataFrame:
+    if fmt == "csv" and range_bytes:
+        return read_quoted(spark, path, range_bytes)
     if fmt == "csv":
         # every column is read as text: no inference pass over the data
         return spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8")
@@ -67,15 +71,17 @@ def _articles(df: DataFrame, required: tuple[str, ...], name: str) -> DataFrame:
 
 
 def read_development(
-    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True
+    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True, range_bytes: int | None = None
 ) -> DataFrame:
-    """Labelled articles. ``multi_line`` is needed if texts hold line breaks; such CSV files are not split, so large
-    tables should come as many files or as parquet."""
-    return _articles(_read(spark, path, fmt, multi_line), DEV_COLUMNS, "development table")
+    """Labelled articles. ``multi_line`` is needed if texts hold line breaks; Spark does not split such files. With
+    ``range_bytes``, ``quoted.read_quoted`` reads them by ranges of that size, many tasks to a file."""
+    return _articles(_read(spark, path, fmt, multi_line, range_bytes), DEV_COLUMNS, "development table")
 
 
-def read_evaluation(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
-    return _articles(_read(spark, path, fmt, multi_line), EVAL_COLUMNS, "evaluation table")
+def read_evaluation(
+    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True, range_bytes: int | None = None
+) -> DataFrame:
+    return _articles(_read(spark, path, fmt, multi_line, range_bytes), EVAL_COLUMNS, "evaluation table")
 
 
 def enforce_schema(df: DataFrame, expected: tuple[str, ...], name: str) -> DataFrame:

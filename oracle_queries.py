@@ -276,6 +276,7 @@ def per_field(select):
 
 ORACLES = {
     "scan_dev": dev(f"id, {na('source')}, {na('title')}, {na('article')}, CAST(page_rank AS DOUBLE) AS page_rank, {na('timestamp')}, label"),
+    "scan_dev_ranges": dev(f"id, {na('source')}, {na('title')}, {na('article')}, CAST(page_rank AS DOUBLE) AS page_rank, {na('timestamp')}, label"),
     "scan_eval": f"WITH {EVA} SELECT id, {na('source')}, {na('title')}, {na('article')}, CAST(page_rank AS DOUBLE) AS page_rank, {na('timestamp')} FROM eva",
     "standardize_columns": dev("*"),
     "na_tokens": dev(f"id, {na('source')}, {na('title')}, {na('article')}, {na('timestamp')}"),
