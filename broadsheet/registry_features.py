@@ -146,6 +146,23 @@ def model_save_load(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.count(F.when((F.col("prediction") != F.col("again")) | apart, 1)).alias("differing"))
 
 
+def pipeline_model(spark, sf_dir):
+    """Columns added by a pipeline of stages that was fitted, saved and loaded again."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from broadsheet.operators import stages as S
+
+    dev = news_dev(spark, sf_dir)
+    stages = [S.JoinText(out="joined"), S.MissingIndicator("article", "article_missing"), S.TextPatterns(), S.SourceBins(JobParams().source),
+              S.TfIdf(WORDS, "joined", "word")]
+    path = sinks.new_path(spark, "pipeline")
+    Pipeline(stages=stages).fit(dev).save(path)
+    out = PipelineModel.load(path).transform(dev)
+    squares = F.aggregate("word_val", F.lit(0.0), lambda a, v: a + v * v)
+    return out.select("id", "joined", "article_missing", *C.X.PATTERN_FEATURES, "source_bin",
+                      (F.abs(squares - 1.0) < 1e-9).alias("unit_length"))
+
+
 def _row_counts(spark, paths: dict[str, str]) -> DataFrame:
     out = None
     for name, path in paths.items():
@@ -195,6 +212,7 @@ def queries() -> dict[str, Query]:
         "plain_cv": plain_cv,
         "plain_train_predict": plain_train_predict,
         "model_save_load": model_save_load,
+        "pipeline_model": pipeline_model,
         "eda_report": eda_report,
         "oof_report": oof_report,
     }

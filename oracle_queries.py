@@ -531,6 +531,10 @@ SELECT * FROM e WHERE category IN (SELECT c FROM seen)""",
  {listed(f"{e} AS {n}" for n, e in _TIME_COLS.items())} FROM dev JOIN tm ON dev.id = tm.id),
  sd AS (SELECT {listed(f"CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END AS s_{c}" for c in _DENSE)} FROM fe)
 SELECT id, timestamp_missing, {listed(f"round({c} / s_{c}, 6) AS {c}" for c in _DENSE)} FROM fe, sd""",
+    "pipeline_model": f"""WITH {DEV}, {KEPT_SOURCES} SELECT id, {text('title')} || ' ' || {text('title')} || ' ' ||
+ CASE WHEN {gone('article')} THEN ' __MISSING_ARTICLE__ ' ELSE article END AS joined, CAST({gone('article')} AS DOUBLE) AS article_missing,
+ {listed(f"CAST({PATTERNS[m]} AS DOUBLE) AS {m}" for m in META)},
+ CASE WHEN {_SRC} IN (SELECT s FROM kept) THEN {_SRC} ELSE '__OTHER__' END AS source_bin, TRUE AS unit_length FROM dev""",
     "feature_cache": f"""WITH {DOCS}, f AS (SELECT id, {FOLD} AS fold FROM dev)
 SELECT fold, count(*) AS n, CAST(sum(length(t)) AS BIGINT) AS chars FROM f JOIN docs USING (id) GROUP BY 1""",
 })
