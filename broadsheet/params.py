@@ -79,6 +79,8 @@ class ModelParams:
 
 @dataclass(frozen=True)
 class JobParams:
+    """``cache``: a shared folder in which fitted features are kept and found again; None fits anew each time."""
+
     text: TextParams = field(default_factory=TextParams)
     source: SourceParams = field(default_factory=SourceParams)
     model: ModelParams = field(default_factory=ModelParams)
@@ -87,6 +89,7 @@ class JobParams:
     clean: bool = True
     drop_overlap: bool = False
     drop_same_label: bool = False
+    cache: str | None = None
 
 
 # The plain jobs: no cleaning, and the library defaults for everything that is not a main text or model parameter.

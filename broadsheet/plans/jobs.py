@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.operators import dedup, drift, evaluate, folds, profile
-from broadsheet.operators.design import DESIGN, Features, SourceBlock, assembler, counted, design, fit_features, prepare
+from broadsheet.operators.design import DESIGN, Features, assembler, counted, design, fit_features, prepare
 from broadsheet.operators.linear import LinearModel, train
-from broadsheet.operators.terms import TermBlock
-from broadsheet.params import JobParams, TextParams
+from broadsheet.params import JobParams
+from broadsheet.plans import cache
 from broadsheet.sources import sinks
 from broadsheet.sources.articles import score_rows
 
@@ -57,51 +57,29 @@ class FittedModel:
         return self.linear.score(design(rows, self.features)).select("id", "prediction", "scores")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        f = self.features
-        terms = [
-            (b.name, i, t, [float(w) for w in b.weights[:, i]]) for b in f.blocks for i, t in enumerate(b.terms)
-        ]
-        spark.createDataFrame(terms, "block string, idx int, term string, weights array<double>").write.mode(
-            "overwrite").parquet(f"{path}/terms")
-        kept = [(s, [bool(v) for v in f.sources.kept[:, i]]) for i, s in enumerate(f.sources.values)]
-        spark.createDataFrame(kept, "source string, kept array<boolean>").write.mode("overwrite").parquet(f"{path}/sources")
+        cache.save_features(spark, self.features, path)
         rows = [
             (m, q, [float(v) for v in self.linear.weights[i, q]])
             for i, m in enumerate(self.linear.models) for q in range(self.linear.weights.shape[1])
         ]
         spark.createDataFrame(rows, "model int, problem int, weights array<double>").write.mode("overwrite").parquet(
             f"{path}/coefficients")
-        sinks.write_summary(spark, {
-            "text": asdict(f.params), "models": f.models, "n_docs": [f.n_docs[m] for m in f.models], "fills": f.fills,
-            "scales": f.scales, "has_other": [bool(v) for v in f.sources.has_other], "blocks": [b.name for b in f.blocks],
-            "kind": self.linear.kind, "classes": self.linear.classes,
-        }, f"{path}/state")
+        sinks.write_summary(spark, {"kind": self.linear.kind, "classes": self.linear.classes}, f"{path}/classifier")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FittedModel":
-        state = {k: v if k == "kind" else json.loads(v) for k, v in spark.read.json(f"{path}/state").first().asDict().items()}
-        params = TextParams.from_dict(state["text"])
-        found = spark.read.parquet(f"{path}/terms").orderBy("block", "idx").collect()
-        blocks = []
-        for name in state["blocks"]:
-            mine = [r for r in found if r["block"] == name]
-            weights = np.array([r["weights"] for r in mine]).T if mine else np.zeros((len(state["models"]), 0))
-            blocks.append(TermBlock.of_terms(spark, name, [r["term"] for r in mine], weights))
-        kept = spark.read.parquet(f"{path}/sources").orderBy("source").collect()
-        masks = np.array([r["kept"] for r in kept], dtype=bool).T if kept else np.zeros((len(state["models"]), 0), dtype=bool)
-        sources = SourceBlock.of_values(spark, [r["source"] for r in kept], masks, np.array(state["has_other"], dtype=bool))
-        features = Features(
-            params, state["models"], dict(zip(state["models"], state["n_docs"])), blocks, sources, state["fills"], state["scales"])
+        features = cache.load_features(spark, path)
+        classifier = spark.read.json(f"{path}/classifier").first()
         rows = spark.read.parquet(f"{path}/coefficients").orderBy("model", "problem").collect()
-        order = {m: i for i, m in enumerate(state["models"])}
+        order = {m: i for i, m in enumerate(features.models)}
         weights = np.zeros((len(order), 1 + max(r["problem"] for r in rows), features.size + 1))
         for r in rows:
             weights[order[r["model"]], r["problem"]] = r["weights"]
-        return cls(features, LinearModel(state["kind"], state["classes"], state["models"], weights))
+        return cls(features, LinearModel(classifier["kind"], json.loads(classifier["classes"]), features.models, weights))
 
 
 def _fit(rows: DataFrame, p: JobParams, models: list[int]) -> tuple[Features, LinearModel, DataFrame]:
-    f = fit_features(rows, p, models)
+    f = cache.fitted(rows, p, models) if p.cache else fit_features(rows, p, models)
     x = counted(rows, f).persist(StorageLevel.MEMORY_AND_DISK)
     return f, train(x, f.size, models, _label_counts(rows, models), p.model, assembler(f), f.dense), x
 

@@ -190,6 +190,22 @@ def feature_cache(spark, sf_dir):
     return rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
+def fitted_cache(spark, sf_dir):
+    """Per model the documents of features fitted twice with a cache, and whether the second came from it, unchanged."""
+    from broadsheet.plans import cache
+
+    p = JobParams(text=TextParams(chars=None), cache=sinks.new_path(spark, "features"))
+    rows = sinks.stored(D.prepare(news_dev(spark, sf_dir), p.text), "prepared")
+    first = cache.fitted(rows, p, [-1])
+    entry = f"{p.cache}/features-{cache.entry_name(rows.repartition(3), p, [-1])}"
+    again = cache.find(spark, entry)
+    same = again is not None and again.names() == first.names() and all(
+        (a.weights == b.weights).all() for a, b in zip(first.blocks, again.blocks))
+    none = cache.find(spark, f"{p.cache}/features-{cache.entry_name(rows.limit(1), p, [-1])}")
+    out = [(first.n_docs[-1], len(first.blocks[0].terms), same, none is None)]
+    return spark.createDataFrame(out, "n_docs bigint, n_terms bigint, found boolean, other_not_found boolean")
+
+
 def queries() -> dict[str, Query]:
     return {
         "timestamp_features": lambda s, p: _rounded(C.timestamp_features(news_dev(s, p), include_missing=True)),
@@ -203,6 +219,7 @@ def queries() -> dict[str, Query]:
         "scale_no_mean": lambda s, p: _rounded(C.scaled_columns(news_dev(s, p))),
         "assemble": assemble,
         "feature_cache": feature_cache,
+        "fitted_cache": fitted_cache,
         "train_linearsvc": _trained("linearsvc"),
         "train_logreg": _trained("logreg"),
         "train_ridge": _trained("ridge"),

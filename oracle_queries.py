@@ -531,6 +531,8 @@ SELECT * FROM e WHERE category IN (SELECT c FROM seen)""",
  {listed(f"{e} AS {n}" for n, e in _TIME_COLS.items())} FROM dev JOIN tm ON dev.id = tm.id),
  sd AS (SELECT {listed(f"CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END AS s_{c}" for c in _DENSE)} FROM fe)
 SELECT id, timestamp_missing, {listed(f"round({c} / s_{c}, 6) AS {c}" for c in _DENSE)} FROM fe, sd""",
+    "fitted_cache": f"""WITH {WORD_GRAMS}, {TERMS}, v AS (SELECT term FROM st WHERE df >= 5 AND df <= 0.95::DOUBLE * (SELECT count(*) FROM dev)
+ ORDER BY tf DESC, term LIMIT 100000) SELECT (SELECT count(*) FROM dev) AS n_docs, count(*) AS n_terms, TRUE AS found, TRUE AS other_not_found FROM v""",
     "pipeline_model": f"""WITH {DEV}, {KEPT_SOURCES} SELECT id, {text('title')} || ' ' || {text('title')} || ' ' ||
  CASE WHEN {gone('article')} THEN ' __MISSING_ARTICLE__ ' ELSE article END AS joined, CAST({gone('article')} AS DOUBLE) AS article_missing,
  {listed(f"CAST({PATTERNS[m]} AS DOUBLE) AS {m}" for m in META)},
