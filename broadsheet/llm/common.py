@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.sources.sinks import new_path, stored
 
-__all__ = ["BLANKS", "components", "documents", "held_out", "map_bytes", "new_path", "plain", "stored", "text_of", "word_count"]
+__all__ = ["BLANKS", "components", "documents", "held_out", "map_bytes", "new_path", "packed", "plain", "stored", "text_of", "unpacked", "word_count"]
 
 # The white space of all contracts: space and the control characters 9 to 13.
 BLANKS = " \t\n\x0b\f\r"
@@ -31,6 +31,18 @@ def plain(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def packed(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and all others inside the struct ``_rest``, where their names cannot clash with an operator's own."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*[F.col(f"`{n}`") for n in names], F.struct(*(others or [F.lit(0).alias("none")])).alias("_rest"))
+
+
+def unpacked(columns: list[str], names: tuple[str, ...], **new: Column) -> list[Column]:
+    """The columns of a table that ``packed`` was given the ``names`` of, in their order, with ``new`` values for some."""
+    return [
+        new[c].alias(c) if c in new else F.col(f"`{c}`") if c in names else F.col("_rest").getField(c).alias(c) for c in columns]
+
+
 def held_out(modulus: int, remainder: int = 2, column: str = "doc_id") -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; a null id is never held out."""
     crc = F.crc32(F.col(column).cast("string").cast("binary"))

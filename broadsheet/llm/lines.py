@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import map_bytes, plain, stored, text_of
+from broadsheet.llm.common import map_bytes, packed, plain, stored, text_of, unpacked
 
 BLANK_BYTES = b" \t\n\x0b\f\r"
 HOT = 4096
@@ -203,7 +203,7 @@ class LineIndex:
         drops = of_hot.unionByName(of_cold).where(~F.col("doc_id").eqNullSafe(F.col("keep")))
         drops = drops.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("drops"))
         drops = drops.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("drops").alias("_drops"))
-        rows = docs.withColumn("_v", F.xxhash64("text"))
+        rows = packed(docs, "doc_id", "text").withColumn("_v", F.xxhash64("text"))
         joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_v") == F.col("_version")), "left")
         return _without_lines(joined.drop("_v", "_id", "_version"), docs.columns)
 
@@ -262,14 +262,16 @@ def _probe_filters(batches):
 
 
 def _without_lines(joined: DataFrame, columns: list[str]) -> DataFrame:
-    """Rebuild the texts that lose lines; the others pass unchanged in the JVM. Linear in the number of lines."""
+    """Rebuild the texts that lose lines; the others pass unchanged in the JVM. Linear in the number of lines. The three
+    columns that are added replace those of the same name."""
     lines = F.split(text_of(), "\n", -1)
     # positions that stay, by a set difference, then the lines at them
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_drops")
     kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
     out = joined.withColumn("kept_text", F.when(F.col("_drops").isNull(), text_of()).otherwise(kept))
     dropped = F.when(F.col("_drops").isNull(), F.lit(0)).otherwise(F.size("_drops"))
-    return out.select(*columns, "kept_text", F.size(lines).cast("bigint").alias("n_lines"), dropped.cast("bigint").alias("n_dropped"))
+    columns = [c for c in columns if c not in ("kept_text", "n_lines", "n_dropped")]
+    return out.select(*unpacked(columns, ("doc_id", "text")), "kept_text", F.size(lines).cast("bigint").alias("n_lines"), dropped.cast("bigint").alias("n_dropped"))
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 5, min_points: int = 40, shards: int = 64) -> DataFrame:
@@ -277,7 +279,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 5, min_points: int = 40, shards
     an empty index, then cleaned against it.
 
     Null or empty text: one empty line. Null id: one more document, smaller than all others. Rows that repeat an id
-    count as one document. Lines shorter than ``min_points`` code points always stay. Empty table: no rows.
+    count as one document; with different texts, a line that stays in one of them stays in all. Lines shorter than
+    ``min_points`` code points always stay. Of several documents with a line, the largest id keeps it, wherever and as often
+    as it stands there. Texts of any length are split in the task that reads them. Columns that are named like the three
+    added ones are replaced, all others stay. Empty table: no rows.
     """
     spark = docs.sparkSession
     lines = stored(_line_rows(docs, min_points), "lines-rows")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from broadsheet.llm.common import BLANK_CLASS, BLANKS, plain, stored, text_of, word_count
+from broadsheet.llm.common import BLANKS, BLANK_CLASS, packed, plain, stored, text_of, unpacked, word_count
 
 SALTS = 64
 BUCKETS = 4096
@@ -104,7 +104,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     taken = mix(docs, **options).where("taken > 0").select("doc_id", "size", "whole", "part", "source").dropDuplicates(["doc_id", "size", "source"])
     taken = taken.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"), "whole", "part")
-    rows = docs.withColumn("_words", word_count(text_of()))
+    rows = packed(docs, "doc_id", "source", "text").withColumn("_words", word_count(text_of()))
     joined = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size")))
     copies = F.flatten(F.array(
         F.array_repeat(F.lit(-1).cast("bigint"), F.col("whole") + F.when(F.col("part") == F.col("_words"), 1).otherwise(0)),
@@ -112,7 +112,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     out = joined.withColumn("_take", F.explode(copies))
     # a fractional repetition: the first words, parted by single spaces
     words = F.slice(F.split(F.btrim("text", F.lit(BLANKS)), BLANK_CLASS + "+"), F.lit(1), F.greatest(F.col("_take"), F.lit(0)).cast("int"))
-    out = out.withColumn("text", F.when(F.col("_take") >= 0, F.array_join(words, " ")).otherwise(F.col("text")))
+    text = F.when(F.col("_take") >= 0, F.array_join(words, " ")).otherwise(F.col("text"))
+    new = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return out.select(*unpacked(docs.columns, ("doc_id", "source", "text"), **new))

@@ -96,7 +96,7 @@ class WordEncoder:
 
     The tokenizer's pattern never joins a word to what stands before the single space in front of it, so a text's ids
     are those of its words, each with its space. Every distinct word of a few megabytes of text is encoded once and
-    frequent ones stay known; a text with runs of white space is encoded as a whole. ``limit`` bounds the words kept.
+    frequent ones stay known; a text with runs of white space or added tokens is encoded as a whole. ``limit`` bounds the words kept.
     """
 
     def __init__(self, path: str, limit: int = 800_000):
@@ -106,7 +106,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # texts with the string of an added token go whole, since it may stand anywhere in a word
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.whole = re.compile(b"|".join([TROUBLE.pattern, *map(re.escape, added)]))
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65_536 else 4
         # bytes of each token; a byte-level vocabulary spells each byte with one character
         self.sizes = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, np.int64)
@@ -139,7 +141,7 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = []
         for t in texts:
-            if t.endswith(b" ") or TROUBLE.search(t):
+            if t.endswith(b" ") or self.whole.search(t):
                 split.append(None)
                 continue
             words = t.split(b" ")

@@ -21,7 +21,7 @@ from tests.llm.test_text_ops import lines_plain
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = [
     "", " ", "a", "  a  b ", "\n\n x\n", "tab\tx  y\n\nz  \n", "日本語 テキスト 😀", "x" * 300, "ab " * 3 + "\n", "a\n  b", "x \n y", "q 　w",
-    "end  ", "it's we'll 12 345", "a\x1c b \x85c", "<|endoftext|> x", "The quick brown fox.\nJumps over  the lazy dog", "\x00 zero", "é́ ﬁ",
+    "a <|endoftext|> b", "in<|endoftext|>side word", "end  ", "it's we'll 12 345", "a\x1c b \x85c", "<|endoftext|> x", "The quick brown fox.\nJumps over  the lazy dog", "\x00 zero", "é́ ﬁ",
 ]
 
 
@@ -37,7 +37,6 @@ def test_words_and_whole_texts_give_the_same_ids():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(BYTES)
-    t.encode_special_tokens = True
     texts = [x or "" for _, x in rows()]
     got = records.WordEncoder(BYTES, limit=10).encode([x.encode() for x in texts])
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
@@ -47,7 +46,6 @@ def test_records_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(BYTES)
-    t.encode_special_tokens = True
     folder = new_path(spark, "records")
     got = records.token_records(docs(*rows()), BYTES, folder).orderBy("start").collect()
     order = sorted(rows(), key=lambda r: (r[0] is not None, r[0] or 0))
