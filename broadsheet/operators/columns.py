@@ -30,10 +30,30 @@ def source_threshold(p: SourceParams, n: int) -> int:
     return max(1, share, p.min_count or 1)
 
 
+def kept_sources(rows: DataFrame, p: SourceParams, models: list[int], n_docs: dict[int, int]) -> tuple[DataFrame, list[bool]]:
+    """(value, k0, k1, ...): the sources that are frequent enough outside fold m for any model m, with a flag per model, and
+    whether each model sees others. ``rows`` has ``source_value`` and ``fold``; of more than ``p.limit``, the most frequent
+    (ties by value) are kept for all models, and the rest counts as rare; without a limit all are."""
+    limits = {m: source_threshold(p, n_docs[m]) for m in models}
+    n = {m: F.sum(F.when(F.col("fold") != m, 1).otherwise(0)) if m >= 0 else F.count(F.lit(1)) for m in models}
+    counts = rows.groupBy(F.col("source_value").alias("value")).agg(*[n[m].alias(f"n{i}") for i, m in enumerate(models)])
+    enough = [(F.col(f"n{i}") >= limits[m]).alias(f"k{i}") for i, m in enumerate(models)]
+    counts = counts.select("*", *enough)
+    any_enough = F.greatest(*[F.col(f"k{i}") for i in range(len(models))], F.lit(False))
+    rare = [F.coalesce(F.max((F.col(f"n{i}") > 0) & ~F.col(f"k{i}")), F.lit(False)) for i in range(len(models))]
+    *others, found = counts.agg(*rare, F.count(F.when(any_enough, 1))).first()
+    flags = ["value", *[f"k{i}" for i in range(len(models))]]
+    kept = counts.where(any_enough)
+    if p.limit is not None and found > p.limit:
+        largest = F.greatest(*[F.col(f"n{i}") for i in range(len(models))], F.lit(0))
+        kept, others = kept.orderBy(F.desc(largest), "value").limit(p.limit), [True] * len(models)
+    return kept.select(*flags), others
+
+
 def fit_sources(df: DataFrame, p: SourceParams) -> DataFrame:
-    """The sources (as ``value``) frequent enough to be kept."""
-    counts = df.groupBy(source_value().alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") >= source_threshold(p, df.count())).select("value")
+    """The sources (as ``value``) frequent enough to be kept, as ``kept_sources`` finds them for a model of all rows."""
+    rows = df.select(source_value().alias("source_value"), F.lit(-1).alias("fold"))
+    return kept_sources(rows, p, [-1], {-1: df.count()})[0].select("value")
 
 
 def bin_sources(df: DataFrame, kept: DataFrame, out: str = "source_bin") -> DataFrame:

@@ -55,26 +55,12 @@ class SourceBlock:
 
     @classmethod
     def fit(cls, rows: DataFrame, p: SourceParams, models: list[int], n_docs: dict[int, int]) -> "SourceBlock":
-        limits = {m: C.source_threshold(p, n_docs[m]) for m in models}
-        n = {m: F.sum(F.when(F.col("fold") != m, 1).otherwise(0)) if m >= 0 else F.count(F.lit(1)) for m in models}
-        counts = rows.groupBy("source_value").agg(*[n[m].alias(f"n{i}") for i, m in enumerate(models)])
-        enough = [F.col(f"n{i}") >= limits[m] for i, m in enumerate(models)]
-        rare = [F.max(((F.col(f"n{i}") > 0) & ~enough[i]).cast("int")) for i in range(len(models))]
-        counts = counts.persist()
-        has_other = np.array([bool(v) for v in counts.agg(*rare).first()])
-        any_enough = enough[0]
-        for e in enough[1:]:
-            any_enough = any_enough | e
-        # a documented bound, like that of the vocabulary; a source beyond it is a rare one for every model
-        largest = F.greatest(*[F.col(f"n{i}") for i in range(len(models))], F.lit(0))
-        top = counts.where(any_enough).orderBy(F.desc(largest), "source_value").limit(p.limit)
-        found = top.select("source_value", *[e.alias(f"k{i}") for i, e in enumerate(enough)]).collect()
-        cut = len(found) == p.limit
-        has_other |= cut
-        counts.unpersist()
-        found.sort(key=lambda r: r[0])
-        values = [r[0] for r in found]
-        kept = np.array([[bool(r[i + 1]) for r in found] for i in range(len(models))], dtype=bool).reshape(len(models), len(values))
+        # a weight for each is on the driver anyway, so their list is bounded like the vocabulary
+        table, others = C.kept_sources(rows, p, models, n_docs)
+        found = sorted(table.collect(), key=lambda r: r["value"])
+        values = [r["value"] for r in found]
+        kept = np.array([[r[f"k{i}"] for r in found] for i in range(len(models))], dtype=bool).reshape(len(models), len(values))
+        has_other = np.array(others, dtype=bool)
         return cls.of_values(rows.sparkSession, values, kept, has_other)
 
     @classmethod

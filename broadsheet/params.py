@@ -59,11 +59,11 @@ class TextParams:
 @dataclass(frozen=True)
 class SourceParams:
     """Sources with at least ``min_count`` rows and ``min_frac`` of them are features; ``limit`` bounds how many, the most
-    frequent first. A model has a weight for each, so their list is on the driver like the vocabulary."""
+    frequent first (None: all). A model has a weight for each, so their list is on the driver like the vocabulary."""
 
     min_count: int | None = 3
     min_frac: float | None = None
-    limit: int = 100_000
+    limit: int | None = 100_000
 
 
 @dataclass(frozen=True)

@@ -398,6 +398,11 @@ def test_sources_beyond_the_limit_are_rare_ones(articles):
     rows = D.prepare(articles(*[{"source": s} for s in "aaabbbcc"]), SMALL)
     kept = D.SourceBlock.fit(rows, SourceParams(min_count=2, limit=2), [-1], {-1: 8})
     assert kept.values == ["a", "b"] and kept.has_other.tolist() == [True]
+    for limit in (3, None):  # exactly as many as there are, and no limit
+        all_kept = D.SourceBlock.fit(rows, SourceParams(min_count=2, limit=limit), [-1], {-1: 8})
+        assert all_kept.values == ["a", "b", "c"] and all_kept.has_other.tolist() == [False]
+    table = articles(*[{"source": s} for s in "aaabbbcc"])
+    assert {r["value"] for r in C.fit_sources(table, SourceParams(min_count=2, limit=2)).collect()} == {"a", "b"}
 
 
 def test_reports_and_profiles_are_written(spark, articles, tmp_path):
