@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
 from collections import Counter
@@ -60,6 +61,12 @@ class MergeModel:
                     pairs.append((a << 32 | b, rank, i))
         pairs.sort()
         self.pairs, self.ranks, self.merged = (np.array(x, np.int64) for x in zip(*pairs))
+        # pairs by hash, so that most are found at once; those whose slot another took are searched
+        self.shift = np.uint64(64 - (16 * len(pairs)).bit_length())
+        self.slots = np.full(1 << (64 - int(self.shift)), -1, np.int32)
+        at, slot = np.arange(len(pairs)), self._slot(self.pairs)
+        self.slots[slot] = at
+        self.lost = at[self.slots[slot] != at]
         self.by_pair = {p: (r, m) for p, r, m in pairs}
         self.plain = [b""] * n
         for piece, i in self.ids.items():
@@ -67,6 +74,20 @@ class MergeModel:
         for value, i in self.bytes.items():
             self.plain[i] = bytes([value])
 
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return pairs.view(np.uint64) * np.uint64(SPAN[0]) >> self.shift
+
+    def find(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pairs of symbols in ``pairs`` of the model, and whether they are there."""
+        at = self.slots[self._slot(pairs)]
+        hit = self.pairs[at] == pairs
+        if len(self.lost):
+            again = np.flatnonzero(~hit & (at >= 0))
+            lost = self.lost[np.minimum(np.searchsorted(self.pairs[self.lost], pairs[again]), len(self.lost) - 1)]
+            found = self.pairs[lost] == pairs[again]
+            at[again[found]], hit[again[found]] = lost[found], True
+        return at, hit
+
     def decode(self, ids) -> bytes:
         """The text's bytes; the space that encoding puts in front goes."""
         return b"".join([self.plain[i] for i in ids])[1:]
@@ -81,13 +102,21 @@ def _mix(x):
     return x ^ x >> 29
 
 
-def skipped(key, start, mid, stop, dropout: float):
-    """Whether the merge of [start, mid) and [mid, stop) is left out: a keyed hash of the span against ``dropout``."""
-    if isinstance(key, np.ndarray):
+def span_hash(start, mid, stop):
+    """Hash of the merge of [start, mid) and [mid, stop), from arrays or ints."""
+    if isinstance(start, np.ndarray):
         a, b, c = (v.astype(np.uint64) * np.uint64(m) for v, m in zip((start, mid, stop), SPAN))
-        return (_mix(key ^ _mix(a + b + c)) >> np.uint64(11)).astype(np.float64) < dropout * (1 << 53)
+        return _mix(a + b + c)
     a, b, c = (v * m & M64 for v, m in zip((start, mid, stop), SPAN))
-    return (_mix(key ^ _mix(a + b + c & M64)) >> 11) < dropout * (1 << 53)
+    return _mix(a + b + c & M64)
+
+
+def skipped(key, span, dropout: float):
+    """Whether the merge of a ``span_hash`` is left out: its hash under a key against ``dropout``."""
+    limit = math.ceil(dropout * (1 << 53))
+    if isinstance(key, np.ndarray):
+        return _mix(key ^ span) >> np.uint64(11) < np.uint64(limit)
+    return _mix(key ^ span) >> 11 < limit
 
 
 def agenda(model: MergeModel, symbols: list[int], key: int, dropout: float) -> list[tuple[int, int, int]]:
@@ -102,7 +131,7 @@ def agenda(model: MergeModel, symbols: list[int], key: int, dropout: float) -> l
         if j < 0 or sym[i] < 0 or sym[j] < 0:
             return
         found = model.by_pair.get(sym[i] << 32 | sym[j])
-        if found and not (dropout and skipped(key, i, j, stop[j], dropout)):
+        if found and not (dropout and skipped(key, span_hash(i, j, stop[j]), dropout)):
             heapq.heappush(heap, (found[0], i, j, stop[j], found[1]))
 
     for i in range(n):
@@ -139,11 +168,10 @@ def merge_many(model: MergeModel, sym: np.ndarray, lengths: np.ndarray, keys: np
         rank[at] = NONE
         at = at[(own[at] == own[at + 1]) & (sym[at] >= 0) & (sym[at + 1] >= 0)]
         pair = sym[at] << 32 | sym[at + 1]
-        slot = np.minimum(np.searchsorted(model.pairs, pair), len(model.pairs) - 1)
-        hit = model.pairs[slot] == pair
+        slot, hit = model.find(pair)
         at, slot = at[hit], slot[hit]
         if dropout:
-            keep = ~skipped(keys[own[at]], start[at], start[at + 1], stop[at + 1], dropout)
+            keep = ~skipped(keys[own[at]], span_hash(start[at], start[at + 1], stop[at + 1]), dropout)
             at, slot = at[keep], slot[keep]
         rank[at], made[at] = model.ranks[slot], model.merged[slot]
 
@@ -178,36 +206,33 @@ def merge_many(model: MergeModel, sym: np.ndarray, lengths: np.ndarray, keys: np
     return [p[order] for p in parts]
 
 
+def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs of ``sizes`` entries that begin at ``first``, one run after the other."""
+    return np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 class DropoutEncoder:
-    """Encodes texts. Without ``streams`` every candidate merge has a draw of its own: its hash is keyed by seed, document,
-    repetition of the document, word position and span. What words give without dropout is kept with the merges that
-    lead there; where a draw skips none of these it is the result, all other occurrences are merged anew.
+    """Encodes texts. Every candidate merge has a draw of its own: its hash is keyed by seed, document, repetition of the
+    document, word position and span. What words give without dropout is kept with the merges that lead there; where a
+    draw skips none of these it is the result, all other occurrences are merged anew from the words' symbols.
 
-    With ``streams`` a text belongs to one of them, chosen by a keyed hash of its id; the hash of a candidate merge is
-    keyed by seed, stream and word, so within a stream a word is segmented once. ``limit`` bounds the words kept;
-    ``longest`` is the length from which a word is merged on its own with a heap."""
+    ``limit`` bounds the words kept; ``longest`` is the length from which a word is merged on its own with a heap."""
 
     WORDS = re.compile(rb"\n[^ \n]*| *[^ \n]+| +")
     LONG_LINES = re.compile(rb" *[^ ]+| +")
 
-    def __init__(self, model: MergeModel, dropout: float, seed: int, streams: int | None, limit: int = 400_000, longest: int = 48):
-        self.model, self.dropout, self.seed, self.streams = model, dropout, seed, streams
+    def __init__(self, model: MergeModel, dropout: float, seed: int, limit: int = 400_000, longest: int = 48):
+        self.model, self.dropout, self.seed = model, dropout, seed
         self.limit, self.longest = limit, longest
-        self.known: list[dict[bytes, bytes]] = [{} for _ in range(streams or 0)]
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[bytes, int] = {}
         self.whole: list[bytes] = []
-        self.first = np.zeros(1, np.int64)  # where each word's merges begin
-        self.spans = np.zeros((3, 0), np.int64)
+        self.symbols, self.first_symbol = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.spans, self.first_span = np.zeros(0, np.uint64), np.zeros(1, np.int64)  # hashes of each word's merges
         self.long = np.zeros(0, bool)
 
-    def stream(self, doc_id: int | None) -> int:
-        import xxhash
-
-        return xxhash.xxh3_64_intdigest(str(doc_id).encode(), seed=self.seed) % self.streams
-
     def words(self, text: bytes) -> list[bytes]:
         """Parts that no merge crosses: a word with the spaces before it, less one; a new line with what follows it."""
         if not text:
@@ -217,28 +242,29 @@ class DropoutEncoder:
         found = (self.WORDS if self.model.by_line else self.LONG_LINES).findall(b" " + text)
         return [w[1:] if w[:1] == b" " else w for w in found]
 
-    def _texts(self, words: list[bytes]) -> list[str]:
-        by_line = self.model.by_line
-        return [w.decode("utf-8", "replace") if w[:1] == b"\n" and by_line else " " + w.decode("utf-8", "replace") for w in words]
+    def _text(self, word: bytes) -> str:
+        text = word.decode("utf-8", "replace")
+        return text if word[:1] == b"\n" and self.model.by_line else " " + text
 
-    def segment(self, words: list[bytes], stream: int, at_once: int = 4000) -> list[bytes]:
-        """Packed ids of each word."""
-        import xxhash
+    def symbols_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' symbols one after the other, and how many each has."""
+        texts = list(map(self._text, words))
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        return self.model.table[np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")], lengths
 
-        seed, out = self.seed * 65_537 + stream, []
-        texts = self._texts(words)
-        keys = np.array([xxhash.xxh3_64_intdigest(w, seed=seed) for w in words], np.uint64)
-        for k in range(0, len(texts), at_once):
-            out += self._merged(texts[k:k + at_once], keys[k:k + at_once])
+    def segment(self, words: list[bytes], keys: np.ndarray, at_once: int = 4000) -> list[bytes]:
+        """Packed ids of word occurrences, each with its own key, all merged anew."""
+        out = []
+        for k in range(0, len(words), at_once):
+            part = words[k:k + at_once]
+            out += self._merged(part, *self.symbols_of(part), keys[k:k + at_once], self.dropout)
         return out
 
-    def _merged(self, texts: list[str], keys: np.ndarray, dropout: float | None = None, made_by: list | None = None) -> list[bytes]:
-        model, out = self.model, [b""] * len(texts)
-        dropout = self.dropout if dropout is None else dropout
-        lengths = np.array([len(t) for t in texts])
-        symbols = model.table[np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")]
+    def _merged(self, words, symbols, lengths, keys, dropout: float, made_by: list | None = None) -> list[bytes]:
+        model, out = self.model, [b""] * len(words)
         short = lengths <= self.longest
-        own, sym, start, stop = merge_many(model, symbols[np.repeat(short, lengths)], lengths[short], keys[short], dropout, made_by)
+        few = symbols if short.all() else symbols[np.repeat(short, lengths)]
+        own, sym, start, stop = merge_many(model, few, lengths[short], keys[short], dropout, made_by)
         packed = sym.astype(f"<u{model.width}").tobytes()
         edges = (np.searchsorted(own, np.arange(short.sum() + 1)) * model.width).tolist()
         odd = set(own[(sym < 0) | (sym >= model.size)].tolist())
@@ -247,11 +273,11 @@ class DropoutEncoder:
                 out[i] = packed[edges[n]:edges[n + 1]]
             else:
                 part = slice(edges[n] // model.width, edges[n + 1] // model.width)
-                out[i] = self._packed(texts[i], zip(sym[part].tolist(), start[part].tolist(), stop[part].tolist()))
+                out[i] = self._packed(self._text(words[i]), zip(sym[part].tolist(), start[part].tolist(), stop[part].tolist()))
         ends = np.cumsum(lengths)
         for i in np.flatnonzero(~short).tolist():
             part = symbols[ends[i] - lengths[i]:ends[i]].tolist()
-            out[i] = self._packed(texts[i], agenda(model, part, int(keys[i]), dropout))
+            out[i] = self._packed(self._text(words[i]), agenda(model, part, int(keys[i]), dropout))
         return out
 
     def _packed(self, text: str, spans) -> bytes:
@@ -264,24 +290,30 @@ class DropoutEncoder:
         return np.array(ids, f"<u{self.model.width}").tobytes()
 
     def _learn(self, words: list[bytes], at_once: int = 4000) -> None:
-        """Keep what the words give without dropout, and the merges that lead there. Long words are always merged anew."""
-        spans, counts, long = [self.spans], [], [self.long]
+        """Keep the words' symbols, what they give without dropout, and the merges that lead there. Long words are
+        always merged anew."""
+        symbols, letters, spans, merges = [self.symbols], [], [self.spans], []
         for k in range(0, len(words), at_once):
-            texts, made_by = self._texts(words[k:k + at_once]), []
-            is_long = np.array([len(t) > self.longest for t in texts])
-            short = [t for t, x in zip(texts, is_long) if not x]
-            found = iter(self._merged(short, np.zeros(len(short), np.uint64), 0.0, made_by) if short else [])
-            self.whole += [b"" if x else next(found) for x in is_long]
+            part, made_by = words[k:k + at_once], []
+            found, lengths = self.symbols_of(part)
+            short = lengths <= self.longest
+            some = [w for w, x in zip(part, short.tolist()) if x]
+            results = iter(self._merged(
+                some, found[np.repeat(short, lengths)], lengths[short], np.zeros(len(some), np.uint64), 0.0, made_by))
+            self.whole += [next(results) if x else b"" for x in short.tolist()]
             owner, *span = [np.concatenate(x) for x in zip(*made_by)] if made_by else [np.zeros(0, np.int64)] * 4
-            order = np.argsort(owner, kind="stable")
-            spans.append(np.stack(span)[:, order])
-            n = np.zeros(len(texts), np.int64)
-            n[~is_long] = np.bincount(owner, minlength=len(short))
-            counts.append(n)
-            long.append(is_long)
+            spans.append(span_hash(*span)[np.argsort(owner, kind="stable")])
+            n = np.zeros(len(part), np.int64)
+            n[short] = np.bincount(owner, minlength=len(some))
+            merges.append(n)
+            symbols.append(found)
+            letters.append(lengths)
         self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
-        self.spans, self.long = np.concatenate(spans, axis=1), np.concatenate(long)
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(counts))])
+        letters = np.concatenate(letters)
+        self.symbols, self.spans = np.concatenate(symbols), np.concatenate(spans)
+        self.long = np.concatenate([self.long, letters > self.longest])
+        self.first_symbol = np.concatenate([self.first_symbol, self.first_symbol[-1] + np.cumsum(letters)])
+        self.first_span = np.concatenate([self.first_span, self.first_span[-1] + np.cumsum(np.concatenate(merges))])
 
     def draw(self, words: list[bytes], keys: np.ndarray, at_once: int = 4000) -> list[bytes]:
         """Packed ids of word occurrences, each with its own key."""
@@ -291,22 +323,25 @@ class DropoutEncoder:
                 new = list(set(words))
             self._learn(new)
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        out, anew = [self.whole[i] for i in at.tolist()], [np.zeros(0, np.int64)]
+        out, anew = list(map(self.whole.__getitem__, at.tolist())), [np.zeros(0, np.int64)]
         for k in range(0, len(at), 50_000):
             here = at[k:k + 50_000]
-            n = self.first[here + 1] - self.first[here]
-            row = np.repeat(np.arange(len(here)), n)
-            span = self.spans[:, np.repeat(self.first[here] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            skips = np.bincount(row[skipped(keys[k:k + 50_000][row], *span, self.dropout)], minlength=len(here)) > 0
-            anew.append(np.flatnonzero(skips | self.long[here]) + k)
+            n = self.first_span[here + 1] - self.first_span[here]
+            left_out = skipped(np.repeat(keys[k:k + 50_000], n), self.spans[_runs(self.first_span[here], n)], self.dropout)
+            skips = self.long[here].copy()
+            skips[np.repeat(np.arange(len(here)), n)[left_out]] = True
+            anew.append(np.flatnonzero(skips) + k)
         anew = np.concatenate(anew)
         for k in range(0, len(anew), at_once):
             some = anew[k:k + at_once]
-            for i, packed in zip(some.tolist(), self._merged(self._texts([words[i] for i in some.tolist()]), keys[some])):
+            lengths = self.first_symbol[at[some] + 1] - self.first_symbol[at[some]]
+            symbols = self.symbols[_runs(self.first_symbol[at[some]], lengths)]
+            which = some.tolist()
+            for i, packed in zip(which, self._merged([words[i] for i in which], symbols, lengths, keys[some], self.dropout)):
                 out[i] = packed
         return out
 
-    def encode_each(self, doc_ids: list, turns: list[int], texts: list[bytes]) -> list[bytes]:
+    def encode(self, doc_ids: list, turns: list[int], texts: list[bytes]) -> list[bytes]:
         """Packed ids of texts; ``turns`` number the rows that repeat an id and text."""
         import xxhash
 
@@ -318,31 +353,13 @@ class DropoutEncoder:
         found = self.draw([w for words in split for w in words], _mix(np.repeat(base, sizes) + position * np.uint64(SPAN[0])))
         return [b"".join(found[e - n:e]) for e, n in zip(ends.tolist(), sizes.tolist())]
 
-    def encode(self, doc_ids: list, texts: list[bytes]) -> list[bytes]:
-        if self.streams is None:
-            return self.encode_each(doc_ids, [0] * len(texts), texts)
-        streams = [self.stream(d) for d in doc_ids]
-        split = [self.words(t) for t in texts]
-        for s in set(streams):
-            known = self.known[s]
-            new = list(set().union(*[w for w, x in zip(split, streams) if x == s]).difference(known))
-            known.update(zip(new, self.segment(new, s)))
-        out = [b"".join(map(self.known[s].__getitem__, w)) for w, s in zip(split, streams)]
-        if sum(map(len, self.known)) > self.limit:
-            for known in self.known:
-                known.clear()
-        return out
-
 
-def _encode(docs: DataFrame, model: str, dropout: float, seed: int, streams: int | None, schema: str, row) -> DataFrame:
-    rows = plain(docs, "doc_id", "text")
-    repeats = False
-    if streams is None:
-        rows = rows.withColumn("version", F.xxhash64("text"))
-        # only rows that repeat an id and text have to meet, to be numbered
-        repeats = not rows.groupBy("doc_id", "version").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-        if repeats:
-            rows = rows.repartition("doc_id", "version")
+def _encode(docs: DataFrame, model: str, dropout: float, seed: int, schema: str, row) -> DataFrame:
+    rows = plain(docs, "doc_id", "text").withColumn("version", F.xxhash64("text"))
+    # only rows that repeat an id and text have to meet, to be numbered
+    repeats = not rows.groupBy("doc_id", "version").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    if repeats:
+        rows = rows.repartition("doc_id", "version")
 
     def run(batches):
         encoder, met = None, Counter()
@@ -355,22 +372,19 @@ def _encode(docs: DataFrame, model: str, dropout: float, seed: int, streams: int
             for part in portions(b["text"]):
                 if encoder is None:
                     loaded = MergeModel(model)
-                    encoder = DropoutEncoder(loaded, dropout, seed, streams)
-                if streams is None:
-                    packed = encoder.encode_each(b["doc_id"][part], turns[part], b["text"][part])
-                else:
-                    packed = encoder.encode(b["doc_id"][part], b["text"][part])
-                yield row(loaded, b["doc_id"][part], b["text"][part], packed)
+                    encoder = DropoutEncoder(loaded, dropout, seed)
+                yield row(loaded, b["doc_id"][part], b["text"][part], encoder.encode(b["doc_id"][part], turns[part], b["text"][part]))
 
     return map_bytes(rows, run, schema)
 
 
-def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 23, streams: int | None = 8) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 23) -> DataFrame:
     """(doc_id, ids array<int>, n_pieces) of every row of ``docs`` (doc_id bigint, text).
 
-    Null or empty text: no pieces. Null id: an id like the others. Rows that repeat an id and text: with ``streams`` the
-    same pieces, without (None) a draw each, as every occurrence of a word has. Empty table: no rows. ``dropout`` 0 gives the model's own segmentation, but for the mark character, which is
-    written as bytes so that it comes back as itself.
+    Null or empty text: no pieces. Null id: an id like the others. Rows that repeat an id and text: a draw each, as every
+    occurrence of a word has. Very long texts are taken whole, very long words from a heap. Empty table: no rows.
+    ``dropout`` 0 gives the model's own segmentation, but for the mark character, which is written as bytes so that it
+    comes back as itself.
     """
     def row(m, doc_ids, texts, packed):
         import pyarrow as pa
@@ -380,10 +394,10 @@ def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: in
         offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
         return {"doc_id": doc_ids, "ids": pa.ListArray.from_arrays(offsets, flat), "n_pieces": sizes}
 
-    return _encode(docs, model, dropout, seed, streams, "doc_id bigint, ids array<int>, n_pieces bigint", row)
+    return _encode(docs, model, dropout, seed, "doc_id bigint, ids array<int>, n_pieces bigint", row)
 
 
-def encoded_digests(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 23, streams: int | None = 8) -> DataFrame:
+def encoded_digests(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 23) -> DataFrame:
     """(doc_id, n_pieces, ids_crc32, lossless) of every row: the pieces of ``encode_documents``, and whether decoding
     them gives the text's bytes again."""
     def row(m, doc_ids, texts, packed):
@@ -394,7 +408,7 @@ def encoded_digests(docs: DataFrame, model: str, dropout: float = 0.1, seed: int
             "lossless": [m.decode(a.tolist()) == t for a, t in zip(arrays, texts)],
         }
 
-    return _encode(docs, model, dropout, seed, streams, "doc_id bigint, n_pieces bigint, ids_crc32 bigint, lossless boolean", row)
+    return _encode(docs, model, dropout, seed, "doc_id bigint, n_pieces bigint, ids_crc32 bigint, lossless boolean", row)
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
