@@ -114,6 +114,36 @@ def _gain(pairs, total, out, into, self_n, weight) -> np.ndarray:
     return gain
 
 
+def _gains(pairs, total, out, into, self_n, now) -> np.ndarray:
+    """``_gain`` of many words at once, a row each, every word being taken out of its class ``now`` first. Only the
+    classes that a word has as neighbours change anything, so a rare word costs few of them."""
+    line, diagonal = np.arange(len(now)), np.diagonal(pairs)
+    weight = out.sum(axis=1) + self_n
+    gain = np.zeros((len(now), len(pairs)))
+    for cells, known, near, far in ((pairs.T, _f(pairs).T, out, into), (pairs, _f(pairs), into, out)):
+        row, c = np.nonzero(near)
+        x, own = near[row, c], now[row]
+        m, f, each = cells[c], known[c], np.arange(len(row))
+        m[each, own] -= x
+        same = np.flatnonzero(c == own)  # neighbours inside the word's own class
+        m[same] -= far[row[same]]
+        m[same, own[same]] -= self_n[row[same]]
+        f[each, own] = _f(m[each, own])
+        f[same] = _f(m[same])
+        change = _f(m + x[:, None]) - f
+        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])[:len(row)]
+        if len(starts):
+            gain[row[starts]] += np.add.reduceat(change, starts, axis=0)
+    d = np.repeat(diagonal[None, :], len(now), axis=0)
+    d[line, now] -= out[line, now] + into[line, now] + self_n
+    gain += _f(d + out + into + self_n[:, None]) + _f(d) - _f(d + out) - _f(d + into)
+    t = np.repeat(total[None, :], len(now), axis=0)
+    t[line, now] -= weight
+    gain -= 2 * (_f(t + weight[:, None]) - _f(t))
+    gain[:, -1] = -np.inf
+    return gain
+
+
 def exchange(counts: np.ndarray, p: BrownParams, of: np.ndarray | None = None, fixed: int = 0) -> np.ndarray:
     """Class of every unit. Units start dealt out by frequency, or from ``of``; then each is taken out of its class and
     put where the likelihood of the class bigrams gains most, sweep by sweep until none moves. The end has the last
@@ -262,8 +292,8 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
             order = np.argsort(part, kind="stable")
             w, code, n, part = w[order], code[order], n[order], part[order]
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
-            for k in range(0, len(cuts) - 1, 256):
-                at = list(zip(cuts[k:k + 256], cuts[k + 1:k + 257]))
+            for k in range(0, len(cuts) - 1, 32):
+                at = list(zip(cuts[k:k + 32], cuts[k + 1:k + 33]))
                 yield {"part": part[[s for s, _ in at]], "w": [w[s:e].astype(np.int32).tobytes() for s, e in at],
                        "code": [code[s:e].astype(np.uint32).tobytes() for s, e in at], "n": [n[s:e].tobytes() for s, e in at]}
 
@@ -287,7 +317,7 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
                     learn(list(new))
                 line.extend(map(known.__getitem__, found))
                 line.append(base - 1)
-                if len(line) > 1_000_000:
+                if len(line) > 500_000:
                     yield from add()
                     line = line[-1:]
         yield from add()
@@ -340,7 +370,7 @@ def _totals(blocks: DataFrame, own: np.ndarray, p: BrownParams) -> np.ndarray:
                 right, nb = (code & 1) == 1, code >> 1
                 use = right | (nb < base)  # two words of ``keys`` have an entry each
                 a, z = np.where(right, w, nb)[use], np.where(right, nb, w)[use]
-                np.add.at(sums, unit[a] * size + unit[z], n[use])
+                sums += np.bincount(unit[a] * size + unit[z], n[use], size * size).astype(np.int64)  # whole numbers below 2^53
         at = np.flatnonzero(sums)
         yield {"a": at // size, "b": at % size, "n": sums[at]}
 
@@ -372,17 +402,15 @@ def _moves(blocks: DataFrame, of: np.ndarray, own: np.ndarray, pairs: np.ndarray
                 alone = np.bincount(row, n * (itself & (code & 1 == 1)), len(first))
                 seen = np.bincount((row * 2 + (code & 1)) * (k + 1) + class_of[code >> 1], n * ~itself, len(first) * 2 * (k + 1))
                 seen = seen.reshape(len(first), 2, k + 1)
-                for word, self_n, (into, after) in zip(w[first].tolist(), alone, seen):
-                    now, weight, m, t = class_of[word], after.sum() + self_n, pairs.copy(), total.copy()
-                    m[now] -= after
-                    m[:, now] -= into
-                    m[now, now] -= self_n
-                    t[now] -= weight
-                    gain = _gain(m, t, after, into, self_n, weight)
-                    best = int(np.argmax(gain))
-                    if gain[best] > gain[now] + 1e-9:
-                        out["w"].append(word - base)
-                        out["class"].append(best)
+                for at in range(0, len(first), 2000):
+                    part = slice(at, at + 2000)
+                    now = class_of[w[first[part]]]
+                    gain = _gains(pairs, total, seen[part, 1], seen[part, 0], alone[part], now)
+                    best, line = np.argmax(gain, axis=1), np.arange(len(now))
+                    better = gain[line, best] > gain[line, now] + 1e-9
+                    out["w"].append(w[first[part]][better] - base)
+                    out["class"].append(best[better])
+            out = {key: np.concatenate(x) if x else [] for key, x in out.items()}
             yield out
 
     moved = map_bytes(blocks, run, "w int, class int", ()).toArrow()
