@@ -17,7 +17,7 @@ from broadsheet.llm.common import map_bytes, plain, stored
 class BrownParams:
     """``words`` most frequent words are clustered one by one, all others in ``tails`` groups by their last bytes, so that
     every word has a class. ``refine`` then lets each word that occurs ``least`` times choose its own class, in rounds
-    until less than ``settled`` of them move. ``known`` words' counts are at hand in every task; the others' are joined."""
+    until two of them raise the log likelihood by less than the share ``gained`` each. ``known`` words' counts are at hand in every task; the others' are joined."""
 
     classes: int = 32
     words: int = 768
@@ -27,7 +27,7 @@ class BrownParams:
     smoothing: float = 50.0
     known: int = 131_072
     least: int = 5
-    settled: float = 0.01
+    gained: float = 3e-4
     rounds: int = 30
 
 
@@ -264,10 +264,13 @@ def fit(docs: DataFrame, p: BrownParams = BrownParams()) -> tuple[BrownModel, Da
 
 
 ENTRIES = "part int, w binary, code binary, n binary"
+# the entries that the bigrams are added up from, and those that only repeat one of another word
+BLOCKS = "part int, w binary, code binary, n binary, w_again binary, code_again binary, n_again binary"
 
 
 def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int, p: BrownParams) -> DataFrame:
-    """Blocks (part, w, code, n) of neighbour counts, arrays of equal length; all entries of a word are in one block.
+    """Blocks of neighbour counts (``BLOCKS``), arrays of equal length; all entries of a word are in one block. A block's
+    words are equal modulo ``parts``, and in the last bit of a seventh, which is also the last bit of ``part``.
 
     Words are numbered: the frequent ones, the tails, the end, then those of ``keys``. An entry of one of ``keys`` has
     twice the number of a neighbour, and one more if that comes after it. Neighbours without a word of ``keys`` are
@@ -288,7 +291,7 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
             known.update((w, place[w] if w in place else x if x >= 0 else tail(w, p)) for w, x in zip(new, numbers))
 
         def blocks(w, code, n):
-            part = w % parts
+            part = w % parts * 2 + (w // 7 & 1)
             order = np.argsort(part, kind="stable")
             w, code, n, part = w[order], code[order], n[order], part[order]
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
@@ -335,8 +338,12 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
             key, n = key[order], n[order]
             cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             key, n = key[cuts], np.add.reduceat(n, cuts)
-            return {"part": [now], "w": [(key >> 32).astype(np.int32).tobytes()], "code": [(key & 0xFFFFFFFF).astype(np.uint32).tobytes()],
-                    "n": [n.tobytes()]}
+            w, code = (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.uint32)
+            again = (code & 1 == 0) & (code >> 1 >= base)  # two words of ``keys`` have an entry each
+            out = {"part": [now]}
+            for end, use in (("", ~again), ("_again", again)):
+                out |= {f"w{end}": [w[use].tobytes()], f"code{end}": [code[use].tobytes()], f"n{end}": [n[use].tobytes()]}
+            return out
 
         for b in batches:
             for part, *block in zip(b["part"], b["w"], b["code"], b["n"]):
@@ -349,12 +356,12 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
             yield flush()
 
     found = map_bytes(plain(docs, "text"), run, ENTRIES).repartition("part").sortWithinPartitions("part")
-    return stored(map_bytes(found, packed, ENTRIES, ()), "brown-contexts")
+    return stored(map_bytes(found, packed, BLOCKS, ()), "brown-contexts")
 
 
-def _entries(b: dict) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _entries(b: dict, end: str = "") -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     return [(np.frombuffer(w, np.int32).astype(np.int64), np.frombuffer(c, np.uint32).astype(np.int64), np.frombuffer(n, np.int64))
-            for w, c, n in zip(b["w"], b["code"], b["n"])]
+            for w, c, n in zip(b[f"w{end}"], b[f"code{end}"], b[f"n{end}"])]
 
 
 def _totals(blocks: DataFrame, own: np.ndarray, p: BrownParams) -> np.ndarray:
@@ -367,20 +374,19 @@ def _totals(blocks: DataFrame, own: np.ndarray, p: BrownParams) -> np.ndarray:
         sums = np.zeros(size * size, np.int64)
         for b in batches:
             for w, code, n in _entries(b):
-                right, nb = (code & 1) == 1, code >> 1
-                use = right | (nb < base)  # two words of ``keys`` have an entry each
-                a, z = np.where(right, w, nb)[use], np.where(right, nb, w)[use]
-                sums += np.bincount(unit[a] * size + unit[z], n[use], size * size).astype(np.int64)  # whole numbers below 2^53
+                right, own, other = (code & 1) == 1, unit[w], unit[code >> 1]
+                cells = np.where(right, own * size + other, other * size + own)
+                sums += np.bincount(cells, n, size * size).astype(np.int64)  # whole numbers below 2^53
         at = np.flatnonzero(sums)
         yield {"a": at // size, "b": at % size, "n": sums[at]}
 
-    cells = map_bytes(blocks, run, "a int, b int, n bigint", ()).groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    cells = map_bytes(plain(blocks, "w", "code", "n"), run, "a int, b int, n bigint", ()).groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((size, size), np.int64)
     out[cells["a"].to_numpy(), cells["b"].to_numpy()] = cells["n"].to_numpy()
     return out
 
 
-def _moves(blocks: DataFrame, of: np.ndarray, own: np.ndarray, pairs: np.ndarray, turn: int, p: BrownParams) -> np.ndarray:
+def _moves(blocks: DataFrame, parts: int, of: np.ndarray, own: np.ndarray, pairs: np.ndarray, turn: int, p: BrownParams) -> np.ndarray:
     """Classes of the words with a class of their own after half of them have chosen the best one. Words that choose at
     the same time do not see each other move, so the halves take turns."""
     base, k = p.words + p.tails + 1, p.classes
@@ -391,29 +397,33 @@ def _moves(blocks: DataFrame, of: np.ndarray, own: np.ndarray, pairs: np.ndarray
         class_of, total = np.concatenate([of, own]).astype(np.int64), pairs.sum(axis=1)
         for b in batches:
             out = {"w": [], "class": []}
-            for w, code, n in _entries(b):
-                use = (w >= base) & ((w // 7 + turn) % 2 == 0)
+            for block in zip(_entries(b), _entries(b, "_again")):
+                w, code, n = (np.concatenate(x) for x in zip(*block))
+                use = w >= base
                 w, code, n = w[use], code[use], n[use]
                 if not len(w):
                     continue
-                first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
-                row = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(w)]))
+                low = w.min()
+                row = (w - low) // parts  # a block's words are equal modulo ``parts``
+                count = int(row.max()) + 1
                 itself = code >> 1 == w
-                alone = np.bincount(row, n * (itself & (code & 1 == 1)), len(first))
-                seen = np.bincount((row * 2 + (code & 1)) * (k + 1) + class_of[code >> 1], n * ~itself, len(first) * 2 * (k + 1))
-                seen = seen.reshape(len(first), 2, k + 1)
-                for at in range(0, len(first), 2000):
+                alone = np.bincount(row, n * (itself & (code & 1 == 1)), count)
+                seen = np.bincount((row * 2 + (code & 1)) * (k + 1) + class_of[code >> 1], n * ~itself, count * 2 * (k + 1))
+                words = np.flatnonzero(np.bincount(row, minlength=count))
+                seen, alone, words = seen.reshape(count, 2, k + 1)[words], alone[words], words * parts + low
+                for at in range(0, len(words), 2000):
                     part = slice(at, at + 2000)
-                    now = class_of[w[first[part]]]
+                    now = class_of[words[part]]
                     gain = _gains(pairs, total, seen[part, 1], seen[part, 0], alone[part], now)
                     best, line = np.argmax(gain, axis=1), np.arange(len(now))
                     better = gain[line, best] > gain[line, now] + 1e-9
-                    out["w"].append(w[first[part]][better] - base)
+                    out["w"].append(words[part][better] - base)
                     out["class"].append(best[better])
             out = {key: np.concatenate(x) if x else [] for key, x in out.items()}
             yield out
 
-    moved = map_bytes(blocks, run, "w int, class int", ()).toArrow()
+    half = blocks.where(F.col("part") % 2 == turn % 2)
+    moved = map_bytes(half, run, "w int, class int", ()).toArrow()
     own = own.copy()
     own[moved["w"].to_numpy()] = moved["class"].to_numpy()
     return own
@@ -424,7 +434,7 @@ def refine(docs: DataFrame, model: BrownModel, counts: DataFrame) -> BrownModel:
 
     One pass stores each such word's neighbour counts. In every round tasks choose the words' classes against the class
     bigrams, and the frequent words and the tails, which hold only rarer words now, are exchanged again. Rounds end when
-    few words move or the likelihood no longer rises. The driver and the tasks hold nine bytes for each word.
+    the likelihood hardly rises any more. The driver and the tasks hold nine bytes for each word.
     """
     p = model.params
     base, k = p.words + p.tails + 1, p.classes
@@ -439,7 +449,8 @@ def refine(docs: DataFrame, model: BrownModel, counts: DataFrame) -> BrownModel:
         return model
     of = np.array(model.unit_class)
     own = of[p.words + tails].astype(np.min_scalar_type(k))
-    blocks = contexts(docs, frequent, keys, max(32, model.tokens // 500_000), p)
+    parts = max(32, model.tokens // 500_000)
+    blocks = contexts(docs, frequent, keys, parts, p)
     kinds = np.zeros(base)
     kinds[:len(frequent)] = 1
     few = counts.where(F.col("n") < p.least)
@@ -458,14 +469,14 @@ def refine(docs: DataFrame, model: BrownModel, counts: DataFrame) -> BrownModel:
         member[np.arange(len(cells)), units] = 1
         pairs = member.T @ cells @ member
         likelihood = _f(pairs).sum() - _f(pairs.sum(axis=1)).sum() - _f(pairs.sum(axis=0)).sum()
-        if best is not None and likelihood <= best[0]:
-            break
+        if best is not None:
+            if likelihood <= best[0]:
+                break
+            quiet = quiet + 1 if likelihood - best[0] < p.gained * abs(likelihood) else 0
         best = likelihood, of, own, cells, units
         if quiet == 2 or turn == p.rounds:  # both halves are settled
             break
-        moved = _moves(blocks, of, own, pairs, turn, p)
-        quiet = quiet + 1 if (moved != own).sum() <= p.settled * len(own) / 2 else 0
-        own = moved
+        own = _moves(blocks, parts, of, own, pairs, turn, p)
     _, of, own, cells, units = best
     step, spread = _tables(cells, units, np.concatenate([kinds[:-1], np.bincount(own, minlength=k)[:k], [0]]), p)
     return replace(model, unit_class=of, step=step, spread=spread, keys=keys, own=own)
