@@ -259,6 +259,27 @@ def brown_plain(train, rows, p, of):
     return out
 
 
+def test_gains_of_many_words_equal_those_of_one():
+    rng, k = np.random.default_rng(1), 9
+    out, into = (rng.poisson(0.7, (200, k + 1)).astype(float) for _ in range(2))
+    self_n, now = rng.integers(0, 3, 200).astype(float), rng.integers(0, k, 200)
+    pairs = rng.poisson(30, (k + 1, k + 1)).astype(float) * (rng.random((k + 1, k + 1)) < 0.7)
+    for i, c in enumerate(now):
+        pairs[c] += out[i]
+        pairs[:, c] += into[i]
+        pairs[c, c] += self_n[i]
+    total = pairs.sum(axis=1)
+    got = brown._gains(pairs, total, out, into, self_n, now)
+    for i, c in enumerate(now):
+        m, t, weight = pairs.copy(), total.copy(), out[i].sum() + self_n[i]
+        m[c] -= out[i]
+        m[:, c] -= into[i]
+        m[c, c] -= self_n[i]
+        t[c] -= weight
+        want = brown._gain(m, t, out[i], into[i], self_n[i], weight)
+        assert np.allclose(got[i][:-1], want[:-1], atol=1e-7) and got[i][-1] == -np.inf
+
+
 def test_brown_scores(docs):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice("The the cat dog\tsat ran on a mat é xyzzy plugh fee fie".split(" ")) for _ in range(rng.randint(0, 30)))) for i in range(60)]
