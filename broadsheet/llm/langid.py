@@ -66,6 +66,7 @@ class LanguageModel:
     table: np.ndarray
     roots: np.ndarray  # place of each language's start row
     bits: np.ndarray  # log2 of the learned length: what naming a phrase's place costs
+    limits: np.ndarray | None = None  # phrases per byte above which a text is of no learned language; None: no limits
 
     @classmethod
     def build(cls, samples: dict[str, bytes]) -> "LanguageModel":
@@ -95,37 +96,73 @@ class LanguageModel:
         return cls(langs, symbols, small, np.array(roots, small.dtype), bits)
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
-        """Number of longest-match phrases per (text, language). Texts are parsed in blocks of 4,096 bytes, all blocks
-        and languages in step; a phrase ends with its block."""
-        owner, blocks = [], []
-        for i, t in enumerate(texts):
-            for a in range(0, len(t), BLOCK):
-                owner.append(i)
-                blocks.append(t[a:a + BLOCK])
-        total = np.zeros((len(texts), len(self.langs)), np.int64)
-        order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
+        """Number of longest-match phrases per (text, language).
+
+        Texts are cut into blocks of 4,096 bytes, which are parsed in step from the start state. Where the block before
+        ends inside a phrase, a block is parsed again from there, until both parses are in one state: from then on they
+        agree. A block where they never meet hands its new end on. So phrases run over the blocks' edges.
+        """
+        flat = np.frombuffer(b"".join(texts), np.uint8)
+        cuts = [range(0, len(t), BLOCK) for t in texts]
+        owner = np.repeat(np.arange(len(texts)), [len(c) for c in cuts])
+        inside = np.array([a for c in cuts for a in c], np.int64)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        starts = (np.cumsum(lengths) - lengths)[owner] + inside
+        sizes = np.minimum(BLOCK, lengths[owner] - inside)
+        ends = np.zeros((len(owner), len(self.langs)), np.int64)
+        last = np.zeros(ends.shape, self.table.dtype)
+        order = np.argsort(-sizes, kind="stable")
         for a in range(0, len(order), 2048):
             chosen = order[a:a + 2048]
-            counts = self._in_step([blocks[i] for i in chosen])
-            np.add.at(total, [owner[i] for i in chosen], counts)
-        return total
-
-    def _in_step(self, blocks: list[bytes]) -> np.ndarray:
-        """``blocks`` from long to short."""
-        sizes = np.array([len(b) for b in blocks])
-        chars = np.zeros((len(blocks), sizes[0]), np.uint8)
-        for row, b in zip(chars, blocks):
-            row[:len(b)] = np.frombuffer(b, np.uint8)
+            ends[chosen], last[chosen] = self._in_step(flat, starts[chosen], sizes[chosen])
+
+        begin = np.tile(self.roots, (len(owner), 1))
+        follows = np.r_[owner[1:] == owner[:-1], False]  # whether the next block is of the same text
+        block, lang = (x.ravel() for x in np.meshgrid(np.flatnonzero(follows) + 1, np.arange(len(self.langs)), indexing="ij"))
+        while len(block):
+            new = last[block - 1, lang]
+            gain, end = self._again(flat, starts[block], sizes[block], begin[block, lang], new, last[block, lang])
+            ends[block, lang] += gain
+            begin[block, lang] = new
+            moved = (end != last[block, lang]) & follows[block]
+            last[block, lang] = end
+            block, lang = block[moved] + 1, lang[moved]
+        total = np.zeros((len(texts), len(self.langs)), np.int64)
+        np.add.at(total, owner, ends)
+        return total + (lengths > 0)[:, None]  # the last phrase ends with the text
+
+    def _in_step(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that end in each block, and the state after it; blocks from long to short."""
+        chars = np.zeros((len(starts), sizes[0]), np.uint8)
+        for row, a, n in zip(chars, starts, sizes):
+            row[:n] = flat[a:a + n]
         steps = self.symbols.astype(self.table.dtype)[chars.T]
-        state = np.repeat(self.roots[:, None], len(blocks), axis=1)
-        ends = np.ones((len(self.langs), len(blocks)), np.int64)
+        state = np.repeat(self.roots[:, None], len(starts), axis=1)
+        ends = np.zeros((len(self.langs), len(starts)), np.int64)
         active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # blocks longer than each step
         for t in range(sizes[0]):
             k = active[t]
             found = self.table[state[:, :k] + steps[t, :k]]
             ends[:, :k] += found & 1
             state[:, :k] = found >> 1
-        return ends.T
+        return ends.T, state.T
+
+    def _again(self, flat, starts, sizes, old, new, last) -> tuple[np.ndarray, np.ndarray]:
+        """How many more phrases end in each block if it is entered in state ``new``, not ``old``, and the state after it
+        (``last``: the one after ``old``)."""
+        gain, end, symbols = np.zeros(len(starts), np.int64), last.copy(), self.symbols.astype(self.table.dtype)
+        open_ = np.flatnonzero(old != new)
+        old, new, t = old[open_], new[open_], 0
+        while len(open_):
+            step = symbols[flat[starts[open_] + t]]
+            was, now = self.table[old + step], self.table[new + step]
+            gain[open_] += (now & 1) - (was & 1)
+            old, new, t = was >> 1, now >> 1, t + 1
+            over = sizes[open_] == t
+            end[open_[over]] = new[over]
+            left = ~over & (old != new)
+            open_, old, new = open_[left], old[left], new[left]
+        return gain, end
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], list[float], list[float]]:
         """Language, score and phrases per byte of the winner for each normalised text."""
@@ -145,18 +182,46 @@ class LanguageModel:
         return langs, scores, costs
 
 
-def learn(docs: DataFrame, sample_docs: int = 40, sample_points: int = 1000) -> LanguageModel:
-    """Fit on a bounded sample of ``docs`` (doc_id, text, lang): per language the ``sample_docs`` texts that come first in
-    the order of a hash, ``sample_points`` code points of each. Rows without language or text teach nothing."""
-    rows = plain(docs, "doc_id", "text", "lang").where("lang is not null and text is not null")
-    rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, sample_points).alias("t"))
-    order = Window.partitionBy("lang").orderBy("h", "t")
-    chosen = rows.select("lang", "t", F.row_number().over(order).alias("k")).where(F.col("k") <= sample_docs)
+def learn(docs: DataFrame, sample_docs: int = 40, sample_points: int = 1000, check_docs: int = 200) -> LanguageModel:
+    """Fit on a bounded sample of ``docs`` (doc_id, text, lang).
+
+    Per language the ``sample_docs`` different spans that come first in the order of their texts' hash are learned. A
+    text's span is the whole text, or ``sample_points`` code points from a place that the hash chooses anywhere in it. The
+    next ``check_docs`` spans, which are not learned, say how many phrases per byte the language's own texts need. Rows
+    without language, text or a letter in the span teach nothing, and equal texts count once.
+    """
+    rows = plain(docs, "text", "lang").where("lang is not null and text is not null")
+    h, points = F.xxhash64("text"), F.lit(sample_points)
+    place = F.pmod(h, F.greatest(F.length("text") - points, F.lit(0)) + 1).cast("int")
+    rows = rows.select("lang", h.alias("h"), F.substring("text", place + 1, points).alias("t")).where(F.col("t").rlike("\\p{L}"))
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = rows.select("lang", "h").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_docs + check_docs)
+    # at most sample_docs + check_docs rows a language
+    found = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "k").agg(F.min("t").alias("t"))
     samples: dict[str, list[bytes]] = {}
-    for r in chosen.orderBy("lang", "k").collect():
-        if text := normalise(r["t"].encode()):
+    checks: list[tuple[str, bytes]] = []
+    for r in found.orderBy("lang", "k").collect():
+        text = normalise(r["t"].encode())
+        if text and r["k"] <= sample_docs:
             samples.setdefault(r["lang"], []).append(text)
-    return LanguageModel.build({k: b" ".join(v) for k, v in samples.items()})
+        elif text:
+            checks.append((r["lang"], text))
+    model = LanguageModel.build({k: b" ".join(v) for k, v in samples.items()})
+    model.limits = own_limits(model, checks)
+    return model
+
+
+def own_limits(model: LanguageModel, checks: list[tuple[str, bytes]], fewest: int = 20, times: float = 2.0) -> np.ndarray:
+    """Phrases per byte that a text of each language may need: ``times`` the median over the texts in ``checks`` of that
+    language, none of which was learned. A median, as some labelled texts are mixed with other languages or with codes.
+    No limit for a language with less than ``fewest`` of them."""
+    limits = np.full(len(model.langs), np.inf)
+    counts = model.phrases([t for _, t in checks])
+    for i, lang in enumerate(model.langs):
+        rates = [(n[i] - 1) / len(t) for n, (x, t) in zip(counts, checks) if x == lang]
+        if len(rates) >= fewest:
+            limits[i] = times * np.median(rates)
+    return limits
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -177,18 +242,28 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return map_bytes(rows, run, "doc_id bigint, row_hash bigint, lang_pred string, score double, phrase_rate double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, langs: list[str] | None = None, max_rate: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` whose language is among ``langs`` (default: all learned ones). Rejected are texts without a
-    letter, and texts that need more than ``max_rate`` phrases per byte in every language: no learned language reads
-    them. Columns are those of ``docs``."""
+def keep_identified(
+    docs: DataFrame, model: LanguageModel, langs: list[str] | None = None, max_rate: float = 0.5, spare: int = 8,
+) -> DataFrame:
+    """Rows of ``docs`` whose language is among ``langs`` (default: all learned ones); columns are those of ``docs``.
+
+    Rejected are null texts, texts without a letter, and texts that no learned language reads: those that need more than
+    ``max_rate`` phrases per byte, or more than the limit that the winning language's own labelled texts set, with
+    ``spare`` phrases more for short texts. Whole texts are parsed, however long. Ids have no influence: rows that repeat
+    one, or lack one, are each judged by their text, and equal texts alike. Columns of any name are kept. Empty table: no rows.
+    """
     import pyarrow as pa
 
     shared, wanted = docs.sparkSession.sparkContext.broadcast(model), set(langs or model.langs)
+    limits = dict(zip(model.langs, model.limits if model.limits is not None else [np.inf] * len(model.langs)))
 
     def run(batches):
         for b in batches:
             texts = [normalise(t or b"") for t in b.column("text").cast(pa.binary()).to_pylist()]
-            found, _, costs = shared.value.predict(texts)
-            yield b.filter(pa.array([lang in wanted and cost <= max_rate for lang, cost in zip(found, costs)], pa.bool_()))
+            found, _, rates = shared.value.predict(texts)
+            read = [
+                lang in wanted and rate <= max_rate and rate * len(t) <= limits[lang] * len(t) + spare
+                for lang, rate, t in zip(found, rates, texts)]
+            yield b.filter(pa.array(read, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -178,15 +178,13 @@ def test_mix_empty(docs):
 # language identification
 
 def phrases_plain(learned: bytes, text: bytes) -> int:
-    n = 0
-    for a in range(0, len(text), langid.BLOCK):
-        block, i = text[a:a + langid.BLOCK], 0
-        while i < len(block):
-            k = 1
-            while i + k <= len(block) and block[i:i + k] in learned:
-                k += 1
-            i += max(1, k - 1)
-            n += 1
+    n = i = 0
+    while i < len(text):
+        k = 1
+        while i + k <= len(text) and text[i:i + k] in learned:
+            k += 1
+        i += max(1, k - 1)
+        n += 1
     return n
 
 
@@ -195,6 +193,11 @@ def test_phrases_equal_longest_matches():
     learned = {x: bytes(rng.choice(abc) for _ in range(600)) for x, abc in (("a", b"abc "), ("b", b"bcde "), ("c", b"a"))}
     model = langid.LanguageModel.build(learned)
     texts = [bytes(rng.choice(b"abcde xz\xc3") for _ in range(n)) for n in (0, 1, 2, 50, 400, 5000, 9000)]
+    # phrases longer than a block, over several edges, and parses that never meet
+    learned["d"] = bytes(rng.choice(b"ab") for _ in range(10_000))
+    learned["e"] = b"a" * 7
+    model = langid.LanguageModel.build(learned)
+    texts += [b"xx" + learned["d"][50:] + b"b" * 30, b"b" + b"a" * 9001, b"ab" * 4096, learned["a"] * 20]
     want = [[phrases_plain(learned[x], t) for x in model.langs] for t in texts]
     assert model.phrases(texts).tolist() == want
 
@@ -221,6 +224,28 @@ def test_language_of_held_out_texts(docs):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in by} - {900, 901, 902}
 
 
+def test_spans_of_different_texts_are_learned(docs):
+    head = "intro " * 300
+    rows = [(1, head + "uniqueword " * 30, "x"), *[(i, "123 456", "x") for i in range(2, 50)], *[(i, "same text", "x") for i in range(50, 99)]]
+    model = langid.learn(docs(*rows), sample_docs=2, sample_points=5000, check_docs=0)
+    # one long text and one of the equal ones, whole; letterless ones take no place
+    assert model.phrases([langid.normalise((head + "uniqueword " * 30).encode()), b"same text"]).tolist() == [[1], [1]]
+    seen = langid.learn(docs(*[(i, "abc " * 200 + f"middle{i} " + "abc " * 200, "x") for i in range(30)]), 30, 200)
+    assert seen.phrases([b"middle"])[0, 0] == 1  # beyond the first 200 code points of every text
+
+
+def test_unlearned_language_of_the_same_script_is_rejected(docs):
+    rng = random.Random(5)
+    sounds = {x: ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(3)) for _ in range(25)] for x in "xyz"}
+    text = lambda x: " ".join("".join(rng.choices(sounds[x], k=2)) for _ in range(rng.randint(30, 90)))
+    learned = [(i, text("xy"[i % 2]), "xy"[i % 2]) for i in range(240)]
+    rest = [(1000 + i, text("xyz"[i % 3]), None) for i in range(90)] + [(2000, sounds["x"][0]), (2001, None), (None, text("x"), None)]
+    model = langid.learn(docs(*learned))
+    assert np.isfinite(model.limits).all()
+    kept = {r["doc_id"] for r in langid.keep_identified(docs(*rest), model).collect()}
+    assert kept == {1000 + i for i in range(90) if i % 3 < 2} | {2000, None}
+
+
 def test_language_of_nothing_learned(docs):
     model = langid.learn(docs((1, "abc", None)))
     assert [tuple(r)[2:4] for r in langid.identify(docs((1, "abc")), model).collect()] == [("und", 0.0)]
