@@ -14,6 +14,8 @@ from broadsheet.llm.common import components, map_bytes, plain, stored, text_of
 # Odd multipliers of the shingle hash.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 BLOCK = 256
+# A set of more than this share of all ids is answered from a broadcast, of at most so many rows.
+HOT_SETS = 4096
 # Marks elements that a set lacks, among those in which it differs from another.
 GONE = 0x8000000000000001
 
@@ -54,7 +56,9 @@ class Shingles:
         for i in range(k):
             out = (out ^ h[i:len(h) - k + 1 + i]) * np.uint64(MIX[0])
             out = (out ^ (out >> np.uint64(29))) * np.uint64(MIX[1])
-        return np.unique(out ^ (out >> np.uint64(32)))
+        out ^= out >> np.uint64(32)
+        out.sort()
+        return out[np.r_[True, out[1:] != out[:-1]]]
 
 
 def signature(hashes: np.ndarray) -> bytes:
@@ -133,7 +137,8 @@ def _postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], p: JaccardPar
                 if len(keys):
                     slot = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                     count = np.where(keys[slot] == h, often[slot], 0)
-                first = np.lexsort((h, count))[:prefix(n, p.percent, p.shared)]
+                # hashes are sorted, so those of equal counts keep their order
+                first = np.argsort(count, kind="stable")[:prefix(n, p.percent, p.shared)]
                 tokens.append(h[first])
                 ids.append(np.full(len(first), doc_id))
                 marks.append(np.full(len(first), int.from_bytes(sig[:4], "big", signed=True), np.int32))
@@ -417,8 +422,7 @@ def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
     hot = keys[order], (often["n"].to_numpy() if len(often) else np.zeros(0, np.int64))[order]
 
     one = rows.where("doc_id is not null and n > 0").groupBy("doc_id").agg(F.min("sig").alias("sig"), (F.min("sig") != F.max("sig")).alias("odd"))
-    reps = one.groupBy("sig").agg(F.min("doc_id").alias("node"))
-    of = stored(one.join(reps, "sig").select("doc_id", "node", "sig", "odd"), "jac-nodes")
+    of = stored(_named(stored(one, "jac-ids")), "jac-nodes")
 
     # ids with several sets lose the entries of all but one, so those do not make others' entries needless
     odd = of.where("odd").select("doc_id", "odd")
@@ -472,7 +476,10 @@ def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
     if count:
         rest = rest.join(answered, ["a", "b"], "left_anti")
     rest = stored(rest, "jac-candidates")
-    second = stored(_compared(rest, sets, sizes, p).select("a", "b", "linked"), "jac-second")
+    # few sets are candidates still: only those go through the joins of the comparison
+    ends = rest.select(F.col("a").alias("node")).unionByName(rest.select(F.col("b").alias("node"))).distinct()
+    again = stored(sets.join(ends, "node", "left_semi"), "jac-again")
+    second = stored(_compared(rest, again, sizes, p).select("a", "b", "linked"), "jac-second")
     final = components(edges.unionByName(second.where("linked").select("a", "b")), "jac-final")
 
     named = of.join(final, "node", "left").select(F.col("doc_id").alias("_id"), F.coalesce("component", "node").alias("part"))
@@ -490,6 +497,18 @@ def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("part", "doc_id").alias("component_id"))
 
 
+def _named(one: DataFrame) -> DataFrame:
+    """(doc_id, node, sig, odd) of (doc_id, sig, odd): a set's node is its smallest id. At most ``HOT_SETS`` sets can hold so
+    great a share of the ids each; their ids never meet in a task, and the join of the others has no hot key."""
+    groups = stored(one.groupBy("sig").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("size")), "jac-groups")
+    total = groups.agg(F.sum("size")).first()[0] or 0
+    much = (F.col("size") > 1) & (F.col("size") * HOT_SETS >= F.lit(total))
+    hot, cold = groups.where(much).select("sig", "node"), groups.where(~much).select("sig", "node")
+    names = ["doc_id", "node", "sig", "odd"]
+    rest = one.join(F.broadcast(hot.select("sig")), "sig", "left_anti")
+    return one.join(F.broadcast(hot), "sig").select(*names).unionByName(rest.join(cold, "sig").select(*names))
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, p: JaccardParams) -> DataFrame:
     """(node, hashes) of the wanted nodes, from the texts of the rows they are named by."""
     def run(batches):
