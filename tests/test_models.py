@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from broadsheet.operators import columns as C
 from broadsheet.operators import design as D
 from broadsheet.operators import dual, evaluate, linear
+from broadsheet.operators import terms as W
 from broadsheet.params import CHARS, WORDS, JobParams, ModelParams, Ngrams, SourceParams, TextParams
 from broadsheet.plans import jobs
 from broadsheet.sources import articles as A
@@ -442,3 +443,48 @@ def test_stages_fit_on_one_table_and_transform_another(spark, articles):
     assert rows[0]["year"] == 2006.0 and rows[0]["month"] == 6.0
     assert rows[0]["page_rank"] == pytest.approx(1 / np.std([0, 1, 2, 3]))
     assert rows[0]["terms_idx"] == [3] and rows[0]["terms_val"] == pytest.approx([1.0]) and rows[1]["terms_idx"] == []
+
+
+def test_a_vocabulary_goes_to_the_jvm_in_few_calls(spark, monkeypatch):
+    from pyspark.ml.feature import CountVectorizerModel
+
+    def refuse(*_, **__):
+        raise AssertionError("a call for each term")
+
+    monkeypatch.setattr(CountVectorizerModel, "_new_java_array", refuse)
+    names = sorted(f"t{i}" for i in range(5000))
+    block = W.TermBlock.of_terms(spark, "word", names, np.ones((1, len(names))))
+    docs = spark.createDataFrame([(["t7", "t4999", "t7", "no"],), (None,)], "t array<string>")
+    found = block.count(docs, F.col("t")).select("word_tf").collect()
+    assert {names[block.order[i]]: found[0][0][int(i)] for i in found[0][0].indices} == {"t7": 2.0, "t4999": 1.0}
+    assert not len(found[1][0].indices)
+
+
+def test_packed_rows_are_the_same_rows(spark):
+    df = spark.createDataFrame([(i, [i, i + 1] if i % 3 else None) for i in range(2000)], "id bigint, v array<bigint>").repartition(3)
+    rows = D.packed(df)
+    assert rows.count() < 20
+    assert sorted(map(tuple, rows.mapInArrow(D.unpacked, df.schema).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_a_quadratic_loss_takes_one_newton_step():
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(300, 40)) * np.logspace(0, 1.5, 40), rng.normal(size=300)
+    ones = np.ones(41)
+    solver, trials = linear._newton(40, ones, lambda w: lambda v: v, 1e-4, None, True), 0
+    z = np.column_stack([x, np.ones(300)])
+    ask, done = next(solver), None
+    while done is None:
+        kind, w, d = ask
+        trials += kind == linear.TRIAL
+        if kind == linear.PRODUCT:
+            total = np.concatenate([z.T @ (z @ d), np.zeros(len(linear.STEPS) + 1)])
+        else:
+            losses = [0.5 * np.sum((y - z @ (w + a * d)) ** 2) for a in (0.0, *linear.STEPS)]
+            total = np.concatenate([z.T @ (z @ (w + d) - y), losses])
+        try:
+            ask = solver.send(total)
+        except StopIteration as end:
+            done = end.value
+    assert done[1] and trials == 2
+    assert np.allclose(done[0], np.linalg.solve(z.T @ z + np.eye(41), z.T @ y), atol=1e-3)
