@@ -246,6 +246,20 @@ def test_unlearned_language_of_the_same_script_is_rejected(docs):
     assert kept == {1000 + i for i in range(90) if i % 3 < 2} | {2000, None}
 
 
+def test_limits_come_from_all_labelled_texts(docs):
+    rng = random.Random(8)
+    sounds = {x: ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(3)) for _ in range(25)] for x in "xy"}
+    rows = [(i, " ".join("".join(rng.choices(sounds["xy"[i % 2]], k=2)) for _ in range(rng.randint(30, 400))), "xy"[i % 2]) for i in range(700)]
+    rows += [(9000, rows[5][1], "y"), (9001, "12 34", "x"), (9002, None, "x")]
+    df = docs(*rows)
+    model = langid.learn(df)
+    hashes = {r["text"]: r["h"] for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    for i, lang in enumerate("xy"):
+        texts = sorted({t for _, t, x in rows[:700] if x == lang}, key=hashes.get)[40:]
+        rates = [(model.phrases([langid.normalise(t.encode())])[0, i] - 1) / len(t) for t in texts]
+        assert abs(model.limits[i] - 2 * np.median(rates)) <= 1.01 / langid.RATES
+
+
 def test_language_of_nothing_learned(docs):
     model = langid.learn(docs((1, "abc", None)))
     assert [tuple(r)[2:4] for r in langid.identify(docs((1, "abc")), model).collect()] == [("und", 0.0)]
