@@ -488,3 +488,19 @@ def test_a_quadratic_loss_takes_one_newton_step():
             done = end.value
     assert done[1] and trials == 2
     assert np.allclose(done[0], np.linalg.solve(z.T @ z + np.eye(41), z.T @ y), atol=1e-3)
+
+
+@pytest.mark.parametrize("p", [WORDS, CHARS])
+def test_a_counting_task_holds_few_terms_whatever_the_batch(monkeypatch, p):
+    import pyarrow as pa
+
+    monkeypatch.setattr(W, "COUNT_TERMS", 500)
+    texts = [[f"w{i}x{k}" for k in range(4)] for i in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"fold": pa.array([i % 2 for i in range(3000)], pa.int32()), "tokens": texts})
+    found = list(W._counter(p)(iter([batch])))
+    assert max(b.num_rows for b in found) < 6000
+    total = Counter()
+    for b in found:
+        total.update({(f, t): n for f, t, n in zip(*(b.column(c).to_pylist() for c in ("fold", "term", "tf")))})
+    grams = W._word_grams(1, 2) if p is WORDS else lambda t: [g for w in t for g in W._inside_grams(3, 5)(w)]
+    assert total == Counter((i % 2, g) for i, t in enumerate(texts) for g in grams(t))
