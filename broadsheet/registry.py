@@ -54,9 +54,8 @@ def scan_eval(spark, sf_dir):
 
 
 def scan_dev_ranges(spark, sf_dir):
-    """One CSV file with line breaks in its texts, read by ranges of 64 kB."""
-    dev = news_dev(spark, sf_dir).coalesce(1)
-    return articles.read_development(spark, _csv(spark, dev, "whole.csv"), range_bytes=1 << 16)
+    """CSV files with line breaks in their texts, as many as there are tasks to write them, each read by ranges of 64 kB."""
+    return articles.read_development(spark, _csv(spark, news_dev(spark, sf_dir), "whole.csv"), range_bytes=1 << 16)
 
 
 def standardize_columns(spark, sf_dir):

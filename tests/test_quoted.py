@@ -66,3 +66,16 @@ def test_short_long_and_missing(spark, tmp_path):
     assert [tuple(r) for r in Q.read_quoted(spark, str(tmp_path / "a.csv")).collect()] == [("1", None), ("2", "x"), ("3", None)]
     with pytest.raises(FileNotFoundError):
         Q.read_quoted(spark, str(tmp_path / "none.csv"))
+
+
+def test_the_registered_table_is_not_written_by_one_task(spark, monkeypatch):
+    from broadsheet import registry
+
+    seen = []
+    write = registry._csv
+    monkeypatch.setattr(registry, "_csv", lambda s, df, name: seen.append(df) or write(s, df.repartition(3), name))
+    rows = registry.scan_dev_ranges(spark, "/root/testdata/sf0.001").select("id", "title", "article")
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and "SinglePartition" not in plan
+    # several files, read by ranges, give the rows of the table
+    assert rows.distinct().count() == seen[0].count() == rows.count()
