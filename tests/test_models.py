@@ -504,3 +504,22 @@ def test_a_counting_task_holds_few_terms_whatever_the_batch(monkeypatch, p):
         total.update({(f, t): n for f, t, n in zip(*(b.column(c).to_pylist() for c in ("fold", "term", "tf")))})
     grams = W._word_grams(1, 2) if p is WORDS else lambda t: [g for w in t for g in W._inside_grams(3, 5)(w)]
     assert total == Counter((i % 2, g) for i, t in enumerate(texts) for g in grams(t))
+
+
+@pytest.mark.parametrize("share", [1.0, 0.25])
+def test_steps_follow_dense_columns_that_hang_together_with_all_others(share):
+    """The preconditioner inverts the whole curvature, products of dense and sparse columns included."""
+    rng = np.random.default_rng(5)
+    n, size, dense = 40, 30, np.array([28, 29])
+    x = np.where(rng.random((n, size)) < 0.3, rng.random((n, size)), 0.0)
+    x[:, 28:] = 1400.0 + rng.random((n, 2))
+    row, idx = np.nonzero(x)
+    reg = np.full(size + 1, 2.0)
+    sample = linear._Sample(np.zeros(n, int), idx, x[row, idx], np.bincount(row), size, reg, share, dense)
+    bend = rng.random(n)
+    whole = np.column_stack([x, np.ones(n)])
+    lift = (1 - share) * linear.RAISE * np.mean(bend / share * (x[:, :28] ** 2).sum(axis=1))
+    curvature = np.diag(reg + np.append(np.full(28, lift), [0.0, 0.0, 0.0])) + whole.T @ (whole * (bend / share)[:, None])
+    v = rng.standard_normal(size + 1)
+    assert curvature @ sample.solver(bend)(v) == pytest.approx(v, abs=1e-5)
+    assert sample.solver(bend) is sample.solver(bend.copy())
