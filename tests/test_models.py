@@ -523,3 +523,53 @@ def test_steps_follow_dense_columns_that_hang_together_with_all_others(share):
     v = rng.standard_normal(size + 1)
     assert curvature @ sample.solver(bend)(v) == pytest.approx(v, abs=1e-5)
     assert sample.solver(bend) is sample.solver(bend.copy())
+
+
+@pytest.mark.parametrize("p", [Ngrams("word", 1, 1, 1, 9), Ngrams("word", 1, 2, 1, 9), Ngrams("word", 2, 2, 1, 9)])
+def test_words_and_pairs_are_counted_without_a_python_object_for_each(monkeypatch, p):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [[f"w{k}" for k in rng.integers(0, 9, n)] for n in [0, 1, 2, 40, 0, *rng.integers(0, 30, 300)]]
+    folds = [i % 3 for i in range(len(texts))]
+    batches = [pa.RecordBatch.from_pydict({"fold": pa.array(f, pa.int32()), "tokens": pa.array(t, pa.list_(pa.string()))})
+               for f, t in ((folds[:0], texts[:0]), (folds[:5], texts[:5]), (folds[5:], texts[5:]))]
+    want_tf, want_df = Counter(), Counter()
+    for f, t in zip(folds, texts):
+        grams = W._word_grams(p.low, p.high)(t)
+        want_tf.update((f, g) for g in grams)
+        want_df.update((f, g) for g in set(grams))
+    monkeypatch.setattr(W, "COUNT_TERMS", 50)
+    monkeypatch.setattr(W, "_word_grams", None)
+    tf, df = Counter(), Counter()
+    for b in W._counter(p)(iter(batches)):
+        for f, t, n, d in zip(*(b.column(c).to_pylist() for c in ("fold", "term", "tf", "df"))):
+            tf[f, t] += n
+            df[f, t] += d
+    assert tf == want_tf and df == want_df
+
+
+def test_a_step_is_not_solved_further_than_training_needs():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((400, 30)) * np.arange(1, 31) ** -0.5
+    y = np.where(x[:, 0] + rng.standard_normal(400) > 0, 1.0, -1.0)
+    z, reg, tol = np.column_stack([x, np.ones(400)]), np.ones(31), 1e-4
+    solver, left = linear._newton(30, reg, lambda w: lambda v: v, tol), []
+    ask = next(solver)
+    first = None
+    try:
+        while True:
+            kind, w, d = ask
+            c = np.ones(400)
+            if kind == linear.PRODUCT:
+                total = np.concatenate([z.T @ (linear.logistic(z @ w, y, c)[2] * (z @ d)), np.zeros(len(linear.STEPS) + 1)])
+            else:
+                slope = z.T @ linear.logistic(z @ (w + d), y, c)[1]
+                losses = [linear.logistic(z @ (w + a * d), y, c)[0] for a in (0.0, *linear.STEPS)]
+                left.append(np.linalg.norm(slope + reg * (w + d)))
+                first = first or left[0]
+                total = np.concatenate([slope, losses])
+            ask = solver.send(total)
+    except StopIteration as end:
+        assert end.value[1]
+    assert 0.1 * tol * first < left[-1] <= tol * first
