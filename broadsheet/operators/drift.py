@@ -8,6 +8,7 @@ from pyspark.sql.types import IntegralType
 
 from broadsheet.functions import text as X
 from broadsheet.functions.times import eda_timestamp
+from broadsheet.operators import measures as M
 from broadsheet.operators.keyed import with_share
 from broadsheet.sources.articles import whole_number
 
@@ -76,7 +77,7 @@ def word_len_bin(words):
 
 def word_len_histogram(df: DataFrame, cols: tuple[str, ...] = ("title", "article")) -> DataFrame:
     """Per text column, rows and density (rows over rows in range times bin width) per word-length bin that occurs."""
-    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("field"), word_len_bin(X.word_count(c)).alias("bin")) for c in cols]))
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("field"), word_len_bin(M.word_count(df, c)).alias("bin")) for c in cols]))
     counts = df.select(cells).where("bin is not null").groupBy("field", "bin").agg(F.count(F.lit(1)).alias("n"))
     edges = F.array(*[F.lit(e) for e in WORD_EDGES])
     left, right = F.get(edges, F.col("bin")), F.get(edges, F.col("bin") + 1)
@@ -90,7 +91,7 @@ def _binned(df: DataFrame) -> DataFrame:
         return F.struct(F.lit(feature).alias("feature"), value.cast("double").alias("bin"))
 
     cells = [cell("page_rank", X.numeric_coerce("page_rank")), cell("timestamp.year", F.year(eda_timestamp("timestamp")))]
-    cells += [cell(f"{c}.word_len", word_len_bin(X.word_count(c))) for c in ("title", "article")]
+    cells += [cell(f"{c}.word_len", word_len_bin(M.word_count(df, c))) for c in ("title", "article")]
     return df.select(F.inline(F.array(*cells))).where("bin is not null")
 
 
