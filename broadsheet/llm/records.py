@@ -7,6 +7,8 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,26 +142,31 @@ class WordEncoder:
         return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = []
-        for t in texts:
-            if t.endswith(b" ") or self.whole.search(t):
-                split.append(None)
-                continue
-            words = t.split(b" ")
-            words[0] = b" " + words[0]  # no other word holds a space, so this marks the one without
-            split.append(words)
+        whole = [i for i, t in enumerate(texts) if t.endswith(b" ") or self.whole.search(t)]
+        out = dict(zip(whole, self._encoded([texts[i].decode("utf-8", "replace") for i in whole])))
+        split = [i for i in range(len(texts)) if i not in out]
+        out.update(zip(split, self._of_words([texts[i] for i in split]) if split else ()))
+        return [out[i] for i in range(len(texts))]
+
+    def _of_words(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts that are encoded word by word; Arrow numbers the words and puts their ids in order."""
+        words = pc.split_pattern(pa.array(texts, pa.large_binary()), pattern=" ")
+        flat = words.flatten().dictionary_encode()
+        here, at, starts = flat.dictionary.to_pylist(), flat.indices.to_numpy().copy(), words.offsets.to_numpy()
+        heads: dict[bytes, int] = {}  # no other word holds a space, so one marks those without
+        at[starts[:-1]] = [heads.setdefault(b" " + here[i], len(here) + len(heads)) for i in at[starts[:-1]].tolist()]
+        here += heads
         known = self.known
-        get = known.__getitem__
-        here = set().union(*[w for w in split if w is not None])
-        new = here.difference(known)
+        new = [w for w in here if w not in known]
         first = [w for w in new if w[:1] == b" "]
         known.update(zip(first, self._encoded([w[1:].decode("utf-8", "replace") for w in first])))
         inner = [w for w in new if w[:1] != b" "]
         known.update(zip(inner, self._word_ids(inner)))
-        out = [b"" if w is None else b"".join(map(get, w)) for w in split]
-        whole = [i for i, w in enumerate(split) if w is None]
-        for i, ids in zip(whole, self._encoded([texts[i].decode("utf-8", "replace") for i in whole])):
-            out[i] = ids
+        found = pa.array([known[w] for w in here], pa.large_binary()).take(pa.array(at))
+        _, ends, data = found.buffers()
+        cuts = np.frombuffer(ends, np.int64)[starts].tolist()
+        packed = data.to_pybytes() if data else b""
+        out = [packed[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
         if len(known) > self.limit:  # this portion's words are likely to come again
             self.known = {w: known[w] for w in here} if len(here) < self.limit // 2 else {}
         return out

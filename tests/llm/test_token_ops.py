@@ -42,6 +42,24 @@ def test_words_and_whole_texts_give_the_same_ids():
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_words_are_looked_up_once_however_often_they_stand():
+    """A portion's words are looked up per distinct word; their occurrences are numbers that Arrow puts in order."""
+    class Known(dict):
+        looked = 0
+
+        def __getitem__(self, key):
+            Known.looked += 1
+            return dict.__getitem__(self, key)
+
+    encoder = records.WordEncoder(BYTES)
+    encoder.known = Known()
+    texts = ["one two " * 500 + "one", "", "two"]
+    got = encoder.encode([x.encode() for x in texts])
+    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, f"<u{encoder.width}").tolist() for x in got] == [e.ids for e in want]
+    assert Known.looked < 10
+
+
 def test_records_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
