@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm.common import map_bytes, plain, stored
 
+# Texts, and blocks of neighbour counts on their way into larger ones, that are Python objects at a time.
+TEXTS, PIECES = 512, 256
+
 
 @dataclass(frozen=True)
 class BrownParams:
@@ -52,7 +55,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     counts = Counter()
         yield {"word": list(counts), "n": list(counts.values())}
 
-    return map_bytes(plain(docs, "text"), run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_bytes(plain(docs, "text"), run, "word binary, n bigint", rows=TEXTS).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Units(dict):
@@ -92,7 +95,7 @@ def bigrams(docs: DataFrame, words: list[bytes], p: BrownParams) -> np.ndarray:
             part = at[k:k + 100_000]
             yield {"a": part // size, "b": part % size, "n": found[part]}
 
-    cells = map_bytes(plain(docs, "text"), run, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    cells = map_bytes(plain(docs, "text"), run, "a int, b int, n bigint", rows=TEXTS).groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((size, size), np.int64)
     out[cells["a"].to_numpy(), cells["b"].to_numpy()] = cells["n"].to_numpy()
     return out
@@ -355,8 +358,8 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
         if held:
             yield flush()
 
-    found = map_bytes(plain(docs, "text"), run, ENTRIES).repartition("part").sortWithinPartitions("part")
-    return stored(map_bytes(found, packed, BLOCKS, ()), "brown-contexts")
+    found = map_bytes(plain(docs, "text"), run, ENTRIES, rows=TEXTS).repartition("part").sortWithinPartitions("part")
+    return stored(map_bytes(found, packed, BLOCKS, (), PIECES), "brown-contexts")
 
 
 def _entries(b: dict, end: str = "") -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -380,7 +383,7 @@ def _totals(blocks: DataFrame, own: np.ndarray, p: BrownParams) -> np.ndarray:
         at = np.flatnonzero(sums)
         yield {"a": at // size, "b": at % size, "n": sums[at]}
 
-    cells = map_bytes(plain(blocks, "w", "code", "n"), run, "a int, b int, n bigint", ()).groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    cells = map_bytes(plain(blocks, "w", "code", "n"), run, "a int, b int, n bigint", (), 1).groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((size, size), np.int64)
     out[cells["a"].to_numpy(), cells["b"].to_numpy()] = cells["n"].to_numpy()
     return out
@@ -423,7 +426,7 @@ def _moves(blocks: DataFrame, parts: int, of: np.ndarray, own: np.ndarray, pairs
             yield out
 
     half = blocks.where(F.col("part") % 2 == turn % 2)
-    moved = map_bytes(half, run, "w int, class int", ()).toArrow()
+    moved = map_bytes(half, run, "w int, class int", (), 1).toArrow()
     own = own.copy()
     own[moved["w"].to_numpy()] = moved["class"].to_numpy()
     return own
@@ -523,7 +526,7 @@ def score(docs: DataFrame, model: BrownModel, counts: DataFrame) -> DataFrame:
                     out[key].append(value)
             yield out
 
-    local = stored(map_bytes(plain(docs, "doc_id", "flag", "text"), run, schema).withColumn(
+    local = stored(map_bytes(plain(docs, "doc_id", "flag", "text"), run, schema, rows=TEXTS).withColumn(
         "row", F.monotonically_increasing_id()), "brown-local")
     rare = local.select("row", F.explode("rare").alias("word"))
     more = rare.join(counts, "word").groupBy("row").agg(
