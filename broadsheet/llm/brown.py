@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import map_bytes, plain, stored
 
-# Texts, and blocks of neighbour counts on their way into larger ones, that are Python objects at a time.
-TEXTS, PIECES = 512, 256
+# Texts that are cut into words at a time, and blocks of neighbour counts on their way into larger ones that are Python objects.
+TEXTS, PIECES = 1024, 256
 
 
 @dataclass(frozen=True)
@@ -43,30 +45,66 @@ def tail(word: bytes, p: BrownParams) -> int:
     return p.words + zlib.crc32(word[-p.tail_bytes:]) % p.tails
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word binary, n) over all words of all texts. Tasks add up what they read and pass on partial counts."""
-    def run(batches):
-        counts: Counter = Counter()
-        for b in batches:
-            for t in b["text"]:
-                counts.update(tokens(t))
-                if len(counts) > 300_000:  # memory; the parts are added by the aggregate
-                    yield {"word": list(counts), "n": list(counts.values())}
-                    counts = Counter()
-        yield {"word": list(counts), "n": list(counts.values())}
+def numbered(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct ``tokens`` of texts, the numbers in them of all tokens, and how many tokens each text has. Arrow cuts and
+    numbers the words; none becomes a Python object. Null counts as empty."""
+    low = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    lists = pc.ascii_split_whitespace(low)
+    empty = pc.equal(low, "").to_numpy(zero_copy_only=False)
+    n = np.where(empty, 0, np.diff(lists.offsets.to_numpy()))
+    flat = lists.flatten()
+    if empty.any():
+        flat = flat.filter(pc.not_equal(flat, ""))
+    flat = flat.dictionary_encode()
+    return flat.dictionary.cast(pa.binary()), flat.indices.to_numpy().astype(np.int64), n.astype(np.int64)
+
+
+def places(words: pa.Array, among: pa.Array) -> np.ndarray:
+    """Place of each word in ``among``, -1 if it is not there."""
+    return pc.fill_null(pc.index_in(words, value_set=among), -1).to_numpy().astype(np.int64)
+
+
+def tails(words: pa.Array, p: BrownParams) -> np.ndarray:
+    """``tail`` of many words; only the distinct last bytes become Python objects."""
+    last = pc.binary_slice(words, -p.tail_bytes).dictionary_encode()
+    return np.array([tail(w, p) for w in last.dictionary.to_pylist()], np.int64)[last.indices.to_numpy()]
+
+
+def lined(values: np.ndarray, n: np.ndarray, end: float) -> np.ndarray:
+    """The values of all tokens, ``end`` after those of each text."""
+    out = np.full(len(values) + len(n), end, values.dtype)
+    out[np.arange(len(values)) + np.repeat(np.arange(len(n)), n)] = values
+    return out
 
-    return map_bytes(plain(docs, "text"), run, "word binary, n bigint", rows=TEXTS).groupBy("word").agg(F.sum("n").alias("n"))
 
+def _some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (big.slice(a, TEXTS) for big in batches for a in range(0, big.num_rows, TEXTS))
 
-class Units(dict):
-    """Unit of a word: its own if it is among the most frequent, else that of its tail."""
 
-    def __init__(self, words: list[bytes], p: BrownParams):
-        super().__init__((w, i) for i, w in enumerate(words))
-        self.p = p
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word binary, n) over all words of all texts. Tasks add up what they read and pass on partial counts."""
+    def run(batches):
+        held, size = [], 0
+
+        def added():
+            both = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return both.select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+        for b in _some(batches):
+            words, code, _ = numbered(b.column("text"))
+            held.append(pa.table({"word": words, "n": np.bincount(code, minlength=len(words)).astype(np.int64)}))
+            size += len(words)
+            if size > 600_000:
+                held = [added()]
+                size = held[0].num_rows
+                if size > 300_000:  # memory; the parts are added by the aggregate
+                    yield from held.pop().to_batches(max_chunksize=100_000)
+                    size = 0
+        if held:
+            yield from added().to_batches(max_chunksize=100_000)
 
-    def __missing__(self, word: bytes) -> int:
-        return tail(word, self.p)
+    counted = plain(docs, "text").mapInArrow(run, "word binary, n bigint")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def bigrams(docs: DataFrame, words: list[bytes], p: BrownParams) -> np.ndarray:
@@ -75,27 +113,33 @@ def bigrams(docs: DataFrame, words: list[bytes], p: BrownParams) -> np.ndarray:
     size = p.words + p.tails + 1
 
     def run(batches):
-        units, found = Units(words, p), np.zeros(size * size, np.int64)
-        line: list[int] = [size - 1]
+        frequent, found = pa.array(words, pa.binary()), np.zeros(size * size, np.int64)
+        end = np.array([size - 1])
+        held, waiting = [end], 0
 
         def add():
-            a = np.array(line, np.int64)
+            a = np.concatenate(held)
             found[:] += np.bincount(a[:-1] * size + a[1:], minlength=size * size)
 
-        for b in batches:
-            for t in b["text"]:
-                line.extend(map(units.__getitem__, tokens(t)))
-                line.append(size - 1)
-                if len(line) > 2_000_000:
-                    add()
-                    line = line[-1:]
+        for b in _some(batches):
+            distinct, code, n = numbered(b.column("text"))
+            unit = places(distinct, frequent)
+            rest = np.flatnonzero(unit < 0)
+            unit[rest] = tails(distinct.take(pa.array(rest)), p)
+            line = lined(unit[code], n, size - 1)
+            held.append(line)
+            waiting += len(line)
+            if waiting > 1_000_000:
+                add()
+                held, waiting = [end], 0
         add()
         at = np.flatnonzero(found)
         for k in range(0, len(at), 100_000):
             part = at[k:k + 100_000]
-            yield {"a": part // size, "b": part % size, "n": found[part]}
+            yield pa.RecordBatch.from_arrays([
+                pa.array(part // size, pa.int32()), pa.array(part % size, pa.int32()), pa.array(found[part])], names=["a", "b", "n"])
 
-    cells = map_bytes(plain(docs, "text"), run, "a int, b int, n bigint", rows=TEXTS).groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    cells = plain(docs, "text").mapInArrow(run, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((size, size), np.int64)
     out[cells["a"].to_numpy(), cells["b"].to_numpy()] = cells["n"].to_numpy()
     return out
@@ -284,14 +328,8 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
 
     def run(batches):
         words, keys = shared.value
-        place, known = {w: i for i, w in enumerate(words)}, {}
-        dense = np.zeros(base * base, np.int64)
-        line: list[int] = [base - 1]
-
-        def learn(new):
-            at, hit = find(keys, new)
-            numbers = np.where(hit, at + base, -1).tolist()
-            known.update((w, place[w] if w in place else x if x >= 0 else tail(w, p)) for w, x in zip(new, numbers))
+        frequent, dense = pa.array(words, pa.binary()), np.zeros(base * base, np.int64)
+        held, waiting = [np.array([base - 1])], 0
 
         def blocks(w, code, n):
             part = w % parts * 2 + (w // 7 & 1)
@@ -304,7 +342,7 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
                        "code": [code[s:e].astype(np.uint32).tobytes() for s, e in at], "n": [n[s:e].tobytes() for s, e in at]}
 
         def add():
-            x = np.array(line, np.int64)
+            x = np.concatenate(held)
             a, b = x[:-1], x[1:]
             both = (a < base) & (b < base)
             dense[:] += np.bincount(a[both] * base + b[both], minlength=base * base)
@@ -314,22 +352,30 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
                 found, n = np.unique(found, return_counts=True)
                 yield from blocks(found >> 32, found & 0xFFFFFFFF, n.astype(np.int64))
 
-        for b in batches:
-            for t in b["text"]:
-                found = tokens(t)
-                if len(known) > 150_000:
-                    known.clear()
-                if new := set(found).difference(known):
-                    learn(list(new))
-                line.extend(map(known.__getitem__, found))
-                line.append(base - 1)
-                if len(line) > 500_000:
+        def entries():
+            nonlocal held, waiting
+            for b in _some(batches):
+                distinct, code, n = numbered(b.column("text"))
+                number = places(distinct, frequent)
+                rest = np.flatnonzero(number < 0)
+                others = distinct.take(pa.array(rest))
+                at, hit = find(keys, others.to_pylist())
+                number[rest] = np.where(hit, at + base, tails(others, p))
+                line = lined(number[code], n, base - 1)
+                held.append(line)
+                waiting += len(line)
+                if waiting > 500_000:
                     yield from add()
-                    line = line[-1:]
-        yield from add()
-        at = np.flatnonzero(dense)
-        if len(at):
-            yield from blocks(at // base, (at % base) << 1 | 1, dense[at])
+                    held, waiting = [line[-1:]], 0
+            yield from add()
+            at = np.flatnonzero(dense)
+            if len(at):
+                yield from blocks(at // base, (at % base) << 1 | 1, dense[at])
+
+        for found in entries():
+            yield pa.RecordBatch.from_arrays([
+                pa.array(found[x], kind) for x, kind in (("part", pa.int32()), ("w", pa.binary()), ("code", pa.binary()), ("n", pa.binary()))],
+                names=["part", "w", "code", "n"])
 
     def packed(batches):
         now, held = None, []
@@ -358,7 +404,7 @@ def contexts(docs: DataFrame, words: list[bytes], keys: np.ndarray, parts: int,
         if held:
             yield flush()
 
-    found = map_bytes(plain(docs, "text"), run, ENTRIES, rows=TEXTS).repartition("part").sortWithinPartitions("part")
+    found = plain(docs, "text").mapInArrow(run, ENTRIES).repartition("part").sortWithinPartitions("part")
     return stored(map_bytes(found, packed, BLOCKS, (), PIECES), "brown-contexts")
 
 
@@ -494,39 +540,39 @@ def score(docs: DataFrame, model: BrownModel, counts: DataFrame) -> DataFrame:
     same formulas, with counts of 0.
     """
     p = model.params
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # one more entry each, for the end
+    class_of = np.concatenate([model.unit_class[:len(model.words[:p.words])], model.others(model.words[p.words:]), [p.classes]]).astype(np.int64)
+    log_count = np.log10(np.array(model.counts + [model.ends], np.float64) + 1)
+    light = replace(model, words=[], counts=[])
+    shared = docs.sparkSession.sparkContext.broadcast((light, pa.array(model.words, pa.binary()), class_of, log_count))
     schema = "doc_id bigint, flag boolean, n_tokens bigint, known bigint, base double, score double, rare array<binary>"
 
     def run(batches):
-        m = shared.value
-        place = {w: i for i, w in enumerate(m.words)}
-        # one more entry each, for the end
-        class_of = np.concatenate([m.unit_class[:len(m.words[:p.words])], m.others(m.words[p.words:]), [p.classes]]).astype(np.int64)
-        log_count = np.log10(np.array(m.counts + [m.ends], np.float64) + 1)
-        end, whole = len(m.words), np.log10(m.tokens + m.distinct + 1)
-        for b in batches:
-            out = {n: [] for n in ("doc_id", "flag", "n_tokens", "known", "base", "score", "rare")}
-            for doc_id, flag, t in zip(b["doc_id"], b["flag"], b["text"]):
-                words = tokens(t)
-                at = np.array([place.get(w, -1) for w in words] + [end])
-                missing = np.flatnonzero(at < 0)
-                rare = [words[i] for i in missing]
-                classes = class_of[at]
-                if rare:
-                    classes[missing] = m.others(rare)
-                found = log_count[at]
-                found[missing] = 0.0
-                before = np.r_[p.classes, classes[:-1]]
-                counted = found.sum()
-                # the end is certain in its class, so its count is not part of the score
-                emitted = counted - found[-1] - m.spread[classes].sum()
-                known = len(words) - len(rare) + (m.ends > 0)
-                for key, value in zip(out, (doc_id, flag, len(words) + 1, known, counted - (len(words) + 1) * whole,
-                                            emitted + m.step[before, classes].sum(), rare)):
-                    out[key].append(value)
-            yield out
-
-    local = stored(map_bytes(plain(docs, "doc_id", "flag", "text"), run, schema, rows=TEXTS).withColumn(
+        m, frequent, class_of, log_count = shared.value
+        end, whole = log_count[-1], np.log10(m.tokens + m.distinct + 1)
+        for b in _some(batches):
+            words, code, n = numbered(b.column("text"))
+            at = places(words, frequent)
+            rare = np.flatnonzero(at < 0)
+            classes, logs = class_of[at], log_count[at]
+            logs[rare] = 0.0
+            if len(rare):
+                classes[rare] = m.others(words.take(pa.array(rare)).to_pylist())
+            found, line = lined(logs[code], n, end), lined(classes[code], n, p.classes)
+            row, first = np.repeat(np.arange(len(n)), n), np.cumsum(n + 1) - (n + 1)
+            before = np.r_[p.classes, line[:-1]]
+            counted = np.add.reduceat(found, first)
+            # the end is certain in its class, so its count is not part of the score
+            score = counted - end + np.add.reduceat(m.step[before, line] - m.spread[line], first)
+            missing = at[code] < 0
+            lost = np.bincount(row[missing], minlength=len(n))
+            listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lost)], pa.int32()), words.take(pa.array(code[missing])))
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id").cast(pa.int64()), b.column("flag"), pa.array(n + 1), pa.array(n - lost + (m.ends > 0)),
+                pa.array(counted - (n + 1) * whole), pa.array(score), listed],
+                names=["doc_id", "flag", "n_tokens", "known", "base", "score", "rare"])
+
+    local = stored(plain(docs, "doc_id", "flag", "text").mapInArrow(run, schema).withColumn(
         "row", F.monotonically_increasing_id()), "brown-local")
     rare = local.select("row", F.explode("rare").alias("word"))
     more = rare.join(counts, "word").groupBy("row").agg(

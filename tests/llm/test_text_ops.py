@@ -8,10 +8,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.llm import brown, langid
+from broadsheet.llm.common import map_bytes
 from broadsheet.llm.exact import exact_duplicates
 from broadsheet.llm.lines import Cuckoo, LineIndex, dedup_lines
 from broadsheet.llm.mixing import mix, mixed_documents, water_fill
@@ -319,6 +321,25 @@ def test_gains_of_many_words_equal_those_of_one():
         assert np.allclose(got[i][:-1], want[:-1], atol=1e-7) and got[i][-1] == -np.inf
 
 
+def test_brown_reads_words_in_small_portions():
+    """Words are cut as ``tokens`` does, and however large Arrow's batches are, few texts are worked on at a time."""
+    rng = random.Random(4)
+    texts = [None, "", " ", "\x0b\x0c", "É Ab\x1cC\x85 ab", *("".join(rng.choices(" \t\n\r\x0b\x0cabÉ\x1cZ", k=rng.randint(0, 40))) for _ in range(3000))]
+    want = [brown.tokens((t or "").encode()) for t in texts]
+    words, code, n = brown.numbered(pa.array(texts))
+    assert [words[int(i)].as_py() for i in code] == [w for t in want for w in t] and list(n) == [len(t) for t in want]
+    assert list(brown.tails(words, SMALL)) == [brown.tail(w, SMALL) for w in words.to_pylist()]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    sizes = [b.num_rows for b in brown._some([batch, batch])]
+    assert max(sizes) <= brown.TEXTS and sum(sizes) == 2 * len(texts)
+
+
+def test_map_bytes_in_portions(docs):
+    table = docs(*[(i, str(i)) for i in range(25)]).coalesce(1)
+    seen = map_bytes(table.select("text"), lambda bs: ({"n": [len(b["text"])]} for b in bs), "n bigint", rows=4).collect()
+    assert sum(r["n"] for r in seen) == 25 and max(r["n"] for r in seen) <= 4
+
+
 def test_brown_scores(docs):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice("The the cat dog\tsat ran on a mat é xyzzy plugh fee fie".split(" ")) for _ in range(rng.randint(0, 30)))) for i in range(60)]
