@@ -9,13 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import components, map_bytes, plain, stored, text_of
+from broadsheet.llm.common import components, discard, freed, map_bytes, plain, stored, text_of
 
 # Odd multipliers of the shingle hash.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 BLOCK = 256
 # A set of more than this share of all ids is answered from a broadcast, of at most so many rows.
 HOT_SETS = 4096
+# Texts that are hashed before their sets are passed on.
+SETS = 1024
 # Marks elements that a set lacks, among those in which it differs from another.
 GONE = 0x8000000000000001
 
@@ -267,13 +269,15 @@ def _fewest(a: str, b: str, percent: int, shared: int) -> Column:
     return F.least(F.lit(shared), _needed(a, b, percent))
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame, salts: int) -> DataFrame:
+def overlaps(pairs: DataFrame, docs: DataFrame, names: DataFrame, p: JaccardParams) -> DataFrame:
     """(a, b, common, apart) of pairs (a, b): each b's set comes first in its task, and the sets of its a follow in a
-    stream. The partners of one b are spread over ``salts`` keys. ``apart`` holds what only one of two near sets has."""
-    salted = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(salts)).cast("int").alias("salt"))
-    heads = salted.select("b", "salt").distinct().join(sets.withColumnRenamed("node", "b"), "b").select(
-        "b", "salt", F.lit(None).cast("bigint").alias("a"), "hashes")
-    members = salted.join(sets.withColumnRenamed("node", "a"), "a").select("b", "salt", "a", "hashes")
+    stream. The partners of one b are spread over ``salts`` keys. ``apart`` holds what only one of two near sets has.
+
+    Texts are joined with the places where their sets are needed and hashed there; sets are shuffled once, never stored.
+    """
+    salted = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(p.salts)).cast("int").alias("salt"))
+    heads = salted.select("b", "salt").distinct().select(F.col("b").alias("node"), "b", "salt", F.lit(None).cast("bigint").alias("a"))
+    needed_at = heads.unionByName(salted.select(F.col("a").alias("node"), "b", "salt", "a")).join(names, "node")
 
     def run(batches):
         name, head = None, None
@@ -295,7 +299,7 @@ def overlaps(pairs: DataFrame, sets: DataFrame, salts: int) -> DataFrame:
                         out[key].append(value)
             yield out
 
-    dealt = heads.unionByName(members).repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
+    dealt = _sets_at(docs, needed_at, p).repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
     return map_bytes(dealt, run, "a bigint, b bigint, common bigint, apart binary", ("hashes",))
 
 
@@ -411,8 +415,13 @@ def jaccard_links(docs: DataFrame, p: JaccardParams = JaccardParams()) -> DataFr
 
 
 def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
-    """The groups, and with ``count`` the links of every id; without, steps 3 and 4 leave out what changes no group."""
-    spark = docs.sparkSession
+    """The groups, and with ``count`` the links of every id; without, steps 3 and 4 leave out what changes no group.
+    Shuffle files and stored tables are removed as soon as nothing reads them any more."""
+    with freed(docs.sparkSession):
+        return _steps(docs, p, count)
+
+
+def _steps(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
     slim = plain(docs, "doc_id", "text")
     found = _sets_and_counts(slim, p)
     rows = found.where("sig is not null").select("doc_id", "n", "sig")
@@ -422,7 +431,9 @@ def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
     hot = keys[order], (often["n"].to_numpy() if len(often) else np.zeros(0, np.int64))[order]
 
     one = rows.where("doc_id is not null and n > 0").groupBy("doc_id").agg(F.min("sig").alias("sig"), (F.min("sig") != F.max("sig")).alias("odd"))
-    of = stored(_named(stored(one, "jac-ids")), "jac-nodes")
+    ids = stored(one, "jac-ids")
+    of = stored(_named(ids), "jac-nodes")
+    discard(ids)
 
     # ids with several sets lose the entries of all but one, so those do not make others' entries needless
     odd = of.where("odd").select("doc_id", "odd")
@@ -434,13 +445,15 @@ def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
     lists = shared.join(of.select("doc_id", "node", mark), ["doc_id", "mark"]).select(
         "token", "node", F.shiftright("at", 32).alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).alias("pos"))
     lists = lists.dropDuplicates(["token", "node"])
-    lists = stored(lists, "jac-lists")
+    entries = stored(lists, "jac-lists")
+    discard(shared)
 
     # how much of a set's index entries it shares: near one for a text that others were made from
-    ties = lists.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    lists = lists.join(ties, "token")
+    ties = entries.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    lists = entries.join(ties, "token")
     pull = lists.groupBy("node").agg((F.sum("m") / F.max("size")).alias("pull"))
     drawn = stored(lists.join(pull, "node"), "jac-drawn")
+    discard(entries)
     leaders = drawn.groupBy("token").agg(F.max(F.struct("pull", F.col("node").alias("lead"))).alias("best")).select("token", "best.lead")
     votes = drawn.join(leaders, "token").where("node != lead").groupBy("node", "lead").agg(
         F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
@@ -451,10 +464,10 @@ def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
     sizes = drawn.groupBy("node").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
     least = F.least(F.lit(p.shared), F.ceil(F.col("size") * F.lit(p.percent) / 100 - F.lit(1e-9)))
     sizes = stored(sizes.where(F.col("n") >= least).select("node", "size"), "jac-sizes")
-    wanted = sizes.select("node").join(of.where("doc_id = node").select("node", "sig"), "node")
-    sets = stored(_sets_of(slim, wanted, p), "jac-hashes")
+    names, able = of.where("doc_id = node").select("node", "sig"), sizes.select("node")
 
-    first = _compared(chosen.select(F.col("node").alias("a"), F.col("lead").alias("b")), sets, sizes, p)
+    first = _compared(chosen.select(F.col("node").alias("a"), F.col("lead").alias("b")).join(able.withColumnRenamed("node", "a"), "a").join(
+        able.withColumnRenamed("node", "b"), "b"), slim, names, sizes, p)
     first = stored(first.dropDuplicates(["a", "b"]), "jac-first")
     weights = stored(of.groupBy("node").agg(F.count(F.lit(1)).alias("weight")), "jac-weights") if count else None
     near = stored(_near_links(first, p.percent, p.tile, weights), "jac-near")
@@ -470,16 +483,16 @@ def _joined(docs: DataFrame, p: JaccardParams, count: bool) -> DataFrame:
         "node", (F.col("node") if count else F.coalesce("component", "node")).alias("part"), F.coalesce("lead", "node").alias("lead"),
         F.coalesce("over", F.lit(-1)).alias("over"), F.coalesce("near", F.lit(False)).alias("near")), "jac-known")
     tagged = stored(drawn.select("token", "node", "size", "pos").join(known, "node"), "jac-tagged")
+    discard(drawn)
     mixed = tagged.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high").select("token")
     rest = _candidates(tagged.join(mixed, "token", "left_semi"), p.percent, p.shared)
     answered = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "linked").dropDuplicates(["a", "b"])
     if count:
         rest = rest.join(answered, ["a", "b"], "left_anti")
     rest = stored(rest, "jac-candidates")
-    # few sets are candidates still: only those go through the joins of the comparison
-    ends = rest.select(F.col("a").alias("node")).unionByName(rest.select(F.col("b").alias("node"))).distinct()
-    again = stored(sets.join(ends, "node", "left_semi"), "jac-again")
-    second = stored(_compared(rest, again, sizes, p).select("a", "b", "linked"), "jac-second")
+    discard(tagged)
+    second = _compared(rest, slim, names, sizes, p).select("a", "b", "linked").dropDuplicates(["a", "b"])
+    second = stored(second, "jac-second")
     final = components(edges.unionByName(second.where("linked").select("a", "b")), "jac-final")
 
     named = of.join(final, "node", "left").select(F.col("doc_id").alias("_id"), F.coalesce("component", "node").alias("part"))
@@ -509,27 +522,30 @@ def _named(one: DataFrame) -> DataFrame:
     return one.join(F.broadcast(hot), "sig").select(*names).unionByName(rest.join(cold, "sig").select(*names))
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, p: JaccardParams) -> DataFrame:
-    """(node, hashes) of the wanted nodes, from the texts of the rows they are named by."""
+def _sets_at(docs: DataFrame, places: DataFrame, p: JaccardParams) -> DataFrame:
+    """(b, salt, a, hashes) of places (node, b, salt, a, sig): the node's set, from the texts of the rows it is named by."""
     def run(batches):
-        shingles = Shingles(p.words)
-        for b in batches:
-            out = {"node": [], "hashes": []}
-            for node, sig, t in zip(b["node"], b["sig"], b["text"]):
-                h = shingles(t)
-                if signature(h) == sig:
-                    out["node"].append(node)
-                    out["hashes"].append(h.tobytes())
+        shingles, last, h = Shingles(p.words), None, None
+        for rows in batches:
+            out = {"b": [], "salt": [], "a": [], "hashes": []}
+            for node, b, salt, a, sig, version, t in zip(*(rows[x] for x in ("node", "b", "salt", "a", "sig", "version", "text"))):
+                if (node, version) != last:  # a node's places follow one another
+                    h, last = shingles(t), (node, version)
+                    h = h.tobytes() if signature(h) == sig else None
+                if h is not None:
+                    for key, value in zip(out, (b, salt, a, h)):
+                        out[key].append(value)
             yield out
 
-    texts = docs.select(F.col("doc_id").alias("node"), text_of().alias("text")).join(wanted.hint("merge"), "node")
+    texts = docs.select(F.col("doc_id").alias("node"), text_of().alias("text")).join(places.hint("merge"), "node")
     # equal rows are made one where the join has brought them together
-    texts = texts.withColumn("version", F.xxhash64("text")).dropDuplicates(["node", "version"])
-    return map_bytes(texts.select("node", "sig", "text"), run, "node bigint, hashes binary", ("text", "sig"))
+    names = ["node", "version", "b", "salt", "a"]
+    texts = texts.withColumn("version", F.xxhash64("text")).dropDuplicates(names)
+    return map_bytes(texts.select(*names, "sig", "text"), run, "b bigint, salt int, a bigint, hashes binary", ("text", "sig"), SETS)
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, p: JaccardParams) -> DataFrame:
-    found = overlaps(pairs, sets, p.salts)
+def _compared(pairs: DataFrame, docs: DataFrame, names: DataFrame, sizes: DataFrame, p: JaccardParams) -> DataFrame:
+    found = overlaps(pairs, docs, names, p)
     a, b = (sizes.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in "ab")
     return found.join(a, "a").join(b, "b").select("a", "b", "common", "apart", "size_a", "size_b", _linked(p.percent).alias("linked"))
 

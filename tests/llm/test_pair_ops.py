@@ -205,3 +205,22 @@ def test_smallest_linked():
     edges = [(rng.randrange(100), rng.randrange(100)) for _ in range(70)]
     got = smallest_linked(100, *np.array(edges).T)
     assert got.tolist() == [components_plain(range(100), edges)[i] for i in range(100)]
+
+
+def test_jaccard_join_leaves_little_on_disk(docs, spark):
+    """Tables that only lead to others are removed on the way, no set is stored whole, and the session's settings stay."""
+    from pathlib import Path
+
+    from broadsheet.llm import jaccard
+    from broadsheet.llm.common import FREE
+    from broadsheet.sources.sinks import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    old, setting = set(folder.glob("broadsheet-*/*")), spark.conf.get(FREE, "false")
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (2, text + " x"), (3, text + " y z"), (3, text + " y z"), (4, "other words of no set at all"), (5, None)]
+    got = {r["doc_id"]: (r["n_links"], r["component_id"]) for r in jaccard.jaccard_links(docs(*rows)).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5)}
+    left = {f.name for f in set(folder.glob("broadsheet-*/*")) - old}
+    assert "jac-first" in left and not left & {"jac-ids", "jac-shared", "jac-lists", "jac-drawn", "jac-hashes", "jac-tagged", "jac-again"}
+    assert spark.conf.get(FREE, "false") == setting
