@@ -490,6 +490,20 @@ def test_a_quadratic_loss_takes_one_newton_step():
     assert np.allclose(done[0], np.linalg.solve(z.T @ z + np.eye(41), z.T @ y), atol=1e-3)
 
 
+def test_a_counting_task_sends_few_words_and_pairs_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    texts = [[f"w{i % 40}", f"v{i}", "x"] for i in range(300)]
+    batch = pa.RecordBatch.from_pydict({"fold": pa.array([0] * 300, pa.int32()), "tokens": texts})
+    rows = lambda: [b for b in W._counter(WORDS)(iter([batch]))]
+    monkeypatch.setattr(W, "SENT", 10_000)
+    whole = sorted(zip(*[pa.Table.from_batches(rows())[c].to_pylist() for c in ("term", "tf", "df")]))
+    monkeypatch.setattr(W, "SENT", 100)
+    found = rows()
+    assert len(found) > 5 and max(b.num_rows for b in found) <= 100
+    assert sorted(zip(*[pa.Table.from_batches(found)[c].to_pylist() for c in ("term", "tf", "df")])) == whole
+
+
 @pytest.mark.parametrize("p", [WORDS, CHARS])
 def test_a_counting_task_holds_few_terms_whatever_the_batch(monkeypatch, p):
     import pyarrow as pa
