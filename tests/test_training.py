@@ -4,6 +4,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from broadsheet.operators import linear
+from broadsheet.operators import linear
 from broadsheet.operators import terms as W
 from broadsheet.params import Ngrams
 
@@ -23,3 +25,31 @@ def test_terms_of_a_vocabulary_are_found_in_one_order(spark, p, monkeypatch):
     assert (np.diff(row * len(terms) + at) > 0).all()
     want = {(i, g): found.count(g) for i, found in grams.items() for g in found or [] if g in terms}
     assert {(int(i), terms[k]): n for i, k, n in zip(row, at, tf)} == want
+
+
+def test_an_intercept_without_penalty_costs_no_steps():
+    """Dense columns far from 0 move it far: counted as penalised, it made conjugate gradients take many more steps."""
+    rng = np.random.default_rng(2)
+    n, size, dense = 400, 42, np.array([40, 41])
+    x = np.where(rng.random((n, size)) < 0.2, rng.random((n, size)), 0.0)
+    x[:, 40:] = 100.0 + rng.random((n, 2))
+    reg = np.append(np.ones(size), 0.0)
+    row, idx = np.nonzero(x)
+    solve = linear._Sample(np.zeros(n, int), idx, x[row, idx], np.bincount(row), size, reg, 1.0, dense).solver(np.ones(n))
+    whole = np.column_stack([x, np.ones(n)])
+    move = np.append(np.zeros(size), -100.0)
+    move[40] = 1.0
+    product = whole.T @ (whole @ move) + reg * move
+    assert solve(product) == pytest.approx(move, rel=0.01, abs=0.01)
+
+
+def test_margins_of_many_problems_equal_those_of_each():
+    rng = np.random.default_rng(3)
+    lengths = np.array([3, 1, 5])
+    idx, val = np.concatenate([rng.permutation(20)[:k] for k in lengths]).astype(np.int32), rng.standard_normal(9)
+    w = rng.standard_normal((21, 6))
+    w[:, 4] = 0.0
+    whole = linear._margins(w, idx, val, lengths)
+    assert whole == pytest.approx(np.concatenate([linear._margins(w[:, [k]], idx, val, lengths) for k in range(6)], axis=1))
+    at = np.repeat(np.arange(3), lengths)
+    assert whole == pytest.approx(np.stack([val[at == i] @ w[idx[at == i]] + w[-1] for i in range(3)]))
