@@ -4,10 +4,12 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from broadsheet.operators import design as D
 from broadsheet.operators import linear
+from broadsheet.operators import design as D
 from broadsheet.operators import linear
 from broadsheet.operators import terms as W
-from broadsheet.params import Ngrams
+from broadsheet.params import JobParams, Ngrams, TextParams
 
 
 @pytest.mark.parametrize("p", [
@@ -53,3 +55,15 @@ def test_margins_of_many_problems_equal_those_of_each():
     assert whole == pytest.approx(np.concatenate([linear._margins(w[:, [k]], idx, val, lengths) for k in range(6)], axis=1))
     at = np.repeat(np.arange(3), lengths)
     assert whole == pytest.approx(np.stack([val[at == i] @ w[idx[at == i]] + w[-1] for i in range(3)]))
+
+
+def test_weights_need_no_vocabulary_in_the_jvm(articles, monkeypatch):
+    """Neither the driver's nor the executors' JVM holds the terms: they are looked up where they are counted."""
+    def refuse(*_, **__):
+        raise AssertionError("a vocabulary in the JVM")
+
+    monkeypatch.setattr(W.CountVectorizer, "fit", refuse)
+    dev = articles({"article": "red red blue"}, {"article": "blue green"}, {"article": None, "title": "red"})
+    p = JobParams(text=TextParams(words=Ngrams("word", 1, 1, 1, 9), chars=None, max_df=1.0))
+    found = {(r["id"], r["term"]) for r in D.term_weights(dev, p).collect()}
+    assert {(0, "red"), (0, "blue"), (1, "blue"), (1, "green"), (2, "red")} <= found and (1, "red") not in found
